@@ -12,8 +12,9 @@ TABLES = ["customer", "supplier", "part", "orders", "lineitem"]
 
 _STATES = "'CATXNYFLILPAOHGANCMINJVAWAAZMA'"
 
+# orders grows with lineitem, so the hint (a comment to DuckDB) asks for the join it needs at scale.
 _CLAIM_ROWS = """
-select
+select /*+ MERGE(o) */
   'C'||l_orderkey||'-'||l_linenumber as claim_id,
   case when l_suppkey%97=0 then 'M999999999' else 'M'||o_custkey end as member_id,
   'P'||l_suppkey as provider_id,
@@ -37,7 +38,7 @@ select
     as ingestion_timestamp,
   case when l_suppkey%10=0 then 'claims_batch_2.csv' else 'claims_batch_1.csv' end as source_file,
   l_orderkey
-from {lineitem} join {orders} on l_orderkey=o_orderkey join {part} on l_partkey=p_partkey
+from {lineitem} join {orders} o on l_orderkey=o_orderkey join {part} on l_partkey=p_partkey
 """
 
 _CLAIM_COLUMNS = """claim_id, member_id, provider_id, diagnosis_code, service_date, submission_date, billed_amount,

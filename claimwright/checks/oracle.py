@@ -133,20 +133,28 @@ def _needs(text: str) -> list[str]:
     return [name for name in CTES if name in words]
 
 
-def with_tables(select: str) -> str:
+# Bronze claims after being landed in one run: every row carries that run's time.
+CLAIMS_LANDED = {
+    "bronze_claims": f"""select * replace ('2024-07-01T00:00:00+00:00' as ingestion_timestamp)
+  from ({bronze.duckdb_text('claims')})"""
+}
+
+
+def with_tables(select: str, overrides: dict[str, str] | None = None) -> str:
     """Prefix ``select`` with the tables it names, and the ones those need, in order."""
+    texts = CTES | (overrides or {})
     done: dict[str, None] = {}
 
     def visit(text: str) -> None:
         for name in _needs(text):
             if name not in done:
-                visit(CTES[name])
+                visit(texts[name])
                 done[name] = None
 
     visit(select)
     if not done:
         return select
-    return "with " + ",\n".join(f"{n} as materialized ({CTES[n]})" for n in done) + f"\n{select}"
+    return "with " + ",\n".join(f"{n} as materialized ({texts[n]})" for n in done) + f"\n{select}"
 
 
 def portable(columns: dict[str, str]) -> str:

@@ -136,21 +136,19 @@ def claim_metrics(validated: DataFrame, silver: DataFrame, rule_names: Sequence[
     )
 
 
+def _row(name: Column, value: Column) -> Column:
+    return F.struct(name.alias("metric"), value.cast("bigint").alias("value"))
+
+
+def _entries(column: str) -> Column:
+    """A map column as (metric, value) structs named ``<column>.<key>``."""
+    return F.transform(F.map_entries(column), lambda e: _row(F.concat(F.lit(f"{column}."), e["key"]), e["value"]))
+
+
 def as_rows(metrics: DataFrame) -> DataFrame:
-    """The one-row metrics as (metric, value) rows; a map entry becomes ``<column>.<key>``."""
-    parts = []
-    for name, kind in metrics.dtypes:
-        if kind.startswith("map"):
-            entries = F.map_entries(name)
-            label = name + "."
-            parts.append(
-                F.transform(
-                    entries,
-                    lambda e, label=label: F.struct(
-                        F.concat(F.lit(label), e["key"]).alias("metric"), e["value"].cast("bigint").alias("value")
-                    ),
-                )
-            )
-        else:
-            parts.append(F.array(F.struct(F.lit(name).alias("metric"), F.col(name).cast("bigint").alias("value"))))
+    """The one-row metrics as (metric, value) rows."""
+    parts = [
+        _entries(name) if kind.startswith("map") else F.array(_row(F.lit(name), F.col(name)))
+        for name, kind in metrics.dtypes
+    ]
     return metrics.select(F.inline(F.concat(*parts)))
