@@ -312,3 +312,20 @@ def run_all(tables: Tables, as_of: dt.date | str | None = None) -> dict[str, Dat
     return {
         name: fn(tables, as_of=as_of) if fn is members_by_age_band else fn(tables) for name, fn in REGISTRY.items()
     }
+
+
+# Not part of run_all: described next to the queries above, answered here for the same tables.
+
+
+def processing_time_trend(t: Tables) -> DataFrame:
+    """Average days from service to submission, by month."""
+    days = F.sum("days_late").cast("double") / F.nullif(F.count("days_late"), F.lit(0))
+    return _by_month(t["fact_claims"].groupBy("service_year_month").agg(_rows(), F.round(days, 2).alias("avg_days")))
+
+
+def approximate_counts(t: Tables, error: float = 0.02) -> DataFrame:
+    """Distinct members, providers and diagnoses in one pass, without shuffling their values."""
+    return t["fact_claims"].agg(
+        _rows("claim_count"),
+        *[F.approx_count_distinct(c, error).alias(f"{c}s") for c in ("member_id", "provider_id", "diagnosis_code")],
+    )

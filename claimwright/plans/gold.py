@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from claimwright.contracts import PROVIDERS
+from claimwright.functions.columns import month_of
+from claimwright.operators.asof import valid_on
 from claimwright.operators.lookup import attach
 from claimwright.operators.versions import surrogate_key, with_validity
 
@@ -68,3 +70,25 @@ def build_gold(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "dim_provider": providers,
         "fact_claims": fact_claims(silver["claims"], members, providers),
     }
+
+
+def dim_diagnosis(diagnoses: DataFrame) -> DataFrame:
+    return diagnoses.select("diagnosis_code", "diagnosis_description", "category")
+
+
+def dim_date(claims: DataFrame, day: str = "service_date") -> DataFrame:
+    """Every day between the first and the last of ``day``. The scan is reduced to two dates first."""
+    span = claims.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    days = span.select(F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("date"))
+    return days.select(
+        "date", F.year("date").alias("year"), F.month("date").alias("month"), F.quarter("date").alias("quarter"),
+        month_of("date").alias("year_month"), (F.weekday("date") + 1).alias("iso_weekday"),
+    )
+
+
+def fact_claims_as_of(claims: DataFrame, members: DataFrame, providers: DataFrame) -> DataFrame:
+    """The fact with the provider version valid on the day of service instead of the current one."""
+    narrow = claims.select(*[c for c in FACT_COLUMNS if c in claims.columns])
+    wide = attach(narrow, "member_id", members, "member_id", FROM_MEMBER)
+    wide = valid_on(wide, "provider_id", "service_date", providers, FROM_PROVIDER)
+    return with_measures(wide).select(*FACT_COLUMNS)
