@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimwright.checks.bronze import bronze
@@ -54,9 +55,10 @@ def write_csv(df: DataFrame, path: str) -> None:
     """
     columns = [c for c in df.columns if c != "drop"]
     drops = sorted(r["drop"] for r in df.select("drop").distinct().collect())
-    number = F.array_position(F.array(*[F.lit(d) for d in drops]), F.col("drop")) - 1
+    numbers = pa.table({"drop": drops, "number": pa.array(range(len(drops)), pa.int32())})
+    numbered = df.join(df.sparkSession.createDataFrame(numbers), "drop")
     (
-        df.repartitionById(len(drops), number.cast("int")).sortWithinPartitions(*columns).select(*columns).write
+        numbered.repartitionById(len(drops), F.col("number")).sortWithinPartitions(*columns).select(*columns).write
         .options(header=True, emptyValue="", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         .csv(path)
     )

@@ -67,6 +67,3 @@ class AuditLog:
         events = self.events()
         ok = (F.col("source_name") == source_name) & F.col("status").isin(SUCCESSES)
         return events.filter(ok).select("file_hash").distinct()
-
-    def not_ingested(self, files: DataFrame, source_name: str) -> DataFrame:
-        return files.join(self.ingested(source_name), "file_hash", "left_anti")

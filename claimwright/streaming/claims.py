@@ -34,9 +34,15 @@ def timed(raw: DataFrame, delay: str) -> DataFrame:
     return typed.filter(F.col(EVENT_TIME).isNotNull()).withWatermark(EVENT_TIME, delay)
 
 
-def without_resends(claims: DataFrame) -> DataFrame:
-    """One row per identical content while its watermark lasts."""
-    return claims.dropDuplicatesWithinWatermark(CLAIMS.business)
+def without_resends(claims: DataFrame, lanes: int = 32) -> DataFrame:
+    """One row per identical content while its watermark lasts.
+
+    Copies are dropped per lane first, so that no task receives all copies of one claim. The lane is
+    the input partition, which a batch that is run again assigns alike.
+    """
+    lane = F.spark_partition_id() % lanes
+    thinned = claims.withColumn("_lane", lane).dropDuplicatesWithinWatermark([*CLAIMS.business, "_lane"])
+    return thinned.drop("_lane").dropDuplicatesWithinWatermark(CLAIMS.business)
 
 
 def volume_by_window(claims: DataFrame, width: str) -> DataFrame:
