@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -40,8 +42,8 @@ class AuditLog:
         events.select(*full).write.mode("append").parquet(self.path)
 
     def started(self, files: DataFrame, source_name: str, load_type: str, at: str) -> DataFrame:
-        """Attempts to begin. The id is a digest, so a task run twice yields the same one."""
-        identity = F.concat_ws("|", F.lit(source_name), "source_file", "file_hash", F.lit(at))
+        """Attempts to begin. An id is a digest over this run's id, so a task run twice yields the same."""
+        identity = F.concat_ws("|", F.lit(uuid.uuid4().hex), F.lit(source_name), "source_file", "file_hash")
         return files.select(
             F.sha2(identity, 256).alias("ingestion_id"), F.lit(source_name).alias("source_name"), "source_file",
             "file_hash", F.lit(load_type).alias("load_type"), F.lit(at).alias("event_time"),

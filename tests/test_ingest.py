@@ -1,0 +1,258 @@
+import hashlib
+import json
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from claimwright.plans.ingest import failures, ingest_all, ingest_source
+from claimwright.plans.lake import run_lake
+from claimwright.sources import bronze, drift, files
+from claimwright.sources.audit import AuditLog
+from claimwright.sources.registry import Source, default_sources, load_sources
+from claimwright.sources.sinks import Layout
+
+DAY1, DAY2 = "2024-01-01T00:00:00+00:00", "2024-01-02T00:00:00+00:00"
+
+
+@pytest.fixture
+def land(spark, tmp_path):
+    """Write files, ingest them, look at the results."""
+
+    class Land:
+        source = Source(
+            name="members", description="", source_dir=str(tmp_path / "in"), file_pattern="members*.csv", file_format="csv",
+            load_type="full", primary_key=("member_id",), expected_columns=("member_id", "first_name"),
+            required_columns=("member_id", "first_name"), schema_drift_policy="fail", bronze_path=str(tmp_path / "bronze"))
+        log = AuditLog(spark, str(tmp_path / "log"))
+
+        def put(self, name, text):
+            (tmp_path / "in").mkdir(exist_ok=True)
+            (tmp_path / "in" / name).write_bytes(text.encode())
+
+        def run(self, at=DAY1, **kw):
+            out = ingest_source(spark, "members", {"members": self.source}, self.log, at=at, **kw)
+            return [(r.source_file, r.status) for r in out.collect()]
+
+        def use(self, **changes):
+            self.source = replace(self.source, **changes)
+
+        def rows(self):
+            return bronze.read_incremental(spark, self.source.bronze_path)
+
+        def written(self):
+            return list((tmp_path / "bronze").rglob("*.parquet"))
+
+    return Land()
+
+
+def test_success_adds_only_technical_columns(land):
+    text = "member_id,first_name\nM1,Alex\nM2,\n"
+    land.put("members_a.csv", text)
+    assert land.run() == [("members_a.csv", "SUCCESS")]
+    rows = land.rows()
+    assert set(rows.columns) == {"member_id", "first_name", "ingestion_timestamp", "file_hash", "ingestion_date", "source_file"}
+    got = {r.member_id: r for r in rows.collect()}
+    assert got["M2"].first_name == "" and got["M1"].source_file == "members_a.csv"
+    assert got["M1"].file_hash == hashlib.sha256(text.encode()).hexdigest() and got["M1"].ingestion_timestamp == DAY1
+    entry = land.log.history("members").collect()
+    assert [(e.status, e.record_count, e.load_type, e.error_message) for e in entry] == [("SUCCESS", 2, "full", None)]
+    assert entry[0].ingestion_start_time == DAY1 and entry[0].ingestion_end_time > DAY1
+    assert entry[0].target_path.endswith("ingestion_date=2024-01-01/source_file=members_a.csv")
+
+
+def test_second_run_skips_and_force_does_not(land):
+    land.put("members_a.csv", "member_id,first_name\nM1,Alex\n")
+    land.run()
+    assert land.run(DAY2) == [("members_a.csv", "SKIPPED_ALREADY_INGESTED")]
+    assert land.rows().count() == 1 and land.log.history().count() == 1
+    assert land.run(force=True) == [("members_a.csv", "SUCCESS")]
+    assert land.rows().count() == 1 and land.log.history().count() == 2
+
+
+@pytest.mark.parametrize("policy", ["fail", "warn", "allow"])
+def test_missing_required_column_always_fails_and_writes_nothing(land, policy):
+    land.use(schema_drift_policy=policy)
+    land.put("members_a.csv", "member_id,extra\nM1,x\n")
+    assert land.run() == [("members_a.csv", "FAILED")]
+    assert land.written() == []
+    row = land.log.history().first()
+    assert row.status == "FAILED" and "first_name" in row.error_message
+    land.put("members_a.csv", "member_id,extra\nM1,x\n")
+    assert land.run(DAY2) == [("members_a.csv", "FAILED")], "a failed file is tried again"
+
+
+@pytest.mark.parametrize("policy, status", [("fail", "FAILED"), ("warn", "SUCCESS_WITH_DRIFT"), ("allow", "SUCCESS_WITH_DRIFT")])
+def test_unexpected_column_follows_the_policy(land, policy, status):
+    land.use(schema_drift_policy=policy)
+    land.put("members_a.csv", "member_id,first_name,extra\nM1,Alex,surprise\n")
+    assert land.run() == [("members_a.csv", status)]
+    if status != "FAILED":
+        assert land.rows().first().extra == "surprise"
+        assert land.run(DAY2) == [("members_a.csv", "SKIPPED_ALREADY_INGESTED")]
+
+
+def test_one_bad_file_does_not_stop_the_others(land):
+    land.put("members_a.csv", "member_id\nM1\n")
+    land.put("members_b.csv", "member_id,first_name\nM2,Bo\n")
+    land.put("members_c.csv", "member_id,first_name,first_name\nM3,x,y\n")
+    land.put("other.csv", "not,ours\n")
+    land.use(schema_drift_policy="warn")
+    assert land.run() == [("members_a.csv", "FAILED"), ("members_b.csv", "SUCCESS"), ("members_c.csv", "FAILED")]
+    assert [r.member_id for r in land.rows().collect()] == ["M2"]
+
+
+def test_headers_in_another_order_do_not_swap_columns(land):
+    land.use(load_type="incremental")
+    land.put("members_a.csv", "member_id,first_name\nM1,Alex\n")
+    land.put("members_b.csv", "first_name,member_id\r\nBo,M2\r\n")
+    assert [s for _, s in land.run()] == ["SUCCESS", "SUCCESS"]
+    assert sorted((r.member_id, r.first_name) for r in land.rows().collect()) == [("M1", "Alex"), ("M2", "Bo")]
+
+
+def test_changed_full_load_lands_the_whole_snapshot_again(spark, land):
+    land.put("members_a.csv", "member_id,first_name\nM1,Alex\n")
+    land.put("members_b.csv", "member_id,first_name\nM2,Bo\n")
+    land.run()
+    land.put("members_b.csv", "member_id,first_name\nM2,Bob\n")
+    assert [s for _, s in land.run(DAY2)] == ["SUCCESS", "SUCCESS"]
+    schema = "member_id string, first_name string, ingestion_timestamp string, source_file string, file_hash string"
+    from pyspark.sql.types import _parse_datatype_string
+
+    newest = bronze.read_full(spark, land.source.bronze_path, _parse_datatype_string(schema))
+    assert sorted((r.first_name, r.bronze_ingestion_date) for r in newest.collect()) == [("Alex", "2024-01-02"), ("Bob", "2024-01-02")]
+
+
+def test_changed_incremental_load_lands_only_the_new_file(land):
+    land.use(load_type="incremental")
+    land.put("members_a.csv", "member_id,first_name\nM1,Alex\n")
+    land.run()
+    land.put("members_b.csv", "member_id,first_name\nM2,Bo\n")
+    assert sorted(land.run(DAY2)) == [("members_a.csv", "SKIPPED_ALREADY_INGESTED"), ("members_b.csv", "SUCCESS")]
+    assert land.rows().count() == 2
+
+
+def test_same_day_rerun_replaces_only_the_changed_file(land):
+    land.use(load_type="incremental")
+    land.put("members_a.csv", "member_id,first_name\nM1,Alex\n")
+    land.put("members_b.csv", "member_id,first_name\nM2,Bo\n")
+    land.run()
+    land.put("members_b.csv", "member_id,first_name\nM2,Bob\n")
+    land.run()
+    assert sorted(r.first_name for r in land.rows().collect()) == ["Alex", "Bob"]
+
+
+QUOTED = 'member_id,first_name\nM1,"line one\nline ""two"", with comma"\nM2,plain\nM3,"a,b"\n'
+
+
+@pytest.mark.parametrize("limit", [files.WHOLE_FILE_BYTES, 0], ids=["whole", "split"])
+def test_quotes_commas_and_line_breaks_survive(land, limit):
+    land.put("members_a.csv", QUOTED)
+    land.put("members_b.csv", 'member_id,first_name\nM4,"x, ""y"""\n')
+    land.run(limit=limit)
+    got = {r.member_id: r.first_name for r in land.rows().collect()}
+    assert got == {"M1": 'line one\nline "two", with comma', "M2": "plain", "M3": "a,b", "M4": 'x, "y"'}
+
+
+def test_large_files_are_profiled_in_splits(spark, land):
+    body = "".join(f"M{i},name {i}\n" for i in range(20_000))
+    land.put("members_a.csv", "member_id,first_name\n" + body)
+    land.put("members_b.csv", QUOTED)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32768")
+    try:
+        seen = [{r.source_file: r for r in files.profile(spark, land.source, limit=0).collect()} for _ in range(2)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    one = {r.source_file: r for r in files.profile(spark, land.source, limit=0).collect()}
+    assert {k: r.file_hash for k, r in one.items()} == {k: r.file_hash for k, r in seen[0].items()}, "splits do not matter"
+    assert {k: (r.header, r.multiline) for k, r in one.items()} == {
+        "members_a.csv": ("member_id,first_name", False), "members_b.csv": ("member_id,first_name", True)}
+    land.put("members_a.csv", "member_id,first_name\n" + body.replace("name 77\n", "name 78\n"))
+    changed = {r.source_file: r.file_hash for r in files.profile(spark, land.source, limit=0).collect()}
+    assert changed["members_a.csv"] != one["members_a.csv"].file_hash
+    assert changed["members_b.csv"] == one["members_b.csv"].file_hash
+
+
+def test_no_files_and_unknown_source(spark, land):
+    assert land.run() == []
+    assert files.discover(spark, land.source).count() == 0
+    with pytest.raises(ValueError):
+        ingest_source(spark, "nope", {"members": land.source}, land.log)
+    with pytest.raises(FileNotFoundError):
+        bronze.latest_date(spark, land.source.bronze_path)
+    with pytest.raises(FileNotFoundError):
+        bronze.read_incremental(spark, land.source.bronze_path)
+
+
+def test_discovery_is_sorted_and_carries_size(spark, land):
+    land.put("members_b.csv", "x\n")
+    land.put("members_a.csv", "xyz\n")
+    assert [(r.source_file, r.bytes) for r in files.discover(spark, land.source).collect()] == [("members_a.csv", 4), ("members_b.csv", 2)]
+
+
+def test_audit_states(spark, tmp_path):
+    log = AuditLog(spark, str(tmp_path / "log"))
+    assert log.history().count() == 0
+    begun = log.started(spark.createDataFrame([("a.csv", "h1")], "source_file string, file_hash string"), "s", "full", DAY1)
+    log.append(begun)
+    row = log.history("s").first()
+    assert (row.status, row.ingestion_end_time, row.record_count) == ("IN_PROGRESS", None, None)
+    assert log.ingested("s").count() == 0
+    for status, known in (("FAILED", 0), ("SUCCESS_WITH_DRIFT", 1)):
+        end = {"status": F.lit(status), "event_time": F.lit(DAY2 if known else DAY1), "error_message": F.lit("boom")}
+        log.append(begun.withColumns(end))
+        assert log.history("s").first().status == status and log.ingested("s").count() == known
+    assert log.history("other").count() == 0 and log.history().count() == 1
+
+
+def test_contract_check(spark):
+    source = default_sources()["claims"]
+    expected = list(source.expected_columns)
+    df = spark.createDataFrame([("exact", expected), ("added", [*expected, "z", "b"]), ("short", expected[1:]), ("optional", [c for c in expected if c != "paid_amount"])],
+                               "f string, columns array<string>")
+    got = {r.f: (r.status, r.missing_required_columns, r.unexpected_columns) for r in drift.check_columns(df, source).collect()}
+    assert got == {"exact": ("PASSED", [], []), "added": ("PASSED_WITH_DRIFT", [], ["b", "z"]),
+                   "short": ("FAILED", ["claim_id"], []), "optional": ("PASSED", [], [])}
+
+
+SPEC = {"description": "d", "source_dir": "in", "file_pattern": "*.csv", "file_format": "csv", "load_type": "full", "primary_key": ["id"],
+        "expected_columns": ["id"], "required_columns": ["id"], "schema_drift_policy": "fail", "bronze_path": "b"}
+
+
+def test_registry_file(tmp_path):
+    path = tmp_path / "sources.json"
+    path.write_text(json.dumps({"sources": {"s": SPEC}}))
+    assert load_sources(str(path))["s"].primary_key == ("id",) and load_sources(str(path))["s"].incremental_key is None
+    for change in ({"load_type": "sometimes"}, {"schema_drift_policy": "shrug"}):
+        path.write_text(json.dumps({"sources": {"s": SPEC | change}}))
+        with pytest.raises(ValueError):
+            load_sources(str(path))
+    path.write_text(json.dumps({"sources": {"s": {k: v for k, v in SPEC.items() if k != "bronze_path"}}}))
+    with pytest.raises(ValueError, match="bronze_path"):
+        load_sources(str(path))
+    path.write_text("{}")
+    with pytest.raises(ValueError):
+        load_sources(str(path))
+    with pytest.raises(FileNotFoundError):
+        load_sources(str(tmp_path / "none.json"))
+
+
+def test_from_files_to_gold(spark, tmp_path):
+    from rows import DEFAULTS
+
+    layout = Layout(str(tmp_path / "lake"))
+    sources = {n: s.under(str(tmp_path / "in"), f"{layout.root}/bronze") for n, s in default_sources().items()}
+    names = {"members": "members.csv", "providers": "providers.csv", "diagnoses": "diagnoses.csv", "claims": "claims_batch_1.csv"}
+    for n, file in names.items():
+        row = {k: v for k, v in DEFAULTS[n].items() if k in sources[n].expected_columns}
+        (tmp_path / "in" / n).mkdir(parents=True)
+        (tmp_path / "in" / n / file).write_text(",".join(row) + "\n" + ",".join(row.values()) + "\n")
+    tables = run_lake(spark, sources, layout, f"{layout.root}/log", as_of="2025-01-01")
+    assert {n: t.count() for n, t in tables.items()} == {
+        "members": 1, "providers": 1, "diagnoses": 1, "claims": 1, "quarantine_members": 0, "quarantine_providers": 0,
+        "quarantine_diagnoses": 0, "quarantine_claims": 0, "dim_member": 1, "dim_provider": 1, "fact_claims": 1}
+    assert spark.sql("select member_state from fact_claims").first()[0] == "CA"
+    (tmp_path / "in" / "members" / "members_2.csv").write_text("member_id\nM1\n")
+    with pytest.raises(RuntimeError, match="members_2.csv"):
+        run_lake(spark, sources, layout, f"{layout.root}/log", as_of="2025-01-01")
+    assert failures(ingest_all(spark, sources, AuditLog(spark, f"{layout.root}/log"))).count() == 1
