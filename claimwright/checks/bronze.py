@@ -6,6 +6,8 @@ corrections and shared identifiers are injected by arithmetic on the keys.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ["customer", "supplier", "part", "orders", "lineitem"]
@@ -122,13 +124,34 @@ from {{part}} group by p_brand""",
 }
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+class Lazy(Mapping):
+    """Tables by name, each opened when it is first asked for."""
+
+    def __init__(self, names: Iterable[str], open_table: Callable[[str], DataFrame]) -> None:
+        self._names, self._open, self._opened = list(names), open_table, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._opened:
+            self._opened[name] = self._open(name)
+        return self._opened[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
+def bronze(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     """The four Bronze tables, lazily. Tables are passed to each query, not registered as views."""
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
-    return {
-        name: spark.sql(text, **{t: df for t, df in tables.items() if f"{{{t}}}" in text})
-        for name, text in SQL.items()
-    }
+
+    def open_table(name: str) -> DataFrame:
+        used = [t for t in TABLES if f"{{{t}}}" in SQL[name]]
+        return spark.sql(SQL[name], **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
+
+    return Lazy(SQL, open_table)
 
 
 def duckdb_text(name: str) -> str:

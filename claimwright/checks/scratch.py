@@ -4,19 +4,19 @@ whole test tables and kept in the shared folder for the life of the session."""
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimwright.checks.bronze import bronze
+from claimwright.checks.bronze import Lazy, bronze
 from claimwright.checks.oracle import AS_OF
 from claimwright.contracts import CONTRACTS
-from claimwright.plans.lake import quarantine_tables, run_gold, write_layers
+from claimwright.plans.lake import run_gold, write_layers
 from claimwright.session import shared_dir
 from claimwright.sources.registry import Source, default_sources
-from claimwright.sources.sinks import Layout
+from claimwright.sources.sinks import GOLD, Layout
 
 AT = "2024-07-01T00:00:00+00:00"
 ORDERS_PER_FILE = 50_000
@@ -99,7 +99,7 @@ def sources(spark: SparkSession, sf_dir: str, bronze_root: str) -> dict[str, Sou
     }
 
 
-def _write_lake(spark: SparkSession, sf_dir: str, root: str) -> None:
+def build_lake(spark: SparkSession, sf_dir: str, root: str) -> None:
     layout = Layout(root)
     write_layers(spark, bronze(spark, sf_dir), layout, as_of=AS_OF)
     run_gold(spark, layout, views=False)
@@ -107,19 +107,19 @@ def _write_lake(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 def lake(spark: SparkSession, sf_dir: str) -> Layout:
     """Silver, quarantine, metrics and Gold written once per session; queries read the tables."""
-    return Layout(_once(spark, "lake", sf_dir, lambda root: _write_lake(spark, sf_dir, root)))
+    return Layout(_once(spark, "lake", sf_dir, lambda root: build_lake(spark, sf_dir, root)))
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     """Gold and quarantine tables by name."""
     layout = lake(spark, sf_dir)
-    gold = {n: spark.read.parquet(layout.gold(n)) for n in ("dim_member", "dim_provider", "fact_claims")}
-    return gold | quarantine_tables(spark, layout)
+    paths = {n: layout.gold(n) for n in GOLD} | {f"quarantine_{n}": layout.quarantine(n) for n in CONTRACTS}
+    return Lazy(paths, lambda n: spark.read.parquet(paths[n]))
 
 
-def silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def silver(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     layout = lake(spark, sf_dir)
-    return {n: spark.read.parquet(layout.silver(n)) for n in CONTRACTS}
+    return Lazy(CONTRACTS, lambda n: spark.read.parquet(layout.silver(n)))
 
 
 def portable(df: DataFrame) -> DataFrame:
