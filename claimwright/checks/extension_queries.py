@@ -128,7 +128,7 @@ def _(spark, sf):
 @add("x09_alerts", """select 'claims' as subject, 'quarantined_count' as alert, cast(count(*) as varchar) as detail from quarantine_claims having count(*) > 0
   union all select 'claims', 'output_count', cast(count(*) as varchar) from silver_claims having count(*) > 10""")
 def _(spark, sf):
-    rows = m.as_rows(_built(spark, sf, "claims").metrics())
+    rows = m.as_rows(_built(spark, sf, "claims", staged=True).metrics())
     return alerts.metric_alerts(rows, "claims", {"quarantined_count": (0, 0), "output_count": (0, 10), "input_count": (1, 2**62)})
 
 

@@ -59,13 +59,14 @@ def _keys(spark, sf):
     return [c.key_set(silver[n], k) for n, k in zip(s.DIMENSIONS, v.CLAIM_REFERENCES)]
 
 
-def _built(spark, sf, name) -> s.Built:
+def _built(spark, sf, name, staged: bool = False) -> s.Built:
     raw = bronze(spark, sf)[name]
+    stage = lake.stage_as(spark, name, scratch.fresh(spark, "built")) if staged else s.as_is
     if name == "claims":
-        return s.build_claims(raw, *[scratch.silver(spark, sf)[n] for n in s.DIMENSIONS])
+        return s.build_claims(raw, *[scratch.silver(spark, sf)[n] for n in s.DIMENSIONS], stage=stage)
     if name == "members":
-        return s.build_members(raw, AS_OF)
-    return {"providers": s.build_providers, "diagnoses": s.build_diagnoses}[name](raw)
+        return s.build_members(raw, AS_OF, stage)
+    return {"providers": s.build_providers, "diagnoses": s.build_diagnoses}[name](raw, stage)
 
 
 # Cleaning ---------------------------------------------------------------------------------
@@ -340,7 +341,7 @@ for _i, _n in enumerate(("members", "providers", "diagnoses", "claims"), start=3
 
     @add(f"m0{_i}_{_n}_metrics", _METRIC_SQL[_n])
     def _(spark, sf, name=_n):
-        return m.as_rows(_built(spark, sf, name).metrics())
+        return m.as_rows(_built(spark, sf, name, staged=True).metrics())
 
 
 # Gold and table tests ---------------------------------------------------------------------

@@ -16,6 +16,7 @@ from claimwright.plans import silver as s
 from claimwright.plans.ingest import ingest_all, ingest_source
 from claimwright.sources import audit, drift, files, sinks
 from claimwright.sources import bronze as b
+from claimwright.sources.records import read_records
 from claimwright.sources.registry import default_sources
 
 # What the landed claim files hold, one row per file, as DuckDB sees it.
@@ -101,6 +102,15 @@ def _(spark, sf):
     return files.read_csv(spark, [path], ["doc_id", "lang", "text"], multiline=True).drop("source_file")
 
 
+@add("s04_csv_scan_in_splits", "select cast(doc_id as varchar) as doc_id, lang, text from documents")
+def _(spark, sf):
+    """The same, with the records put together from lines that are read in splits."""
+    path = scratch.fresh(spark, "s04")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "text")
+    docs.write.options(header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return read_records(spark, [path], ["doc_id", "lang", "text"]).drop("source_file")
+
+
 @add("s05_technical_columns", f"select '{scratch.AT}' as ingestion_timestamp, sha256(content) as file_hash, row_count from {_FILES}")
 def _(spark, sf):
     source, _, _ = _ingested(spark, sf, "s05")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from claimwright.functions.columns import spread_nulls
 
@@ -11,26 +11,40 @@ def _month(day: Column) -> Column:
     return F.trunc(day, "month")
 
 
+def _carried(facts: DataFrame, versions: DataFrame) -> DataFrame:
+    """Per key and month that occurs in ``facts``: the version still open when the month begins.
+
+    Facts are reduced to distinct (key, month) and versions to the last one begun in a month, so
+    the window over a key holds at most one row per month of the calendar.
+    """
+    begun = versions.groupBy("_key", "_month").agg(F.max(F.struct("_from", "_to", "_taken")).alias("_v"))
+    asked = facts.distinct().withColumn("_asked", F.lit(True))
+    timeline = begun.unionByName(asked, allowMissingColumns=True)
+    timeline = timeline.groupBy("_key", "_month").agg(F.max("_v").alias("_v"), F.max("_asked").alias("_asked"))
+    earlier = Window.partitionBy("_key").orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
+    open_then = timeline.withColumn("_v", F.last("_v", ignorenulls=True).over(earlier)).filter("_asked")
+    return open_then.filter(F.col("_v._to").isNull() | (F.col("_v._to") > F.col("_month"))).select(
+        "_key", "_month", "_v._from", "_v._to", "_v._taken"
+    ).filter(F.col("_from").isNotNull())
+
+
 def valid_on(df: DataFrame, key: str, day: str, versions: DataFrame, take: dict[str, str]) -> DataFrame:
     """Left join with the version of ``key`` whose ``[valid_from, valid_to)`` holds ``day``.
 
-    Each version is repeated for the months it covers and joined on key and month. Within a month a
-    row meets at most the versions that begin in it plus one, never all versions of its key; a
-    month of one key that holds most rows is split by the adaptive skew join. A version of no days
-    (replaced on the day it began) is left out: it was never valid.
+    The join is on key and month. A row meets the versions begun in its month and the one carried
+    into it, never all versions of its key; a month of one key that holds most rows is split by the
+    adaptive skew join. A version of no days (replaced on the day it began) was never valid.
     """
-    last = df.agg(F.max(day)).first()[0]
-    if last is None:
-        return df.select("*", *[F.lit(None).cast(versions.schema[c].dataType).alias(n) for c, n in take.items()])
-    until = F.coalesce(F.least(F.date_sub("valid_to", 1), F.lit(last)), F.lit(last))
-    lasting = versions.filter(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from")))
-    months = F.sequence(_month(F.col("valid_from")), _month(until), F.expr("interval 1 month"))
-    spans = lasting.filter(F.col("valid_from") <= F.lit(last)).select(
-        F.col(key).alias("_key"), F.explode(months).alias("_month"), F.col("valid_from").alias("_from"),
-        F.col("valid_to").alias("_to"), *[F.col(c).alias(f"_side_{c}") for c in take],
+    lasting = versions.filter(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from"))).select(
+        F.col(key).alias("_key"), _month(F.col("valid_from")).alias("_month"), F.col("valid_from").alias("_from"),
+        F.col("valid_to").alias("_to"), F.struct(*[F.col(c).alias(n) for c, n in take.items()]).alias("_taken"),
+    )
+    asked = df.filter(F.col(key).isNotNull() & F.col(day).isNotNull()).select(
+        F.col(key).alias("_key"), _month(F.col(day)).alias("_month")
     )
+    spans = lasting.unionByName(_carried(asked, lasting))
     same = (spread_nulls(key, *df.columns) == F.col("_key")) & (_month(F.col(day)) == F.col("_month"))
     held = (F.col(day) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(day) < F.col("_to")))
     joined = df.join(spans, same & held, "left")
-    taken = {n: F.when(F.col(key).isNotNull(), F.col(f"_side_{c}")) for c, n in take.items()}
-    return joined.withColumns(taken).drop("_key", "_month", "_from", "_to", *[f"_side_{c}" for c in take])
+    taken = {n: F.when(F.col(key).isNotNull(), F.col("_taken")[n]) for n in take.values()}
+    return joined.withColumns(taken).drop("_key", "_month", "_from", "_to", "_taken")

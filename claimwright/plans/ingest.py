@@ -12,12 +12,11 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from claimwright.sources import audit, drift, files
 from claimwright.sources.audit import AuditLog
 from claimwright.sources.bronze import with_provenance, write_bronze
+from claimwright.sources.records import read_records
 from claimwright.sources.registry import Source
 
 STATUS = "source_name string, source_file string, status string, message string"
 
-_FILE_COLUMNS = ("path", "source_file", "file_hash", "header", "multiline")
-
 
 def _now() -> str:
     return dt.datetime.now(dt.timezone.utc).isoformat()
@@ -51,7 +50,21 @@ def _check(spark: SparkSession, source: Source, rows: Sequence[Row]) -> dict[str
     return {r["header"]: r for r in drift.check_columns(spark.createDataFrame(table), source).collect()}
 
 
-def _land(spark: SparkSession, source: Source, rows: Sequence[Row], columns: Sequence[str], multiline: bool, at: str) -> dict[str, str]:
+# Scan of files that share a header: split, whole, or split with records put together.
+_SCANS = {
+    "split": lambda spark, paths, columns: files.read_csv(spark, paths, columns, multiline=False),
+    "whole": lambda spark, paths, columns: files.read_csv(spark, paths, columns, multiline=True),
+    "stitched": read_records,
+}
+
+
+def _scan_for(file: Row, limit: int) -> str:
+    if not file["multiline"]:
+        return "split"
+    return "stitched" if file["bytes"] > limit else "whole"
+
+
+def _land(spark: SparkSession, source: Source, rows: Sequence[Row], columns: Sequence[str], scan: str, at: str) -> dict[str, str]:
     """Write files of one header in one job; returns error text per file that could not be landed.
 
     If the job fails, the files are tried in halves until the bad ones are alone.
@@ -59,7 +72,7 @@ def _land(spark: SparkSession, source: Source, rows: Sequence[Row], columns: Seq
     if not rows:
         return {}
     try:
-        scanned = files.read_csv(spark, [r["path"] for r in rows], columns, multiline)
+        scanned = _SCANS[scan](spark, [r["path"] for r in rows], columns)
         write_bronze(with_provenance(scanned, _local(spark, rows, ("source_file", "file_hash")), at), source.bronze_path)
         return {}
     except Exception as e:  # noqa: BLE001  (any failure belongs in the audit log)
@@ -67,8 +80,8 @@ def _land(spark: SparkSession, source: Source, rows: Sequence[Row], columns: Seq
             return {rows[0]["source_file"]: f"Unexpected error: {str(e).splitlines()[0]}"}
         half = len(rows) // 2
         return {
-            **_land(spark, source, rows[:half], columns, multiline, at),
-            **_land(spark, source, rows[half:], columns, multiline, at),
+            **_land(spark, source, rows[:half], columns, scan, at),
+            **_land(spark, source, rows[half:], columns, scan, at),
         }
 
 
@@ -109,9 +122,10 @@ def ingest_source(
     errors = {r["source_file"]: checked[r["header"] or ""]["message"] for r in todo
               if checked[r["header"] or ""]["status"] == drift.FAILED}
     for header in sorted({r["header"] for r in todo if r["source_file"] not in errors}):
-        for multiline in (False, True):
-            group = [r for r in todo if r["header"] == header and r["multiline"] is multiline]
-            errors |= _land(spark, source, group, checked[header]["columns"], multiline, at)
+        group = [r for r in todo if r["header"] == header and r["source_file"] not in errors]
+        for scan in _SCANS:
+            alike = [r for r in group if _scan_for(r, limit) == scan]
+            errors |= _land(spark, source, alike, checked[header]["columns"], scan, at)
 
     landed = [r for r in todo if r["source_file"] not in errors]
     counts = _landed_counts(spark, source, at, [r["source_file"] for r in landed])

@@ -26,7 +26,7 @@ def read_bronze(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     return frames | {"claims": read_incremental(spark, layout.bronze("claims"))}
 
 
-def _stage_as(spark: SparkSession, name: str, root: str) -> s.Stage:
+def stage_as(spark: SparkSession, name: str, root: str) -> s.Stage:
     """Validated rows as a table in the shared folder. Silver, quarantine and metrics all read it,
     so the cleaning, the copies shuffle and the lookups run once, and a lost executor costs no
     recomputation from Bronze."""
@@ -71,7 +71,7 @@ def write_layers(
     scratch = shared_dir(spark, "silver", uuid.uuid4().hex)
 
     def dimension(name: str) -> DataFrame:
-        stage = _stage_as(spark, name, scratch)
+        stage = stage_as(spark, name, scratch)
         if name == "members":
             built = s.build_members(bronze[name], as_of, stage)
         else:
@@ -82,7 +82,7 @@ def write_layers(
     silver = dict(zip(needed, concurrently(*[partial(dimension, d) for d in needed]))) if needed else {}
     if "claims" in wanted:
         dims = [silver[d] for d in s.DIMENSIONS]
-        built = s.build_claims(bronze["claims"], *dims, stage=_stage_as(spark, "claims", scratch))
+        built = s.build_claims(bronze["claims"], *dims, stage=stage_as(spark, "claims", scratch))
         silver["claims"] = write_built(spark, built, layout)
     return {name: silver[name] for name in s.ALL if name in wanted}
 

@@ -60,7 +60,7 @@ def rule_names(name: str) -> list[str]:
     return [reason for reason, _ in rules] + (list(v.CLAIM_REFERENCES.values()) if name == "claims" else [])
 
 
-def _as_is(df: DataFrame) -> DataFrame:
+def as_is(df: DataFrame) -> DataFrame:
     return df
 
 
@@ -80,19 +80,19 @@ def _finish(name: str, validated: DataFrame, validated_at: Column | None) -> Bui
 
 
 def build_members(
-    bronze: DataFrame, as_of: dt.date | str | None = None, stage: Stage = _as_is, validated_at: Column | None = None
+    bronze: DataFrame, as_of: dt.date | str | None = None, stage: Stage = as_is, validated_at: Column | None = None
 ) -> Built:
     rows = distinct_rows(bronze, MEMBERS.name)
     return _finish(MEMBERS.name, stage(v.validate_members(rows, as_of)), validated_at)
 
 
-def build_providers(bronze: DataFrame, stage: Stage = _as_is, validated_at: Column | None = None) -> Built:
+def build_providers(bronze: DataFrame, stage: Stage = as_is, validated_at: Column | None = None) -> Built:
     """Every version is kept: the history is what the Gold dimension is made of."""
     rows = distinct_rows(bronze, PROVIDERS.name)
     return _finish(PROVIDERS.name, stage(v.validate_providers(rows)), validated_at)
 
 
-def build_diagnoses(bronze: DataFrame, stage: Stage = _as_is, validated_at: Column | None = None) -> Built:
+def build_diagnoses(bronze: DataFrame, stage: Stage = as_is, validated_at: Column | None = None) -> Built:
     rows = distinct_rows(bronze, DIAGNOSES.name)
     return _finish(DIAGNOSES.name, stage(v.validate_diagnoses(rows)), validated_at)
 
@@ -102,7 +102,7 @@ def build_claims(
     members: DataFrame,
     providers: DataFrame,
     diagnoses: DataFrame,
-    stage: Stage = _as_is,
+    stage: Stage = as_is,
     validated_at: Column | None = None,
 ) -> Built:
     """The dimensions are the Silver tables; only their distinct keys take part."""

@@ -1,5 +1,8 @@
+import csv
 import hashlib
+import io
 import json
+import random
 from dataclasses import replace
 
 import pytest
@@ -9,6 +12,7 @@ from claimwright.plans.ingest import failures, ingest_all, ingest_source
 from claimwright.plans.lake import run_lake
 from claimwright.sources import bronze, drift, files
 from claimwright.sources.audit import AuditLog
+from claimwright.sources.records import physical_lines, read_records
 from claimwright.sources.registry import Source, default_sources, load_sources
 from claimwright.sources.sinks import Layout
 
@@ -173,6 +177,30 @@ def test_large_files_are_profiled_in_splits(spark, land):
     assert changed["members_b.csv"] == one["members_b.csv"].file_hash
 
 
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_records_that_span_splits(spark, tmp_path, newline):
+    """Against a plain CSV reader, with splits far shorter than the quoted fields."""
+    rng = random.Random(5)
+    words = ["a", "b,c", 'say ""x""', "", " pad ", "l1\nl2", "x\n\n\ny", '""', "\n", "tail\n"]
+    cell = lambda: '"' + "".join(rng.choice(words) for _ in range(rng.randrange(6))) + '"'
+    (tmp_path / "in").mkdir()
+    want = []
+    for f in range(3):
+        rows = [[f"k{f}-{i}", cell() if rng.random() < 0.5 else "plain", cell()] for i in range(60)]
+        rows.insert(7, ["multi", '"' + "line\n" * 200 + '"', "end"])
+        text = newline.join(["k,x,y", *[",".join(r) for r in rows], ""])
+        (tmp_path / "in" / f"m{f}.csv").write_bytes(text.encode())
+        want += [(r["k"], r["x"], r["y"]) for r in csv.DictReader(io.StringIO(text, newline=""))]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        df = read_records(spark, [str(tmp_path / "in")], ["k", "x", "y"])
+        assert physical_lines(spark, [str(tmp_path / "in")]).select("source_file", "_split").distinct().count() > 10
+        got = [(r.k, r.x, r.y) for r in df.collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(got) == sorted(want)
+
+
 def test_no_files_and_unknown_source(spark, land):
     assert land.run() == []
     assert files.discover(spark, land.source).count() == 0
