@@ -119,7 +119,8 @@ def _(spark, sf):
     layout, raw = sinks.Layout(scratch.fresh(spark, "x08")), bronze(spark, sf)
     first = F.col("source_file") == "claims_batch_1.csv"
     dims = [scratch.silver(spark, sf)[d] for d in s.DIMENSIONS]
-    lake.write_built(spark, s.build_claims(raw["claims"].filter(first), *dims), layout)
+    stage = lake.stage_as(spark, "claims", f"{layout.root}/first")
+    lake.write_built(spark, s.build_claims(raw["claims"].filter(first), *dims, stage=stage), layout)
     later = s.build_claims(raw["claims"].filter(~first), *dims).silver
     backfill.backfill_claims(spark, layout, later)
     return spark.read.parquet(layout.silver("claims")).select("claim_id", "service_year_month", "ingestion_timestamp", "paid_amount")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from claimwright.functions.columns import spread_nulls
@@ -28,7 +30,9 @@ def _carried(facts: DataFrame, versions: DataFrame) -> DataFrame:
     ).filter(F.col("_from").isNotNull())
 
 
-def valid_on(df: DataFrame, key: str, day: str, versions: DataFrame, take: dict[str, str]) -> DataFrame:
+def valid_on(
+    df: DataFrame, key: str, day: str, versions: DataFrame, take: dict[str, str], spread_by: Sequence[str] = ()
+) -> DataFrame:
     """Left join with the version of ``key`` whose ``[valid_from, valid_to)`` holds ``day``.
 
     The join is on key and month. A row meets the versions begun in its month and the one carried
@@ -43,7 +47,7 @@ def valid_on(df: DataFrame, key: str, day: str, versions: DataFrame, take: dict[
         F.col(key).alias("_key"), _month(F.col(day)).alias("_month")
     )
     spans = lasting.unionByName(_carried(asked, lasting))
-    same = (spread_nulls(key, *df.columns) == F.col("_key")) & (_month(F.col(day)) == F.col("_month"))
+    same = (spread_nulls(key, *(spread_by or df.columns)) == F.col("_key")) & (_month(F.col(day)) == F.col("_month"))
     held = (F.col(day) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(day) < F.col("_to")))
     joined = df.join(spans, same & held, "left")
     taken = {n: F.when(F.col(key).isNotNull(), F.col("_taken")[n]) for n in take.values()}

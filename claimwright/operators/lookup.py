@@ -7,6 +7,8 @@ adaptive skew join. NULL keys are spread because they would all meet in one part
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from claimwright.functions.columns import spread_nulls
@@ -22,10 +24,15 @@ def resolve_key(df: DataFrame, column: str, keys: DataFrame, found: str) -> Data
     return joined.withColumn(found, F.col(column).isNotNull() & F.col("_key").isNotNull()).drop("_key")
 
 
-def attach(df: DataFrame, column: str, side: DataFrame, key: str, take: dict[str, str]) -> DataFrame:
-    """Left join that brings ``take`` (side column -> new name) from a side with unique ``key``."""
+def attach(
+    df: DataFrame, column: str, side: DataFrame, key: str, take: dict[str, str], spread_by: Sequence[str] = ()
+) -> DataFrame:
+    """Left join that brings ``take`` (side column -> new name) from a side with unique ``key``.
+
+    ``spread_by`` names columns that tell rows apart, so that the others can still be pruned.
+    """
     picked = side.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_side_{c}") for c in take])
-    joined = df.join(picked, spread_nulls(column, *df.columns) == F.col("_key"), "left")
+    joined = df.join(picked, spread_nulls(column, *(spread_by or df.columns)) == F.col("_key"), "left")
     held = F.col(column).isNotNull()
     taken = {new: F.when(held, F.col(f"_side_{c}")) for c, new in take.items()}
     return joined.withColumns(taken).drop("_key", *[f"_side_{c}" for c in take])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from claimwright.contracts import PROVIDERS
+from claimwright.contracts import CLAIMS, PROVIDERS
 from claimwright.functions.columns import month_of
 from claimwright.operators.asof import valid_on
 from claimwright.operators.lookup import attach
@@ -58,8 +58,8 @@ FROM_PROVIDER = {"provider_sk": "provider_sk", "specialty": "provider_specialty"
 def fact_claims(claims: DataFrame, members: DataFrame, providers: DataFrame) -> DataFrame:
     """One row per claim with attributes of its member and of the provider's current version."""
     narrow = claims.select(*[c for c in FACT_COLUMNS if c in claims.columns])
-    wide = attach(narrow, "member_id", members, "member_id", FROM_MEMBER)
-    wide = attach(wide, "provider_id", current(providers), "provider_id", FROM_PROVIDER)
+    wide = attach(narrow, "member_id", members, "member_id", FROM_MEMBER, CLAIMS.key)
+    wide = attach(wide, "provider_id", current(providers), "provider_id", FROM_PROVIDER, CLAIMS.key)
     return with_measures(wide).select(*FACT_COLUMNS)
 
 
@@ -89,6 +89,6 @@ def dim_date(claims: DataFrame, day: str = "service_date") -> DataFrame:
 def fact_claims_as_of(claims: DataFrame, members: DataFrame, providers: DataFrame) -> DataFrame:
     """The fact with the provider version valid on the day of service instead of the current one."""
     narrow = claims.select(*[c for c in FACT_COLUMNS if c in claims.columns])
-    wide = attach(narrow, "member_id", members, "member_id", FROM_MEMBER)
-    wide = valid_on(wide, "provider_id", "service_date", providers, FROM_PROVIDER)
+    wide = attach(narrow, "member_id", members, "member_id", FROM_MEMBER, CLAIMS.key)
+    wide = valid_on(wide, "provider_id", "service_date", providers, FROM_PROVIDER, CLAIMS.key)
     return with_measures(wide).select(*FACT_COLUMNS)

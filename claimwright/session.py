@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import cache
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -41,6 +42,11 @@ def get_spark(app_name: str = "claimwright", master: str | None = None, **extra:
     return builder.getOrCreate()
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="claimwright-")
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """Folder every executor can reach, private to this application.
 
@@ -51,8 +57,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="claimwright-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_scratch()
     return "/".join([root.rstrip("/"), "claimwright", spark.sparkContext.applicationId, *parts])
 
 

@@ -165,3 +165,13 @@ def _shuffle_records(node):
     if "QueryStage" in node.getClass().getSimpleName():
         total += _shuffle_records(node.plan())
     return total
+
+
+def test_a_lazy_fact_reads_only_what_a_query_needs(spark, tmp_path):
+    layout = sinks.Layout(str(tmp_path))
+    lake.write_layers(spark, {n: frame(spark, n, {}) for n in s.ALL}, layout, as_of="2025-01-01")
+    silver = {n: spark.read.parquet(layout.silver(n)) for n in s.ALL}
+    from claimwright.plans.gold import build_gold
+
+    text = plan(analytics.claims_by_state(build_gold(silver)))
+    assert "ReadSchema: struct<claim_id:string,member_id:string,provider_id:string,claim_status:string>" in text
