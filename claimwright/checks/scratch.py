@@ -6,6 +6,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import replace
+from threading import Lock
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,6 +23,7 @@ AT = "2024-07-01T00:00:00+00:00"
 ORDERS_PER_FILE = 50_000
 
 _made: dict[tuple, str] = {}
+_making = Lock()
 
 
 def fresh(spark: SparkSession, label: str) -> str:
@@ -40,11 +42,12 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
 
 def _once(spark: SparkSession, label: str, sf_dir: str, make: Callable[[str], None]) -> str:
     key = (label, spark.sparkContext.applicationId, sf_dir, _fingerprint(spark, sf_dir))
-    if key not in _made:
-        root = fresh(spark, label)
-        make(root)
-        _made[key] = root
-    return _made[key]
+    with _making:
+        if key not in _made:
+            root = fresh(spark, label)
+            make(root)
+            _made[key] = root
+        return _made[key]
 
 
 def write_csv(df: DataFrame, path: str) -> None:

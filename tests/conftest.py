@@ -10,7 +10,7 @@ from claimwright.session import get_spark  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = get_spark("tests", master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    session = get_spark("tests", master="local[8]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -83,11 +83,12 @@ def test_newest_snapshot_prunes_older_days(spark, tmp_path):
 
 def test_shuffles_follow_the_input_size(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
     with shuffles_sized_for(spark, 100 * 2**40) as n:
         assert n == 100_000 and spark.conf.get(key) == "100000"
     with shuffles_sized_for(spark, 10) as n:
         assert n == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert spark.conf.get(key, None) is None
+    assert spark.conf.get(key, None) == before
 
 
 def test_scratch_lies_in_the_folder_the_cluster_names(spark):
