@@ -97,7 +97,7 @@ def _declared(contract: Contract, description: str, pattern: str, load_type: str
 
 
 def default_sources() -> dict[str, Source]:
-    """The four sources of the claims lake; folders are relative to the roots given to ``under``."""
+    """The four declared sources; folders are relative to the roots given to ``under``."""
     declared = [
         _declared(CONTRACTS["members"], "Member enrollment records", "members*.csv", "full", "fail"),
         _declared(CONTRACTS["providers"], "Provider network records", "providers*.csv", "full", "fail"),
