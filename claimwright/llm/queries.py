@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from claimwright.llm.automaton import encoded
-from claimwright.llm.common import table
+from claimwright.llm.common import folder, table
+from claimwright.llm.exact import exact_duplicates
+from claimwright.llm.mixing import mixed
+from claimwright.llm.records import write_and_read
 from claimwright.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +39,75 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_automaton")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), keep_ids=False)
+
+
+@query("op2_binary_records")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs, path = table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json")
+    found = write_and_read(spark, docs, folder(spark, "records"), path, public_tokenizers.PATTERN, end_id=0)
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op4_exact_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op4_exact_dedup"] = """
+    SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+        doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+    FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@query("op10_mixing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixed(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.0, most=3.0, seed="mix")
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op10_mixing"] = r"""
+    WITH sized AS (
+        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+            (('0x' || substr(md5('mix/' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
+        FROM documents
+    ), sources AS (
+        SELECT source, sum(size)::BIGINT AS source_size, sum(size)::DOUBLE * 3.0 AS cap,
+            ([5.0, 2.0, 1.0])[((row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1)::INTEGER]::DOUBLE AS weight
+        FROM sized GROUP BY source
+    ), levels AS (
+        SELECT *, ((sum(source_size) OVER ())::DOUBLE - coalesce(sum(cap) OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+            / sum(weight) OVER (r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+        FROM sources WINDOW r AS (ORDER BY cap / weight, source IS NULL, source)
+    ), goals AS (
+        SELECT source, source_size, least(cap, coalesce(max(level) FILTER (level * weight <= cap) OVER () * weight, cap)) AS target
+        FROM levels
+    ), included AS (
+        SELECT d.*, g.source_size, g.target, CASE WHEN g.source_size > 0 THEN least(g.target / g.source_size, 3.0) ELSE 0.0 END AS inclusion
+        FROM sized d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source
+    ), parts AS (
+        SELECT *, floor(inclusion)::BIGINT AS certain, inclusion - floor(inclusion) AS p FROM included
+    ), ranked AS (
+        SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS odds, target - sum(certain * size) OVER (PARTITION BY source) AS wanted
+        FROM parts
+    ), running AS (
+        SELECT *, odds / (1 + odds) AS rank,
+            sum(size) OVER (PARTITION BY source ORDER BY odds / (1 + odds), doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+        FROM ranked
+    ), cuts AS (
+        SELECT source, min(upto - size) AS fits, min({'rank': rank, 'doc_id': doc_id}) AS place
+        FROM running WHERE rank IS NOT NULL AND upto > wanted GROUP BY source
+    ), sampled AS (
+        SELECT r.*, c.fits, c.source IS NOT NULL OR c.fits IS NOT NULL AS has_cut,
+            r.rank IS NOT NULL AND (c.place IS NULL OR {'rank': r.rank, 'doc_id': r.doc_id} < c.place) AS inside
+        FROM running r LEFT JOIN cuts c ON r.source IS NOT DISTINCT FROM c.source
+    ), closing AS (
+        SELECT source, arg_min(doc_id, {'gap': abs(size - (wanted - fits)), 'rank': rank, 'doc_id': doc_id}) AS doc_id
+        FROM sampled WHERE rank IS NOT NULL AND NOT inside AND fits IS NOT NULL AND abs(size - (wanted - fits)) < wanted - fits GROUP BY source
+    )
+    SELECT s.doc_id, s.size, s.source_size, s.target,
+        (s.size * (s.certain + (s.inside OR c.doc_id IS NOT NULL)::INTEGER))::BIGINT AS taken
+    FROM sampled s LEFT JOIN closing c ON s.source IS NOT DISTINCT FROM c.source AND s.doc_id = c.doc_id
+"""
