@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from claimwright.llm.automaton import encoded
-from claimwright.llm.common import folder, table
+from claimwright.llm.common import folder, ship, table
 from claimwright.llm.exact import exact_duplicates
 from claimwright.llm.mixing import mixed
 from claimwright.llm.records import write_and_read
+from claimwright.llm.simhash import near_duplicates
 from claimwright.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,7 +26,11 @@ def tokenizer(name: str) -> str:
 
 def query(name: str):
     def register(function):
-        QUERIES[name] = function
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = run
         return function
 
     return register
@@ -111,3 +116,8 @@ ORACLES["op10_mixing"] = r"""
         (s.size * (s.certain + (s.inside OR c.doc_id IS NOT NULL)::INTEGER))::BIGINT AS taken
     FROM sampled s LEFT JOIN closing c ON s.source IS NOT DISTINCT FROM c.source AND s.doc_id = c.doc_id
 """
+
+
+@query("op3_simhash")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, most=3)
