@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimwright.llm.automaton import encoded
 from claimwright.llm.common import folder, ship, table
 from claimwright.llm.exact import exact_duplicates
+from claimwright.llm.language import languages
 from claimwright.llm.mixing import mixed
+from claimwright.llm.neighbours import nearest
+from claimwright.llm.preferences import preference_pairs, swapped_replies
+from claimwright.llm.quality import quality
 from claimwright.llm.records import write_and_read
 from claimwright.llm.simhash import near_duplicates
 from claimwright.llm.token_counts import token_counts
@@ -121,3 +125,64 @@ ORACLES["op10_mixing"] = r"""
 @query("op3_simhash")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, most=3)
+
+
+@query("op5_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_preferences")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = preference_pairs(*swapped_replies(table(spark, sf_dir, "conversations")))
+    listed = {c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"], s["end"])), ",").alias(c) for c in ("chosen_mask", "rejected_mask")}
+    return found.select("pair_id", "n_common", "prompt", "chosen", "rejected", *listed.values())
+
+
+ORACLES["op6_preferences"] = """
+    WITH replies AS (
+        SELECT conv_id, max(turn) FILTER (role = 'assistant') AS last FROM conversations GROUP BY conv_id
+    ), said AS (
+        SELECT c.conv_id, max(c.text) AS reply FROM conversations c JOIN replies r USING (conv_id)
+        WHERE c.turn = r.last AND c.role = 'assistant' GROUP BY c.conv_id
+    ), sides AS (
+        SELECT conv_id AS pair_id, 'c' AS side, turn, role, text FROM conversations JOIN replies USING (conv_id) WHERE last IS NULL OR turn <= last
+        UNION ALL
+        SELECT conv_id, 'r', turn, role, text FROM conversations JOIN replies USING (conv_id) WHERE last IS NULL OR turn < last
+        UNION ALL
+        SELECT r.conv_id, 'r', r.last, 'assistant', s.reply FROM replies r JOIN said s ON s.conv_id = xor(r.conv_id, 1) WHERE r.last IS NOT NULL
+    ), placed AS (
+        SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn, role, text) AS pos, length('<|im_start|>' || role || chr(10)) AS head,
+            '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS shown
+        FROM sides
+    ), differ AS (
+        SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, coalesce(c.pos, r.pos) AS pos,
+            c.pos IS NULL OR r.pos IS NULL OR c.role <> r.role OR c.text <> r.text AS other
+        FROM (FROM placed WHERE side = 'c') c FULL JOIN (FROM placed WHERE side = 'r') r ON c.pair_id = r.pair_id AND c.pos = r.pos
+    ), common AS (
+        SELECT pair_id, coalesce(min(pos) FILTER (other) - 1, max(pos))::INTEGER AS n_common FROM differ GROUP BY pair_id
+    ), after AS (
+        SELECT p.*, sum(length(shown)) OVER (PARTITION BY p.pair_id, side ORDER BY pos) - length(shown) AS begins
+        FROM placed p JOIN common USING (pair_id) WHERE pos > n_common
+    ), parts AS (
+        SELECT pair_id, string_agg(shown, '' ORDER BY pos) FILTER (side = 'c') AS c, string_agg(shown, '' ORDER BY pos) FILTER (side = 'r') AS r,
+            string_agg((begins + head)::VARCHAR || '-' || (begins + length(shown))::VARCHAR, ',' ORDER BY pos) FILTER (side = 'c' AND role = 'assistant') AS cm,
+            string_agg((begins + head)::VARCHAR || '-' || (begins + length(shown))::VARCHAR, ',' ORDER BY pos) FILTER (side = 'r' AND role = 'assistant') AS rm
+        FROM after GROUP BY pair_id
+    ), prompts AS (
+        SELECT pair_id, string_agg(shown, '' ORDER BY pos) AS prompt FROM placed JOIN common USING (pair_id) WHERE side = 'c' AND pos <= n_common GROUP BY pair_id
+    )
+    SELECT pair_id, n_common, coalesce(prompt, '') AS prompt, coalesce(c, '') AS chosen, coalesce(r, '') AS rejected,
+        coalesce(cm, '') AS chosen_mask, coalesce(rm, '') AS rejected_mask
+    FROM common LEFT JOIN prompts USING (pair_id) LEFT JOIN parts USING (pair_id)
+"""
+
+
+@query("op7_prefix_forest")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0, k=5)
+
+
+@query("op8_language")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
