@@ -49,6 +49,11 @@ def whole_texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", *more, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def carried(docs: DataFrame, *columns) -> DataFrame:
+    """The columns asked for beside the whole row, which is held in one column, so that names cannot clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole_row"), *columns)
+
+
 def folder(spark: SparkSession, label: str) -> str:
     """A new folder below the shared one that the cluster names in spark.checkpoint.dir."""
     return shared_dir(spark, "llm", label, uuid.uuid4().hex)

@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from claimwright.llm.common import folder, stored
+from claimwright.llm.common import carried, folder, stored
 
 SEED = 42
 _RECORD = "key bigint, text string, keep_id bigint, n bigint"
@@ -210,10 +210,9 @@ def without_copies(docs: DataFrame, capacity: int = 4096, keys_per_owner: int =
     Rows to keep are matched by (doc_id, text); of rows that repeat both, one stays, chosen by a hash of the
     whole row, so that a rerun agrees.
     """
-    entries = build_index(docs, capacity, keys_per_owner)
-    names, text = docs.columns, normalised(F.col("text"))
-    rows = docs.withColumns({"_key": F.xxhash64(text), "_sha": F.sha2(text, 256)})
-    stay = entries.select(F.col("key").alias("_key"), F.col("sha256").alias("_sha"), F.col("keep_id").alias("_keep"))
-    kept = rows.join(stay, (rows["_key"] == stay["_key"]) & (rows["_sha"] == stay["_sha"]) & rows["doc_id"].eqNullSafe(stay["_keep"]), "left_semi")
-    first = Window.partitionBy("_sha").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in names]))
-    return kept.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select(*[F.col(f"`{c}`") for c in names])
+    entries, text = build_index(docs, capacity, keys_per_owner), normalised(F.col("text"))
+    rows = carried(docs, "doc_id", F.xxhash64(text).alias("key"), F.sha2(text, 256).alias("sha256"))
+    stay = entries.select(F.col("key").alias("k"), F.col("sha256").alias("s"), "keep_id")
+    same = (F.col("key") == F.col("k")) & (F.col("sha256") == F.col("s")) & F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    first = Window.partitionBy("sha256").orderBy(F.xxhash64("whole_row"))
+    return rows.join(stay, same, "left_semi").withColumn("n", F.row_number().over(first)).filter("n = 1").select("whole_row.*")

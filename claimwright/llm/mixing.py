@@ -24,7 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from claimwright.llm.common import WORD, stored
+from claimwright.llm.common import WORD, carried, stored
 
 BINS = 4096
 _DRAW_BITS = 52
@@ -132,9 +132,8 @@ def mixed(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float =
 
 def repeated(docs: DataFrame, **settings) -> DataFrame:
     """The mix itself: every document as often as it was taken, with all its columns."""
-    names = docs.columns
-    taken = mixed(docs, **settings).filter("copies > 0").select(F.col("doc_id").alias("_id"), "mark", F.col("copies").alias("_copies"))
-    rows = docs.withColumn("_mark", F.xxhash64("text"))
-    rows = rows.join(taken.distinct(), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("mark")))
-    each = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return each.select(*[F.col(f"`{c}`") for c in names])
+    taken = mixed(docs, **settings).filter("copies > 0").select(F.col("doc_id").alias("i"), F.col("mark").alias("m"), F.col("source").alias("s"), "copies")
+    rows = carried(docs, "doc_id", F.xxhash64("text").alias("mark"), F.col("source").cast("string").alias("source"))
+    same = F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m")) & F.col("source").eqNullSafe(F.col("s"))
+    each = rows.join(taken.distinct(), same).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return each.select("whole_row.*")

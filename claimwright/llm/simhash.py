@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from claimwright.llm.common import map_batches, stored, whole_texts
+from claimwright.llm.common import carried, map_batches, stored, whole_texts
 from claimwright.llm.components import components
 
 SEED = 42
@@ -278,11 +278,10 @@ def one_of_each(docs: DataFrame, shingle: int = 3, most: int = 3, block: int = 1
     Of rows that share that id, or where a component has no id at all, the least hash of the text decides, then
     that of the whole row.
     """
-    names = docs.columns
     least = Window.partitionBy("root").orderBy("mark")
     stay = rooted(docs, shingle, most, block).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stay = stay.withColumn("_n", F.row_number().over(least)).filter("_n = 1").select(F.col("doc_id").alias("_id"), "mark")
-    rows = docs.withColumn("_mark", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    kept = rows.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("mark")), "left_semi")
-    first = Window.partitionBy("doc_id", "_mark").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in names]))
-    return kept.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select(*[F.col(f"`{c}`") for c in names])
+    stay = stay.withColumn("n", F.row_number().over(least)).filter("n = 1").select(F.col("doc_id").alias("i"), F.col("mark").alias("m"))
+    rows = carried(docs, "doc_id", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("mark"))
+    kept = rows.join(stay, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m")), "left_semi")
+    first = Window.partitionBy("doc_id", "mark").orderBy(F.xxhash64("whole_row"))
+    return kept.withColumn("n", F.row_number().over(first)).filter("n = 1").select("whole_row.*")
