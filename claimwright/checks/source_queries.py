@@ -14,6 +14,7 @@ from claimwright.contracts import CLAIMS, CONTRACTS, MEMBERS, PROVENANCE
 from claimwright.operators import metrics as m
 from claimwright.plans import silver as s
 from claimwright.plans.ingest import ingest_all, ingest_source
+from claimwright.session import ship
 from claimwright.sources import audit, drift, files, sinks
 from claimwright.sources import bronze as b
 from claimwright.sources.records import read_records
@@ -42,6 +43,10 @@ def _source(spark: SparkSession, sf: str, root: str, name: str = "claims"):
     return scratch.sources(spark, sf, f"{root}/bronze")[name]
 
 
+def _profile(spark: SparkSession, sf: str, label: str) -> DataFrame:
+    return files.profile(spark, files.discover(spark, _source(spark, sf, scratch.fresh(spark, label))))
+
+
 def _ingested(spark: SparkSession, sf: str, label: str, runs: tuple[bool, ...] = (False,)):
     """Ingest the claim files into a fresh Bronze, once per entry of ``runs`` (its value is ``force``)."""
     root = scratch.fresh(spark, label)
@@ -83,14 +88,13 @@ def _(spark, sf):
 
 @add("s03_content_hash", f"select sha256(content) as file_hash, octet_length(encode(content)) as bytes from {_FILES}")
 def _(spark, sf):
-    return files.profile(spark, _source(spark, sf, scratch.fresh(spark, "s03"))).select("file_hash", "bytes")
+    return _profile(spark, sf, "s03").select("file_hash", "bytes")
 
 
 @add("s03_line_hash_of_large_files", f"select split_part(content, chr(10), 1) as header, false as multiline from {_FILES}")
 def _(spark, sf):
-    """The split scan that stands in for a whole-file hash, here asked of every file."""
-    found = files.discover(spark, _source(spark, sf, scratch.fresh(spark, "s03"))).collect()
-    return files.scan_large(spark, [r["path"] for r in found]).select("header", "multiline")
+    """What the pass that hashes a file learns beside the hash."""
+    return _profile(spark, sf, "s03").select(F.array_join("header", ",").alias("header"), F.col("spanning").alias("multiline"))
 
 
 @add("s04_csv_scan", "select cast(doc_id as varchar) as doc_id, lang, text from documents")
@@ -108,6 +112,7 @@ def _(spark, sf):
     path = scratch.fresh(spark, "s04")
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "text")
     docs.write.options(header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    ship(spark)
     return read_records(spark, [path], ["doc_id", "lang", "text"]).drop("source_file")
 
 
@@ -162,7 +167,7 @@ def _(spark, sf):
   case when has_drift then 'adjustment_amount' else '' end as unexpected, count(*) as file_count from {_FILES} group by all""")
 def _(spark, sf):
     source = _source(spark, sf, scratch.fresh(spark, "s11"))
-    headers = files.profile(spark, source).select(F.split("header", ",").alias("columns"))
+    headers = _profile(spark, sf, "s11").select(F.col("header").alias("columns"))
     checked = drift.check_columns(headers, source)
     return checked.groupBy(
         "status", F.array_join("missing_required_columns", ",").alias("missing"),

@@ -1,95 +1,89 @@
-"""Landed files to Bronze: find, skip what is known, check the columns, land, record."""
+"""Landed files to Bronze: find, skip what is known, check, land, record, publish."""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
 from functools import reduce
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from claimwright.session import concurrently, staging
 from claimwright.sources import audit, drift, files
 from claimwright.sources.audit import AuditLog
-from claimwright.sources.bronze import with_provenance, write_bronze
-from claimwright.sources.records import read_records
+from claimwright.sources.bronze import current_snapshot, publish, with_provenance, write_bronze
 from claimwright.sources.registry import Source
 
 STATUS = "source_name string, source_file string, status string, message string"
+_UNCHANGED = ["source_file", "bytes", "modified_time"]
 
 
 def _now() -> str:
     return dt.datetime.now(dt.timezone.utc).isoformat()
 
 
-def _local(spark: SparkSession, rows: Sequence[Row], columns: Sequence[str]) -> DataFrame:
-    """Rows about files as a table of known size, so a join with it can be planned by size."""
-    return spark.createDataFrame(pa.table({c: [r[c] for r in rows] for c in columns}))
+def _files(spark: SparkSession, source: Source, log: AuditLog, force: bool, stage) -> DataFrame:
+    """Every file with its hash and ``todo``; header and faults of those whose content was read.
 
-
-def _select_files(spark: SparkSession, source: Source, log: AuditLog, force: bool, limit: int) -> tuple[list[Row], list[Row]]:
-    """(to land, skipped), by file name. One row per file: the driver's own listing, no data.
-
-    A full load is a snapshot: if one of its files is new, all of them are landed again, since only
-    the newest ingestion date is read back.
+    A file that the log knows by name, size and time is not opened. A full load is a snapshot: it is landed again
+    as a whole unless its contents are just those of the snapshot that is published.
     """
-    known = log.ingested(source.name).withColumn("_known", F.lit(True))
-    profiled = files.profile(spark, source, limit).join(known, "file_hash", "left").orderBy("source_file").collect()
-    names = [r["source_file"] for r in profiled]
-    if len(set(names)) < len(names):
+    listing = stage(files.discover(spark, source), "listing")
+    if not listing.groupBy("source_file").count().filter("count > 1").isEmpty():
         raise ValueError(f"source {source.name}: file names must be unique, also across folders")
-    if force or (source.load_type == "full" and not all(r["_known"] for r in profiled)):
-        return profiled, []
-    return [r for r in profiled if not r["_known"]], [r for r in profiled if r["_known"]]
-
-
-def _check(spark: SparkSession, source: Source, rows: Sequence[Row]) -> dict[str, Row]:
-    """Contract result per distinct header line."""
-    headers = sorted({r["header"] or "" for r in rows})
-    table = pa.table({"header": headers, "columns": pa.array([drift.header_columns(h) for h in headers], pa.list_(pa.string()))})
-    return {r["header"]: r for r in drift.check_columns(spark.createDataFrame(table), source).collect()}
-
-
-# Scan of files that share a header: split, whole, or split with records put together.
-_SCANS = {
-    "split": lambda spark, paths, columns: files.read_csv(spark, paths, columns, multiline=False),
-    "whole": lambda spark, paths, columns: files.read_csv(spark, paths, columns, multiline=True),
-    "stitched": read_records,
-}
-
+    known = log.landed(source.name)
+    same = listing.join(known, _UNCHANGED).select(*listing.columns, "file_hash")
+    fresh = listing if force else listing.join(known, _UNCHANGED, "left_anti")
+    read = stage(files.profile(spark, fresh), "profile")
+    if force:
+        return read.withColumn("todo", F.lit(True))
+    kept = stage(same, "unchanged")
+    if source.load_type != "full":
+        seen = log.ingested(source.name).withColumn("_seen", F.lit(True))
+        new = read.join(seen, "file_hash", "left").withColumn("todo", F.col("_seen").isNull()).drop("_seen")
+        return new.unionByName(kept.withColumn("todo", F.lit(False)), allowMissingColumns=True)
+    published = current_snapshot(spark, source.bronze_path)
+    here = read.select("file_hash").unionByName(kept.select("file_hash")).distinct()
+    if published is not None:
+        there = published.select("file_hash").distinct()
+        if here.exceptAll(there).isEmpty() and there.exceptAll(here).isEmpty():
+            return read.unionByName(kept, allowMissingColumns=True).withColumn("todo", F.lit(False))
+    again = stage(files.profile(spark, kept.drop("file_hash")), "profile-again")
+    return read.unionByName(again).withColumn("todo", F.lit(True))
+
+
+def _checked(found: DataFrame, source: Source) -> DataFrame:
+    """Add ``status`` and ``message``. Of equal contents the first name is landed, the others are skipped."""
+    checked = drift.check_columns(found, source, columns="header").withColumnRenamed("status", "_contract")
+    repeated = F.size("header") > F.size(F.array_distinct("header"))
+    fault = F.when(F.col("error").isNotNull(), F.concat(F.lit("Cannot be read: "), F.col("error")))
+    fault = F.coalesce(fault, F.when(F.col("_contract") == drift.FAILED, F.col("message")), F.when(repeated, F.lit("A column name is repeated in the header.")))
+    first = F.min("source_file").over(Window.partitionBy("file_hash"))
+    checked = checked.withColumns({"_fault": F.when(F.col("todo"), fault), "_first": first})
+    copy = F.col("source_file") > F.col("_first")
+    status = (
+        F.when(~F.col("todo"), audit.SKIPPED).when(F.col("_fault").isNotNull(), audit.FAILED).when(copy, audit.SKIPPED)
+        .when(F.col("_contract") == drift.PASSED, audit.SUCCESS).otherwise(audit.SUCCESS_WITH_DRIFT)
+    )
+    message = F.when(~F.col("todo"), "").when(F.col("_fault").isNotNull(), F.col("_fault")).when(copy, F.concat(F.lit("Same content as "), F.col("_first"))).otherwise(F.col("message"))
+    kept = ["path", "source_file", "modified_time", "bytes", "file_hash", "header", "spanning"]
+    return checked.select(*kept, status.alias("status"), message.alias("message"))
 
-def _scan_for(file: Row, limit: int) -> str:
-    if not file["multiline"]:
-        return "split"
-    return "stitched" if file["bytes"] > limit else "whole"
 
+def _land(spark: SparkSession, source: Source, good: DataFrame, at: str) -> None:
+    """Write the files, one job for each header: the jobs follow the variants of headers, not the files."""
+    hashes = good.select("source_file", "file_hash")
+    for variant in good.select("header", "spanning").distinct().collect():
+        alike = good.filter((F.col("header") == F.lit(variant["header"])) & (F.col("spanning") == variant["spanning"]))
+        paths = [r["path"] for r in alike.select("path").collect()]  # the scan's own list of files
+        rows = files.read_csv(spark, paths, variant["header"], multiline=variant["spanning"])
+        write_bronze(with_provenance(rows, hashes, at), source.bronze_path)
 
-def _land(spark: SparkSession, source: Source, rows: Sequence[Row], columns: Sequence[str], scan: str, at: str) -> dict[str, str]:
-    """Write files of one header in one job; returns error text per file that could not be landed.
 
-    If the job fails, the files are tried in halves until the bad ones are alone.
-    """
-    if not rows:
-        return {}
-    try:
-        scanned = _SCANS[scan](spark, [r["path"] for r in rows], columns)
-        write_bronze(with_provenance(scanned, _local(spark, rows, ("source_file", "file_hash")), at), source.bronze_path)
-        return {}
-    except Exception as e:  # noqa: BLE001  (any failure belongs in the audit log)
-        if len(rows) == 1:
-            return {rows[0]["source_file"]: f"Unexpected error: {str(e).splitlines()[0]}"}
-        half = len(rows) // 2
-        return {
-            **_land(spark, source, rows[:half], columns, scan, at),
-            **_land(spark, source, rows[half:], columns, scan, at),
-        }
-
-
-def _landed_counts(spark: SparkSession, source: Source, at: str) -> dict[str, int]:
-    """Rows per file landed that day: one row per file, counted from partition columns alone."""
+def _counts(spark: SparkSession, source: Source, at: str) -> DataFrame:
+    """Rows per file landed that day, counted from partition columns alone."""
     landed = spark.read.schema("ingestion_date string, source_file string").parquet(source.bronze_path)
     today = landed.filter(F.col("ingestion_date") == at[:10])
-    return {r["source_file"]: r["count"] for r in today.groupBy("source_file").count().collect()}
+    return today.groupBy("source_file").agg(F.count(F.lit(1)).alias("record_count"))
 
 
 def ingest_source(
@@ -99,49 +93,57 @@ def ingest_source(
     log: AuditLog,
     force: bool = False,
     at: str | None = None,
-    limit: int = files.WHOLE_FILE_BYTES,
 ) -> DataFrame:
     """Ingest every file of one source. Returns (source_name, source_file, status, message).
 
-    Files that share a header are landed by one job, so the number of jobs follows the number of
-    header variants and not the number of files. A bad file does not stop the others.
+    A bad file does not stop the others. A full load is published only if none of its files failed: readers of
+    the newest snapshot keep the last one that was complete. On the day of a published snapshot its outputs
+    are left alone until all files are good. A fault that no file caused fails the run.
     """
     if name not in sources:
         raise ValueError(f"unknown source {name}; known: {sorted(sources)}")
     source, at = sources[name], at or _now()
-    todo, skipped = _select_files(spark, source, log, force, limit)
-    outcome = [(name, r["source_file"], audit.SKIPPED, "") for r in skipped]
-    if not todo:
-        return spark.createDataFrame(outcome, STATUS)
-
-    attempts = log.started(_local(spark, todo, ("source_file", "file_hash")), name, source.load_type, at)
-    log.append(attempts)
-
-    checked = _check(spark, source, todo)
-    errors = {r["source_file"]: checked[r["header"] or ""]["message"] for r in todo
-              if checked[r["header"] or ""]["status"] == drift.FAILED}
-    for header in sorted({r["header"] for r in todo if r["source_file"] not in errors}):
-        group = [r for r in todo if r["header"] == header and r["source_file"] not in errors]
-        for scan in _SCANS:
-            alike = [r for r in group if _scan_for(r, limit) == scan]
-            errors |= _land(spark, source, alike, checked[header]["columns"], scan, at)
-
-    counts = _landed_counts(spark, source, at) if len(errors) < len(todo) else {}
-    ends = []
-    for r in todo:
-        file, header = r["source_file"], checked[r["header"] or ""]
-        if file in errors:
-            ends.append((file, audit.FAILED, None, errors[file], None, errors[file]))
-        else:
-            status = audit.SUCCESS if header["status"] == drift.PASSED else audit.SUCCESS_WITH_DRIFT
-            target = f"{source.bronze_path}/ingestion_date={at[:10]}/source_file={file}"
-            ends.append((file, status, counts.get(file, 0), None, target, header["message"]))
-    ended = spark.createDataFrame(
-        ends, "source_file string, status string, record_count bigint, error_message string, target_path string, message string"
-    )
-    log.append(attempts.drop("status", "event_time").join(ended, "source_file").withColumn("event_time", F.lit(_after(at))))
-    outcome += [(name, e[0], e[1], e[5]) for e in ends]
-    return spark.createDataFrame(outcome, STATUS).orderBy("source_file")
+    with staging(spark) as stage:
+        checked = stage(_checked(_files(spark, source, log, force, stage), source), "checked")
+        todo = checked.filter(F.col("status") != audit.SKIPPED)
+        if todo.isEmpty():
+            return _outcome(spark, name, checked, log)
+        failed = not todo.filter(F.col("status") == audit.FAILED).isEmpty()
+        if failed and source.load_type == "full":
+            published = current_snapshot(spark, source.bronze_path)
+            if published is not None and published.first()["ingestion_date"] == at[:10]:
+                held = F.col("status").isin(audit.SUCCESSES)
+                why = F.lit("Held back: another file of the snapshot failed.")
+                checked = checked.withColumns({"message": F.when(held, why).otherwise(F.col("message")), "status": F.when(held, audit.FAILED).otherwise(F.col("status"))})
+                todo = checked.filter(F.col("status") != audit.SKIPPED)
+
+        attempts = stage(log.started(todo, name, source.load_type, at), "attempts")
+        log.append(attempts, name)
+        good = todo.filter(F.col("status").isin(audit.SUCCESSES))
+        landed = not good.isEmpty()
+        try:
+            if landed:
+                _land(spark, source, good, at)
+        except Exception as e:
+            why = F.lit(f"Unexpected error: {str(e).splitlines()[0]}")
+            log.append(attempts.withColumns({"status": F.lit(audit.FAILED), "error_message": why, "event_time": F.lit(_after(at))}), name)
+            raise
+        target = F.concat(F.lit(f"{source.bronze_path}/ingestion_date={at[:10]}/source_file="), F.col("source_file"))
+        ok = F.col("status").isin(audit.SUCCESSES)
+        ended = todo.select(
+            "source_file", "status", F.when(~ok, F.col("message")).alias("error_message"), F.when(ok, target).alias("target_path"))
+        if landed:
+            ended = ended.join(_counts(spark, source, at), "source_file", "left")
+            ended = ended.withColumn("record_count", F.when(ok, F.coalesce("record_count", F.lit(0))))
+        log.append(attempts.drop("status", "event_time").join(ended, "source_file").withColumn("event_time", F.lit(_after(at))), name)
+        if source.load_type == "full" and not failed:
+            publish(good.select("source_file", "file_hash"), source.bronze_path, at)
+        return _outcome(spark, name, checked, log)
+
+
+def _outcome(spark: SparkSession, name: str, checked: DataFrame, log: AuditLog) -> DataFrame:
+    """Kept beside the log: it outlives the run's staged tables."""
+    return log.keep_outcome(checked.select(F.lit(name).alias("source_name"), "source_file", "status", "message"))
 
 
 def _after(at: str) -> str:
@@ -150,8 +152,9 @@ def _after(at: str) -> str:
 
 
 def ingest_all(spark: SparkSession, sources: dict[str, Source], log: AuditLog, force: bool = False, at: str | None = None) -> DataFrame:
-    """Every source in turn; rows with status FAILED mean that the run failed."""
-    return reduce(DataFrame.unionByName, [ingest_source(spark, n, sources, log, force, at) for n in sources])
+    """Every source, side by side; rows with status FAILED mean that the run failed."""
+    jobs = [lambda n=n: ingest_source(spark, n, sources, log, force, at) for n in sources]
+    return reduce(DataFrame.unionByName, concurrently(*jobs))
 
 
 def failures(outcome: DataFrame) -> DataFrame:

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
+import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from functools import cache
+from pathlib import Path
+from threading import Lock
 from typing import TypeVar
 
+from pyarrow import fs
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 T = TypeVar("T")
 
@@ -61,6 +67,53 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([root.rstrip("/"), "claimwright", spark.sparkContext.applicationId, *parts])
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Writes tables to a folder of the run in the shared one and reads them back; removes them at the end."""
+    root = shared_dir(spark, "staging", uuid.uuid4().hex)
+
+    def stage(df: DataFrame, label: str) -> DataFrame:
+        path = f"{root}/{label}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield stage
+    finally:
+        remove(root)
+
+
+def remove(path: str) -> None:
+    """Delete a folder of this library's own, if it is there."""
+    target, at = fs.FileSystem.from_uri(path)
+    if target.get_file_info(at).type == fs.FileType.Directory:
+        target.delete_dir(at)
+
+
+_shipped: set[str] = set()
+_shipping = Lock()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this library to the Python workers of the application, once, by way of the shared folder, so that
+    tasks can import it wherever they run."""
+    application = spark.sparkContext.applicationId
+    with _shipping:
+        if application in _shipped:
+            return
+        package, packed = Path(__file__).resolve().parent, io.BytesIO()
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+            for file in sorted(package.rglob("*.py")):
+                z.write(file, f"{package.name}/{file.relative_to(package)}")
+        at = shared_dir(spark, "code", uuid.uuid4().hex)
+        target, path = fs.FileSystem.from_uri(at)
+        target.create_dir(path, recursive=True)
+        with target.open_output_stream(f"{path}/{package.name}.zip") as out:
+            out.write(packed.getvalue())
+        spark.sparkContext.addPyFile(f"{at}/{package.name}.zip")
+        _shipped.add(application)
+
+
 def input_bytes(spark: SparkSession, *paths: str) -> int:
     """Total size of the files under ``paths``, from the listing alone (no content is read)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))

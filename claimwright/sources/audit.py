@@ -13,7 +13,8 @@ SUCCESSES = [SUCCESS, SUCCESS_WITH_DRIFT]
 
 SCHEMA = (
     "ingestion_id string, source_name string, source_file string, file_hash string, load_type string, "
-    "event_time string, status string, record_count bigint, error_message string, target_path string"
+    "event_time string, status string, record_count bigint, error_message string, target_path string, "
+    "bytes bigint, modified_time string"
 )
 HISTORY = [
     "ingestion_id", "source_name", "source_file", "file_hash", "ingestion_start_time", "ingestion_end_time",
@@ -34,20 +35,31 @@ class AuditLog:
                 return self.spark.createDataFrame([], SCHEMA)
             raise
 
-    def append(self, events: DataFrame) -> None:
-        """Add state changes; columns that are absent are NULL."""
+    def append(self, events: DataFrame, source_name: str | None = None) -> None:
+        """Add state changes; columns that are absent are NULL.
+
+        A folder per source: a run reads the log of its own, and runs of several sources may write at once if they
+        name theirs. The events of a run are one small file.
+        """
         names = [f.strip().split()[0] for f in SCHEMA.split(",")]
         kinds = dict(f.strip().split() for f in SCHEMA.split(","))
         full = [(F.col(n) if n in events.columns else F.lit(None)).cast(kinds[n]).alias(n) for n in names]
-        events.select(*full).write.mode("append").parquet(self.path)
+        rows = events.select(*full).coalesce(1)
+        if source_name is None:
+            rows.write.mode("append").partitionBy("source_name").parquet(self.path)
+        else:
+            rows.drop("source_name").write.mode("append").parquet(f"{self.path}/source_name={source_name}")
 
     def started(self, files: DataFrame, source_name: str, load_type: str, at: str) -> DataFrame:
-        """Attempts to begin. An id is a digest over this run's id, so a task run twice yields the same."""
+        """Attempts to begin. An id is a digest over this run's id, so a task run twice yields the same.
+
+        Size and time of the files, where given, let a later run know them without opening them.
+        """
         identity = F.concat_ws("|", F.lit(uuid.uuid4().hex), F.lit(source_name), "source_file", "file_hash")
         return files.select(
             F.sha2(identity, 256).alias("ingestion_id"), F.lit(source_name).alias("source_name"), "source_file",
             "file_hash", F.lit(load_type).alias("load_type"), F.lit(at).alias("event_time"),
-            F.lit(IN_PROGRESS).alias("status"),
+            F.lit(IN_PROGRESS).alias("status"), *[c for c in ("bytes", "modified_time") if c in files.columns],
         )
 
     def history(self, source_name: str | None = None) -> DataFrame:
@@ -69,3 +81,17 @@ class AuditLog:
         events = self.events()
         ok = (F.col("source_name") == source_name) & F.col("status").isin(SUCCESSES)
         return events.filter(ok).select("file_hash").distinct()
+
+    def landed(self, source_name: str) -> DataFrame:
+        """Files that were landed, as they were then: name, size, time and content hash."""
+        events = self.events()
+        ok = (F.col("source_name") == source_name) & F.col("status").isin(SUCCESSES) & F.col("modified_time").isNotNull()
+        # A file that came back to an earlier time and size has the hash it was last landed with.
+        last = F.max_by("file_hash", "event_time").alias("file_hash")
+        return events.filter(ok).groupBy("source_file", "bytes", "modified_time").agg(last)
+
+    def keep_outcome(self, outcome: DataFrame) -> DataFrame:
+        """What a run did with each file, beside the log."""
+        path = f"{self.path}.outcomes/{uuid.uuid4().hex}"
+        outcome.coalesce(1).write.parquet(path)
+        return self.spark.read.schema(outcome.schema).parquet(path).orderBy("source_file")

@@ -52,11 +52,42 @@ def latest_date(spark: SparkSession, path: str) -> str:
     return newest
 
 
+_SNAPSHOT = "snapshot_at string, ingestion_date string, source_file string, file_hash string"
+
+
+def _snapshots(path: str) -> str:
+    return f"{path}.snapshots"
+
+
+def publish(landed: DataFrame, path: str, at: str) -> None:
+    """Record the files (source_file, file_hash) of a complete snapshot; from then on it is the one that is read."""
+    rows = landed.select(F.lit(at).alias("snapshot_at"), F.lit(at[:10]).alias("ingestion_date"), "source_file", "file_hash")
+    rows.coalesce(1).write.mode("append").parquet(_snapshots(path))
+
+
+def current_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
+    """Files of the newest complete snapshot; None where none was ever recorded."""
+    try:
+        rows = spark.read.schema(_SNAPSHOT).parquet(_snapshots(path))
+        newest = rows.agg(F.max("snapshot_at")).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return None if newest is None else rows.filter(F.col("snapshot_at") == newest)
+
+
 def read_full(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Newest snapshot only: the date is a partition, so other days are never opened."""
-    newest = latest_date(spark, path)
+    """Newest complete snapshot only: date and file are partitions, so nothing else is opened.
+
+    A table that was written without ever recording a snapshot is read by its newest date.
+    """
+    published = current_snapshot(spark, path)
+    newest = latest_date(spark, path) if published is None else published.first()["ingestion_date"]
     typed = StructType(schema.fields).add("ingestion_date", StringType())
     rows = spark.read.schema(typed).parquet(path).filter(F.col("ingestion_date") == newest)
+    if published is not None:
+        rows = rows.join(published.select("source_file"), "source_file", "left_semi").select(*typed.names)
     return rows.drop("ingestion_date").withColumn("bronze_ingestion_date", lineage_date("ingestion_timestamp"))
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -12,11 +11,6 @@ from claimwright.sources.registry import Source
 PASSED, DRIFTED, FAILED = "PASSED", "PASSED_WITH_DRIFT", "FAILED"
 
 
-def header_columns(line: str) -> list[str]:
-    """Column names of one header line."""
-    return next(csv.reader([line]), []) if line else []
-
-
 def _names(columns: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(columns, ", "), F.lit("]"))
 
@@ -42,8 +36,8 @@ def check_columns(headers: DataFrame, source: Source, columns: str = "columns")
     drift_status = FAILED if policy == "fail" else DRIFTED
     status = F.when(is_missing, FAILED).when(has_drift, drift_status).otherwise(PASSED)
     message = (
-        F.when(is_missing, F.concat(F.lit("Missing required column(s): "), _names(missing)))
-        .when(has_drift, F.concat(F.lit(f"Schema drift (policy '{policy}'): unexpected column(s) "), _names(unexpected)))
-        .otherwise("All columns as expected.")
+        F.when(is_missing, F.concat(F.lit("Required columns are not there: "), _names(missing)))
+        .when(has_drift, F.concat(F.lit("Columns nobody declared: "), _names(unexpected), F.lit(f"; the source says {policy}")))
+        .otherwise("Columns are those declared.")
     )
     return df.withColumns({"status": status, "message": message})

@@ -2,118 +2,109 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+import hashlib
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimwright.contracts import all_strings
+from claimwright.session import ship
+from claimwright.sources.records import file_name, lines_by_split, literally, read_records
 from claimwright.sources.registry import Source
 
-# Up to this size a file is hashed and parsed whole, by one task. Beyond it every step is split.
-WHOLE_FILE_BYTES = 512 * 1024 * 1024
-
 LISTING = "path string, source_file string, modified_time string, bytes bigint"
+PROFILE = "file_hash string, header array<string>, spanning boolean, error string"
 
 
-def _binary(spark: SparkSession, source: Source) -> DataFrame | None:
+def discover(spark: SparkSession, source: Source) -> DataFrame:
+    """Files of a source by name, from the listing alone (no content is read). Empty files are not listed."""
     try:
-        reader = spark.read.format("binaryFile").option("pathGlobFilter", source.file_pattern)
-        return reader.load(source.source_dir)
+        files = spark.read.format("binaryFile").option("pathGlobFilter", source.file_pattern).load(source.source_dir)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
-            return None
+            return spark.createDataFrame([], LISTING)
         raise
+    modified = F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    listed = files.select("path", file_name().alias("source_file"), modified.alias("modified_time"), F.col("length").alias("bytes"))
+    return listed.orderBy("source_file")
 
 
-def _listed(files: DataFrame) -> list[Column]:
-    modified = F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
-    return [
-        files["path"], F.col("_metadata.file_name").alias("source_file"),
-        modified.alias("modified_time"), files["length"].alias("bytes"),
-    ]
+def _unsplit(spark: SparkSession) -> SparkSession:
+    """A session whose scans give every file a task of its own."""
+    own = spark.newSession()
+    whole = str(1 << 60)
+    for key in ("maxPartitionBytes", "openCostInBytes"):
+        own.conf.set(f"spark.sql.files.{key}", whole)
+    own.conf.set("spark.sql.files.minPartitionNum", "1")
+    return own
 
 
-def discover(spark: SparkSession, source: Source) -> DataFrame:
-    """Files of a source by name, from the listing alone (no content is read)."""
-    files = _binary(spark, source)
-    if files is None:
-        return spark.createDataFrame([], LISTING)
-    return files.select(*_listed(files)).orderBy("source_file")
-
-
-def _header_of(line: Column) -> Column:
-    return F.regexp_replace(line, "\r$", "")
-
-
-def _whole(files: DataFrame, limit: int) -> DataFrame:
-    """Small files: SHA-256 of the bytes and the first line, in one read."""
-    small = files.filter(F.col("length") <= limit)
-    first = F.substring_index(F.col("content").cast("string"), "\n", 1)
-    return small.select(
-        *_listed(small), F.sha2("content", 256).alias("file_hash"), _header_of(first).alias("header"),
-        F.lit(True).alias("multiline"),
-    )
-
-
-def line_digest(value: Column | str, limbs: int = 4) -> list[Column]:
-    """Sums that identify a bag of lines whatever the order they are read in: the SHA-256 of each
-    line cut into 64-bit numbers, each added up."""
-    digest = F.sha2(value, 256)
-    parts = [F.conv(F.substring(digest, 1 + 16 * i, 16), 16, 10).cast("decimal(20,0)") for i in range(limbs)]
-    return [F.sum(p).alias(f"_limb{i}") for i, p in enumerate(parts)]
-
-
-def scan_large(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Large files, read in splits: digest of the lines, header, and whether a quoted field spans
-    lines (some physical line then holds an odd number of quotes)."""
-    lines = (
-        spark.read.option("lineSep", "\n").text(list(paths))
-        .select(
-            "value", F.col("_metadata.file_name").alias("source_file"),
-            F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_pos"),
-        )
-    )
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    first = F.min(F.when(F.col("_start") == 0, F.struct("_pos", "value")))
-    grouped = lines.groupBy("source_file").agg(
-        first["value"].alias("header"),
-        F.max((quotes % 2 == 1)).alias("multiline"),
-        F.count(F.lit(1)).alias("_lines"),
-        *line_digest("value"),
-    )
-    identity = F.concat_ws("|", "_lines", *[f"_limb{i}" for i in range(4)])
-    return grouped.select(
-        "source_file", F.sha2(identity, 256).alias("file_hash"), _header_of(F.col("header")).alias("header"), "multiline"
-    )
-
-
-def profile(spark: SparkSession, source: Source, limit: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """One row per file: listing, ``file_hash``, ``header`` line, ``multiline``.
-
-    Files above ``limit`` get a hash of their lines instead of their bytes: SHA-256 cannot be split.
+class _Hashed:
+    """Feeds lines to the CSV reader, and their bytes to the digest as they pass."""
+
+    def __init__(self, lines: Iterator[bytes], size: int):
+        self.lines, self.size, self.seen, self.digest = lines, size, 0, hashlib.sha256()
+
+    def take(self, line: bytes) -> None:
+        self.seen += len(line)
+        # The file may lack the end of its last line.
+        self.digest.update(line[:-1] if self.seen > self.size else line)
+
+    def __iter__(self) -> Iterator[str]:
+        for line in self.lines:
+            self.take(line)
+            yield line.decode()
+
+
+def _profile(lines: Iterator[bytes], size: int) -> tuple[str, list[str], bool, str | None]:
+    """SHA-256 of the bytes, first record, whether a record spans lines, why the file cannot be read."""
+    source, header, spanning, error, before = _Hashed(lines, size), None, False, None, 0
+    reader = csv.reader(source)
+    try:
+        for row in reader:
+            header = row if header is None else header
+            spanning = spanning or reader.line_num > before + 1
+            before = reader.line_num
+    except (csv.Error, UnicodeDecodeError) as e:
+        error = f"{type(e).__name__}: {e}"
+        for line in lines:
+            source.take(line)
+    return source.digest.hexdigest(), header or [], spanning, error
+
+
+def profile(spark: SparkSession, listing: DataFrame) -> DataFrame:
+    """The listed files with ``file_hash``, ``header``, ``spanning`` (a quoted field holds a line break) and
+    ``error`` (why the content cannot be read, else null).
+
+    The hash is the SHA-256 of a file's bytes, whatever its size: it cannot be split, so a file is streamed by one
+    task, in little memory, and files are read side by side. The same pass reads every record once, so that a
+    file that cannot be parsed or decoded is known before anything is landed.
     """
-    files = _binary(spark, source)
-    if files is None:
-        return spark.createDataFrame([], LISTING + ", file_hash string, header string, multiline boolean")
-    result = _whole(files, limit)
-    large = files.filter(F.col("length") > limit).select(*_listed(files))
-    paths = [r["path"] for r in large.select("path").collect()]
-    if paths:
-        result = result.unionByName(large.join(scan_large(spark, paths), "source_file"))
-    return result
-
-
-def read_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], multiline: bool) -> DataFrame:
-    """CSV files that share one header, every value a string, plus ``source_file``.
-
-    Spark reads an empty cell as NULL; it becomes the empty string again. Only files with a quoted
-    line break need ``multiline``, which reads a file in one task; all others are split.
+    paths = [r["path"] for r in listing.select("path").collect()]  # of the files to be read: the scan's own list
+    if not paths:
+        return listing.selectExpr("*", *(f"cast(null as {f.split()[1]}) as {f.split()[0]}" for f in PROFILE.split(", ")))
+    ship(spark)
+    text = _unsplit(spark).read.option("lineSep", "\n").text(literally(paths))
+    lines = text.select(F.col("value").cast("binary").alias("line"), file_name().alias("source_file"), F.col("_metadata.file_size").alias("split"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (file, size), content in lines_by_split(batches):
+            file_hash, header, spanning, error = _profile(content, size)
+            yield pa.RecordBatch.from_pydict({
+                "source_file": [file], "file_hash": [file_hash], "header": pa.array([header], pa.list_(pa.string())), "spanning": [spanning],
+                "error": pa.array([error], pa.string())})
+
+    found = lines.mapInArrow(run, f"source_file string, {PROFILE}")
+    empty = {"file_hash": F.lit(hashlib.sha256().hexdigest()), "header": F.array().cast("array<string>"), "spanning": F.lit(False)}
+    return listing.join(found, "source_file", "left").select(*listing.columns, *(F.coalesce(c, v).alias(c) for c, v in empty.items()), "error")
+
+
+def read_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], multiline: bool = True) -> DataFrame:
+    """CSV files that share one header, every value a string, plus ``source_file``; read in splits.
+
+    ``multiline=False`` says that no quoted field holds a line break, which saves a look at all lines.
     """
-    rows = (
-        spark.read.schema(all_strings(columns))
-        .options(header=True, escape='"', multiLine=multiline, mode="PERMISSIVE")
-        .csv(list(paths))
-    )
-    cells = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns]
-    return rows.select(*cells, F.col("_metadata.file_name").alias("source_file"))
+    ship(spark)
+    return read_records(spark, paths, columns, spanning=multiline)

@@ -1,71 +1,203 @@
-"""CSV records of large files whose quoted fields span lines, read in splits.
+"""CSV records of files that are read in splits, whatever lies in their quoted fields.
 
-Spark's multi-line reader takes a whole file in one task. Here the physical lines are read in splits
-and put together: whether a line begins inside a quoted field follows from the number of quotes
-before it, which is added up per split first and then across the splits of a file.
+One parser for every file: Python's ``csv`` module with its defaults. A quote opens a field only at the field's
+begin, a doubled quote is one, line breaks in quotes stay as they are, an unclosed quote runs to the end of the
+file, and a field above the module's size limit is an error.
+
+A split may begin inside a quoted field. So the splits of files that have such fields are looked at first: where
+does a split end, if it begins outside of quotes, and if it begins inside? Put together in order of the splits
+that says how each begins. Then every split is parsed on its own; the lines of a record that runs over its
+borders are passed on as pieces, at most a few fields per split, and put together.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+import io
+import re
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import groupby
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-_FILE, _SPLIT, _POS = "source_file", "_split", "_pos"
-_BEFORE = (Window.unboundedPreceding, -1)
+_GLOB = re.compile(r"([\\{}\[\]*?])")
+_LINE_ENDS = re.compile(rb"(?<=\r)(?!\n)")
+
+
+def literally(paths: Sequence[str]) -> list[str]:
+    """Paths as they are, for readers that expand patterns."""
+    return [_GLOB.sub(r"\\\1", p) for p in paths]
 
 
-def _has_odd_quotes(line: str) -> Column:
-    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2
+def file_name() -> Column:
+    """The file's own name; Spark reports it as part of a URI. A plus sign is itself there."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
 
 def physical_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Lines with their file, split and position; ``_odd`` is 1 for an odd number of quotes."""
-    lines = spark.read.option("lineSep", "\n").text(list(paths))
-    return lines.select(
-        "value", F.col("_metadata.file_name").alias(_FILE), F.col("_metadata.file_block_start").alias(_SPLIT),
-        F.monotonically_increasing_id().alias(_POS), _has_odd_quotes("value").alias("_odd"),
-    )
-
-
-def _with_state(lines: DataFrame) -> DataFrame:
-    """``_inside``: does the line begin within a quoted field?"""
-    splits = lines.groupBy(_FILE, _SPLIT).agg(F.sum("_odd").alias("_odd_in_split"))
-    along = Window.partitionBy(_FILE).orderBy(_SPLIT).rowsBetween(*_BEFORE)
-    carried = splits.select(_FILE, _SPLIT, F.coalesce(F.sum("_odd_in_split").over(along), F.lit(0)).alias("_carried"))
-    within = Window.partitionBy(_FILE, _SPLIT).orderBy(_POS)
-    before = F.coalesce(F.sum("_odd").over(within.rowsBetween(*_BEFORE)), F.lit(0))
-    return lines.join(carried, [_FILE, _SPLIT]).withColumns(
-        {"_inside": (F.col("_carried") + before) % 2 == 1, "_line": F.row_number().over(within)}
-    )
-
-
-def records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """One row per CSV record but the header: (source_file, record).
-
-    Only lines of records that span lines are grouped; all others are records already.
+    """Bytes of every line with its file and the split it begins in, in file order within a split."""
+    lines = spark.read.option("lineSep", "\n").text(literally(paths))
+    return lines.select(F.col("value").cast("binary").alias("line"), file_name().alias("source_file"), F.col("_metadata.file_block_start").alias("split"))
+
+
+def ends_inside(line: bytes, inside: bool) -> bool:
+    """Whether a line that begins inside or outside of quotes ends inside."""
+    at, size = 0, len(line)
+    while True:
+        if not inside:
+            # At the begin of a field; quotes elsewhere in a field that did not begin with one mean nothing.
+            if at < size and line[at] == 34:
+                inside, at = True, at + 1
+                continue
+        else:
+            closing = line.find(b'"', at)
+            if closing < 0:
+                return True
+            if line[closing + 1 : closing + 2] == b'"':
+                at = closing + 2
+                continue
+            inside, at = False, closing + 1
+        comma = line.find(b",", at)
+        if comma < 0:
+            return False
+        at = comma + 1
+
+
+def lines_by_split(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], Iterator[bytes]]]:
+    """(file, split) and its lines with their ends; a carriage return alone ends a line as well. A last line that
+    has no end gets one."""
+
+    def rows():
+        for batch in batches:
+            for line, file, split in zip(*(batch.column(c).to_pylist() for c in ("line", "source_file", "split"))):
+                if b"\r" in line:
+                    for part in _LINE_ENDS.split(line + b"\n"):
+                        yield (file, split), part
+                else:
+                    yield (file, split), line + b"\n"
+
+    for key, group in groupby(rows(), key=lambda r: r[0]):
+        yield key, (line for _, line in group)
+
+
+def _begins(spark: SparkSession, lines: DataFrame) -> set[tuple[str, int]]:
+    """The splits that begin inside a quoted field: one entry for each, never lines."""
+
+    def ends(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (file, split), part in lines_by_split(batches):
+            from_outside, from_inside = False, True
+            for line in part:
+                if b'"' in line:
+                    from_outside, from_inside = ends_inside(line, from_outside), ends_inside(line, from_inside)
+            yield pa.RecordBatch.from_pydict({"source_file": [file], "split": [split], "outside": [from_outside], "inside": [from_inside]})
+
+    def begin(group: pa.Table) -> pa.Table:
+        inside, found = False, []
+        for row in group.sort_by("split").to_pylist():
+            if inside:
+                found.append(row)
+            inside = row["inside"] if inside else row["outside"]
+        return pa.Table.from_pylist([{"source_file": r["source_file"], "split": r["split"]} for r in found], pa.schema([("source_file", pa.string()), ("split", pa.int64())]))
+
+    ended = lines.mapInArrow(ends, "source_file string, split bigint, outside boolean, inside boolean")
+    found = ended.groupBy("source_file").applyInArrow(begin, "source_file string, split bigint")
+    return {(r["source_file"], r["split"]) for r in found.collect()}
+
+
+def _cells(rows: list[list[str]], width: int) -> list[pa.Array]:
+    """Columns of the rows: a cell that a short row lacks is empty, cells beyond the header are left out."""
+    return [pa.array([r[k] if k < len(r) else "" for r in rows], pa.string()) for k in range(width)]
+
+
+def _parsed(batches: Iterable[pa.RecordBatch], width: int, inside: set[tuple[str, int]], rows_at_once: int = 5000) -> Iterator[pa.RecordBatch]:
+    names = [*(f"c{k}" for k in range(width)), "source_file", "split", "part", "piece"]
+    most = (width + 1) * csv.field_size_limit()
+
+    def out(rows, file):
+        n = len(rows)
+        return pa.RecordBatch.from_arrays([*_cells(rows, width), pa.array([file] * n, pa.string()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=names)
+
+    def piece(key, part, lines):
+        return pa.RecordBatch.from_arrays(
+            [*(pa.nulls(1, pa.string()) for _ in range(width)), pa.array([key[0]]), pa.array([key[1]], pa.int64()), pa.array([part], pa.int32()), pa.array([b"".join(lines)])], names=names)
+
+    for key, lines in lines_by_split(batches):
+        held: list[bytes] = []
+        state = key in inside
+        if state:
+            size = 0
+            for line in lines:
+                held.append(line)
+                size += len(line)
+                if size > most:
+                    raise csv.Error(f"{key[0]}: field larger than field limit ({csv.field_size_limit()})")
+                if b'"' in line and not ends_inside(line, True):
+                    state = False
+                    break
+            yield piece(key, 0, held)
+            if state:
+                continue
+            held = []
+
+        def fed():
+            nonlocal state
+            for line in lines:
+                if b'"' in line:
+                    state = ends_inside(line, state)
+                held.append(line)
+                yield line.decode()
+
+        rows: list[list[str]] = []
+        first = key[1] == 0
+        for row in csv.reader(fed()):
+            if state:
+                break  # the lines ended within quotes: the record goes on in the next split
+            held.clear()
+            if first:
+                first = False
+            elif row:
+                rows.append(row)
+            if len(rows) >= rows_at_once:
+                yield out(rows, key[0])
+                rows = []
+        if rows:
+            yield out(rows, key[0])
+        if held:
+            yield piece(key, 1, held)
+
+
+def read_records(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], spanning: bool = True) -> DataFrame:
+    """Every record but the headers of files that share one: all cells as strings, plus ``source_file``.
+
+    ``spanning``: whether quoted fields may hold line breaks. Files known to have none need no look ahead.
     """
-    lines = _with_state(physical_lines(spark, paths))
-    body = lines.filter(~((F.col(_SPLIT) == 0) & (F.col("_line") == 1)))
-    whole = body.filter(~F.col("_inside") & (F.col("_odd") == 0)).select(_FILE, F.col("value").alias("record"))
-
-    parts = body.filter(F.col("_inside") | (F.col("_odd") == 1))
-    opens = F.when(~F.col("_inside"), F.struct(_SPLIT, _POS))
-    so_far = Window.partitionBy(_FILE, _SPLIT).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0)
-    parts = parts.withColumn("_opened", F.last(opens, ignorenulls=True).over(so_far))
-    # A field may run over several splits: lines before the first opening belong to an earlier split.
-    along = Window.partitionBy(_FILE).orderBy(_SPLIT).rowsBetween(*_BEFORE)
-    last = parts.groupBy(_FILE, _SPLIT).agg(F.max("_opened").alias("_last"))
-    earlier = last.select(_FILE, _SPLIT, F.last("_last", ignorenulls=True).over(along).alias("_earlier"))
-    owned = parts.join(earlier, [_FILE, _SPLIT]).withColumn("_record", F.coalesce("_opened", "_earlier"))
-    ordered = F.array_sort(F.collect_list(F.struct(_SPLIT, _POS, "value")))
-    stitched = owned.groupBy(_FILE, "_record").agg(F.array_join(ordered["value"], "\n").alias("record"))
-    return whole.unionByName(stitched.select(_FILE, "record"))
-
-
-def read_records(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Like the CSV scan: every value a string, an empty cell the empty string, plus ``source_file``."""
-    texts = records(spark, paths).withColumn("record", F.regexp_replace("record", "\r$", ""))
-    schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in columns)
-    parsed = texts.filter(F.col("record") != "").select(_FILE, F.from_csv("record", schema, {"escape": '"'}).alias("r"))
-    return parsed.select(*[F.coalesce(F.col("r")[c], F.lit("")).alias(c) for c in columns], _FILE)
+    width = len(columns)
+    lines = physical_lines(spark, paths)
+    inside = _begins(spark, lines) if spanning else set()
+    cells = [f"c{k}" for k in range(width)]
+    schema = ", ".join([*(f"{c} string" for c in cells), "source_file string", "split bigint", "part int", "piece binary"])
+    parsed = lines.mapInArrow(lambda batches: _parsed(batches, width, inside), schema)
+    named = [F.col(c).alias(name) for c, name in zip(cells, columns)] + [F.col("source_file")]
+    whole = parsed.filter("piece is null").select(*named)
+    if not spanning:
+        return whole
+
+    # Part 1 of a split begins a record; part 0 of the splits after it belong to the same one.
+    pieces = parsed.filter("piece is not null").select("source_file", "split", "part", "piece")
+    order = Window.partitionBy("source_file").orderBy("split", "part")
+    numbered = pieces.withColumn("record", F.sum("part").over(order))
+    joined = numbered.groupBy("source_file", "record").agg(F.sort_array(F.collect_list(F.struct("split", "part", "piece"))).alias("p"))
+    texts = joined.select("source_file", F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["piece"])).alias("record"))
+
+    def put_together(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, files = [], []
+            for file, record in zip(batch.column("source_file").to_pylist(), batch.column("record").to_pylist()):
+                for row in csv.reader(io.StringIO(record.decode(), newline="")):
+                    rows.append(row)
+                    files.append(file)
+            yield pa.RecordBatch.from_arrays([*_cells(rows, width), pa.array(files, pa.string())], names=[*cells, "source_file"])
+
+    stitched = texts.mapInArrow(put_together, ", ".join([*(f"{c} string" for c in cells), "source_file string"]))
+    return whole.unionByName(stitched.select(*named))

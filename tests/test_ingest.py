@@ -4,6 +4,7 @@ import io
 import json
 import random
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -149,32 +150,156 @@ def test_same_day_rerun_replaces_only_the_changed_file(land):
 QUOTED = 'member_id,first_name\nM1,"line one\nline ""two"", with comma"\nM2,plain\nM3,"a,b"\n'
 
 
-@pytest.mark.parametrize("limit", [files.WHOLE_FILE_BYTES, 0], ids=["whole", "split"])
-def test_quotes_commas_and_line_breaks_survive(land, limit):
+@pytest.fixture(params=["134217728", "64"], ids=["one split", "many splits"])
+def splits(spark, request):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", request.param)
+    yield request.param
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_quotes_commas_and_line_breaks_survive(land, splits):
     land.put("members_a.csv", QUOTED)
     land.put("members_b.csv", 'member_id,first_name\nM4,"x, ""y"""\n')
-    land.run(limit=limit)
+    land.run()
     got = {r.member_id: r.first_name for r in land.rows().collect()}
     assert got == {"M1": 'line one\nline "two", with comma', "M2": "plain", "M3": "a,b", "M4": 'x, "y"'}
 
 
-def test_large_files_are_profiled_in_splits(spark, land):
-    body = "".join(f"M{i},name {i}\n" for i in range(20_000))
-    land.put("members_a.csv", "member_id,first_name\n" + body)
-    land.put("members_b.csv", QUOTED)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "32768")
-    try:
-        seen = [{r.source_file: r for r in files.profile(spark, land.source, limit=0).collect()} for _ in range(2)]
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    one = {r.source_file: r for r in files.profile(spark, land.source, limit=0).collect()}
-    assert {k: r.file_hash for k, r in one.items()} == {k: r.file_hash for k, r in seen[0].items()}, "splits do not matter"
-    assert {k: (r.header, r.multiline) for k, r in one.items()} == {
-        "members_a.csv": ("member_id,first_name", False), "members_b.csv": ("member_id,first_name", True)}
-    land.put("members_a.csv", "member_id,first_name\n" + body.replace("name 77\n", "name 78\n"))
-    changed = {r.source_file: r.file_hash for r in files.profile(spark, land.source, limit=0).collect()}
-    assert changed["members_a.csv"] != one["members_a.csv"].file_hash
-    assert changed["members_b.csv"] == one["members_b.csv"].file_hash
+def test_one_identity_whatever_the_splits(spark, land, splits):
+    body = "".join(f"M{i},name {i}\n" for i in range(2_000))
+    contents = {"members_a.csv": "member_id,first_name\n" + body, "members_b.csv": QUOTED, "members_d.csv": "member_id,first_name\nM1,no end of line"}
+    for name, text in contents.items():
+        land.put(name, text)
+
+    def profiled():
+        return {r.source_file: r for r in files.profile(spark, files.discover(spark, land.source)).collect()}
+
+    seen = profiled()
+    assert {n: r.file_hash for n, r in seen.items()} == {n: hashlib.sha256(t.encode()).hexdigest() for n, t in contents.items()}
+    assert {n: (r.header, r.spanning, r.error) for n, r in seen.items()} == {
+        n: (["member_id", "first_name"], n == "members_b.csv", None) for n in contents}
+    lines = contents["members_a.csv"].splitlines(keepends=True)
+    lines[500], lines[501] = lines[501], lines[500]
+    land.put("members_a.csv", "".join(lines))
+    assert profiled()["members_a.csv"].file_hash != seen["members_a.csv"].file_hash, "the order of lines counts"
+
+
+AWKWARD = {
+    "inch marks": 'member_id,first_name\n' + "".join(f'M{i},{i}" pipe\n' for i in range(6)),
+    "quoted line ends": 'member_id,first_name\r\nM1,"x\r\ny"\r\nM2,"a\rb"\r\nM3,z\r\n',
+    "lone carriage returns": "member_id,first_name\rM1,Al\rM2,Bo\r",
+    "text after a closing quote": 'member_id,first_name\nM1,"a"b"c\nM2,"d""e"\n',
+    "a quote that never closes": 'member_id,first_name\nM1,Al\nM2,"open\nM3,Bo\nM4,Cy\n',
+    "blank lines, short and long rows": "member_id,first_name\n\nM1\n\nM2,Bo,more\n\n",
+    "a header that spans lines": 'member_id,"first_name"\nM1,"l1\nl2\nl3"\n',
+}
+
+
+@pytest.mark.parametrize("kind", list(AWKWARD))
+def test_awkward_files_read_alike_in_splits_and_whole(land, splits, kind):
+    text = AWKWARD[kind]
+    land.put("members_a.csv", text)
+    assert land.run() == [("members_a.csv", "SUCCESS")]
+    want = [(r + ["", ""])[:2] for r in list(csv.reader(io.StringIO(text, newline="")))[1:] if r]
+    assert sorted([r.member_id, r.first_name] for r in land.rows().collect()) == sorted(want)
+    assert land.log.history().first().record_count == len(want)
+
+
+def test_content_that_is_no_text_or_too_large_fails_its_file(land):
+    land.use(load_type="incremental")
+    land.put("members_a.csv", "member_id,first_name\nM1,Al\n")
+    (Path(land.source.source_dir) / "members_b.csv").write_bytes(b"member_id,first_name\nM2,\xff\xfe\n")
+    land.put("members_c.csv", 'member_id,first_name\nM3,"' + "x" * 140_000)
+    assert land.run() == [("members_a.csv", "SUCCESS"), ("members_b.csv", "FAILED"), ("members_c.csv", "FAILED")]
+    errors = {r.source_file: r.error_message for r in land.log.history().collect()}
+    assert "UnicodeDecodeError" in errors["members_b.csv"] and "field larger than field limit" in errors["members_c.csv"]
+    assert [r.member_id for r in land.rows().collect()] == ["M1"]
+
+
+def test_names_are_kept_as_they_are(land):
+    names = ["members a.csv", "members[1].csv", "members%20.csv", "members+{b}.csv", "membersé*.csv"]
+    land.use(load_type="incremental")
+    for i, name in enumerate(names):
+        land.put(name, f"member_id,first_name\nM{i},x\n")
+    assert sorted(land.run()) == sorted((n, "SUCCESS") for n in names)
+    assert sorted((r.member_id, r.source_file) for r in land.rows().collect()) == sorted((f"M{i}", n) for i, n in enumerate(names))
+    assert sorted(land.run(DAY2)) == sorted((n, "SKIPPED_ALREADY_INGESTED") for n in names)
+
+
+@pytest.mark.parametrize("load_type", ["full", "incremental"])
+def test_equal_content_lands_once(land, load_type):
+    land.use(load_type=load_type)
+    for name in ("members_b.csv", "members_a.csv", "members_c.csv"):
+        land.put(name, "member_id,first_name\nM1,Al\n")
+    assert land.run() == [("members_a.csv", "SUCCESS"), ("members_b.csv", "SKIPPED_ALREADY_INGESTED"), ("members_c.csv", "SKIPPED_ALREADY_INGESTED")]
+    assert land.rows().count() == 1
+    assert {s for _, s in land.run(DAY2)} == {"SKIPPED_ALREADY_INGESTED"}
+
+
+SNAPSHOT = "member_id string, first_name string, ingestion_timestamp string, source_file string, file_hash string"
+
+
+def newest(spark, land):
+    from pyspark.sql.types import _parse_datatype_string
+
+    rows = bronze.read_full(spark, land.source.bronze_path, _parse_datatype_string(SNAPSHOT))
+    return sorted((r.member_id, r.first_name, r.bronze_ingestion_date) for r in rows.collect())
+
+
+def test_a_broken_file_leaves_the_last_snapshot(spark, land):
+    land.put("members_a.csv", "member_id,first_name\nM1,Al\n")
+    land.put("members_b.csv", "member_id,first_name\nM2,Bo\n")
+    land.run()
+    complete = [("M1", "Al", "2024-01-01"), ("M2", "Bo", "2024-01-01")]
+    assert newest(spark, land) == complete
+    land.put("members_a.csv", "member_id\nM1\n")
+    land.put("members_b.csv", "member_id,first_name\nM2,Bob\n")
+    assert land.run(DAY1.replace("T00", "T09")) == [("members_a.csv", "FAILED"), ("members_b.csv", "FAILED")], "held back on the day of a snapshot"
+    assert newest(spark, land) == complete
+    assert land.run(DAY2) == [("members_a.csv", "FAILED"), ("members_b.csv", "SUCCESS")]
+    assert newest(spark, land) == complete
+    land.put("members_a.csv", "member_id,first_name\nM1,Alma\n")
+    assert [s for _, s in land.run(DAY2)] == ["SUCCESS", "SUCCESS"]
+    assert newest(spark, land) == [("M1", "Alma", "2024-01-02"), ("M2", "Bob", "2024-01-02")]
+    (Path(land.source.source_dir) / "members_b.csv").unlink()
+    assert land.run(DAY2.replace("T00", "T09")) == [("members_a.csv", "SUCCESS")]
+    assert newest(spark, land) == [("M1", "Alma", "2024-01-02")], "a file that is gone is no part of the snapshot"
+
+
+def test_content_that_returns_is_read(spark, land):
+    for at, name in ((DAY1, "x"), (DAY2, "NEW"), (DAY2.replace("02T", "03T"), "x")):
+        land.put("members_a.csv", f"member_id,first_name\nM1,{name}\n")
+        assert land.run(at) == [("members_a.csv", "SUCCESS")]
+        assert newest(spark, land) == [("M1", name, at[:10])]
+
+
+def test_unchanged_files_are_not_opened(spark, land, monkeypatch):
+    land.use(load_type="incremental")
+    for i in range(5):
+        land.put(f"members_{i}.csv", f"member_id,first_name\nM{i},x\n")
+    land.run()
+    opened = []
+    real = files.profile
+    monkeypatch.setattr(files, "profile", lambda s, listing: (opened.extend(r.source_file for r in listing.collect()), real(s, listing))[1])
+    land.put("members_9.csv", "member_id,first_name\nM9,x\n")
+    assert dict(land.run(DAY2)) == {**{f"members_{i}.csv": "SKIPPED_ALREADY_INGESTED" for i in range(5)}, "members_9.csv": "SUCCESS"}
+    assert opened == ["members_9.csv"]
+
+
+def test_jobs_follow_headers_not_files(spark, land):
+    def jobs(n):
+        land.use(load_type="incremental")
+        for i in range(n):
+            land.put(f"members_{n}_{i}.csv", f"member_id,first_name\nM{n}-{i},x\n")
+        group = f"files-{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        land.run(DAY2)
+        found = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return found
+
+    few, many = jobs(3), jobs(60)
+    assert 0 < many <= few + 5
 
 
 @pytest.mark.parametrize("newline", ["\n", "\r\n"])
@@ -194,7 +319,7 @@ def test_records_that_span_splits(spark, tmp_path, newline):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
     try:
         df = read_records(spark, [str(tmp_path / "in")], ["k", "x", "y"])
-        assert physical_lines(spark, [str(tmp_path / "in")]).select("source_file", "_split").distinct().count() > 10
+        assert physical_lines(spark, [str(tmp_path / "in")]).select("source_file", "split").distinct().count() > 10
         got = [(r.k, r.x, r.y) for r in df.collect()]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
