@@ -10,9 +10,14 @@ from collections.abc import Callable, Iterable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from claimwright.contracts import STATE_CODES
+
 TABLES = ["customer", "supplier", "part", "orders", "lineitem"]
 
-_STATES = "'CATXNYFLILPAOHGANCMINJVAWAAZMA'"
+def _state(nation: str) -> str:
+    """Every nation gets a state of its own: each second one of the public list."""
+    return f"lower(split_part('{' '.join(STATE_CODES)}', ' ', cast({nation} * 2 + 1 as int)))"
+
 
 # orders grows with lineitem, so the hint (a comment to DuckDB) asks for the join it needs at scale.
 _CLAIM_ROWS = """
@@ -20,7 +25,7 @@ select /*+ MERGE(o) */
   'C'||l_orderkey||'-'||l_linenumber as claim_id,
   case when l_suppkey%97=0 then 'M999999999' else 'M'||o_custkey end as member_id,
   'P'||l_suppkey as provider_id,
-  case when l_partkey%50=0 then 'UNK000' else ' '||lower(p_brand) end as diagnosis_code,
+  case when l_partkey%50=0 then 'no such code' else ' '||lower(p_brand) end as diagnosis_code,
   cast(cast(o_orderdate as date) as string) as service_date,
   case when l_partkey%211=0 then '' when l_partkey%307=0 then 'not-a-date'
        else cast(cast(o_orderdate as date)+(cast(l_quantity as int)-3) as string) end as submission_date,
@@ -31,9 +36,9 @@ select /*+ MERGE(o) */
   end as paid_amount,
   case when l_partkey%301=0 then 'Void' when l_returnflag='A' then 'Paid '
        when l_returnflag='R' then 'Denied' else 'Pending' end as claim_status,
-  case when l_returnflag='R' then 'Duplicate claim' else '' end as denial_reason,
+  case when l_returnflag='R' then 'paid before' else '' end as denial_reason,
   case when l_suppkey%10=0 then 'BATCH_2' else 'BATCH_1' end as ingestion_batch_id,
-  'CLAIMS_SYS_A' as source_system,
+  'billing' as source_system,
   case when l_suppkey%10=0 and l_tax>0.06 then cast(cast(l_tax*1000 as decimal(12,2)) as string) else '' end
     as adjustment_amount,
   case when l_suppkey%10=0 then '2024-05-01T00:00:00+00:00' else '2024-01-01T00:00:00+00:00' end
@@ -56,18 +61,18 @@ select c_custkey,
   case when c_custkey%7=0 then '' else cast(date '2019-01-01'+cast(c_custkey%2300 as int)+365 as string) end
     as enrollment_end_date,
   lower(substr(c_mktsegment,1,3)) as plan_type,
-  case when c_custkey%50=3 then 'ZZ' else ' '||lower(substr({_STATES},cast(c_nationkey%15*2+1 as int),2)) end as state,
+  case when c_custkey%50=3 then 'ZZ' else ' '||{_state('c_nationkey')} end as state,
   case when c_custkey%33=0 then '' else cast(10000+c_custkey as string) end as zip_code
 from {{customer}}
 """
 
 _PROVIDER_ROWS = f"""
 select s_suppkey, 'P'||s_suppkey as provider_id, s_name as provider_name,
-  case when s_suppkey%49=5 then '' when s_suppkey%4=0 then 'Cardiology' when s_suppkey%4=1 then ' Neurology'
-       when s_suppkey%4=2 then 'Radiology' else 'Psychiatry' end as specialty,
+  case when s_suppkey%49=5 then '' when s_suppkey%4=0 then 'Hearts' when s_suppkey%4=1 then ' Nerves'
+       when s_suppkey%4=2 then 'Imaging' else 'Minds' end as specialty,
   case when s_suppkey%25=1 then cast(1000000000+s_suppkey-1 as string) else cast(1000000000+s_suppkey as string) end
     as npi,
-  case when s_suppkey%60=8 then 'XX' else lower(substr({_STATES},cast(s_nationkey%15*2+1 as int),2)) end
+  case when s_suppkey%60=8 then 'XX' else {_state('s_nationkey')} end
     as address_state,
   case when s_suppkey%40=13 then '' else cast(date '2018-01-01'+cast(s_suppkey%1800 as int) as string) end
     as effective_date
@@ -83,13 +88,13 @@ def _provenance(timestamp: str, file: str) -> str:
 def _member(timestamp: str, start: str, end: str, where: str, file: str) -> str:
     return f"""select member_id, first_name, last_name, date_of_birth, gender,
   cast({start} as string) as enrollment_start_date, {end} as enrollment_end_date, plan_type, state, zip_code,
-  'ENROLLMENT_SYS_A' as source_system, {_provenance(timestamp, file)}
+  'registry' as source_system, {_provenance(timestamp, file)}
   from ({_MEMBER_ROWS}) m where {where}"""
 
 
 def _provider(status: str, effective: str, where: str) -> str:
     return f"""select provider_id, provider_name, specialty, npi, '{status}' as network_status, address_state,
-  {effective} as effective_date, 'PROVIDER_NETWORK_SYS' as source_system,
+  {effective} as effective_date, 'directory' as source_system,
   {_provenance('2024-01-01T00:00:00+00:00', 'providers.csv')}
   from ({_PROVIDER_ROWS}) p where {where}"""
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from claimwright.checks import scratch
 from claimwright.checks.bronze import bronze
 from claimwright.checks.registry import _built, _clean, add
+from claimwright.checks.source_queries import _FILES, _ingested
 from claimwright.operators import alerts, changes
 from claimwright.operators import metrics as m
 from claimwright.plans import analytics, backfill, gold, lake
@@ -30,6 +31,33 @@ def _(spark, sf):
     return done.select(F.to_date("window_start").alias("window_start"), "claim_count", "denied_claims", "billed_amount")
 
 
+_MERGED = "select claim_id, service_year_month, ingestion_timestamp, cast(paid_amount as double) as paid_amount from silver_claims"
+
+
+def _first_silver(spark, sf, layout):
+    """Silver from the first files only; returns the raw claims of the later ones and the dimensions."""
+    raw, first = bronze(spark, sf)["claims"], F.col("source_file") == "claims_batch_1.csv"
+    dims = {d: scratch.silver(spark, sf)[d] for d in s.DIMENSIONS}
+    stage = lake.stage_as(spark, "claims", f"{layout.root}/first")
+    lake.write_built(spark, s.build_claims(raw.filter(first), *dims.values(), stage=stage), layout)
+    return raw.filter(~first), dims
+
+
+def _merged(spark, layout):
+    return spark.read.parquet(layout.silver("claims")).select("claim_id", "service_year_month", "ingestion_timestamp", "paid_amount")
+
+
+@add("x01_stream_merge", _MERGED)
+def _(spark, sf):
+    """Silver from the first files, the later ones arriving as a stream."""
+    layout = sinks.Layout(scratch.fresh(spark, "x01m"))
+    later, dims = _first_silver(spark, sf, layout)
+    later.write.parquet(f"{layout.root}/in")
+    stream = streaming.read_claims(spark, f"{layout.root}/in")
+    streaming.merge_into_silver(stream, layout, lambda: dims, f"{layout.root}/checkpoint").awaitTermination()
+    return _merged(spark, layout)
+
+
 @add("x02_high_water_increment", "select claim_id, ingestion_timestamp from clean_claims where ingestion_timestamp > (select max(ingestion_timestamp) from clean_claims where ingestion_batch_id = 'BATCH_1' and source_file = 'claims_batch_1.csv')")
 def _(spark, sf):
     rows = _clean(spark, sf, "claims")
@@ -113,17 +141,13 @@ def _(spark, sf):
         near("diagnosis_code").alias("diagnoses_close"))
 
 
-@add("x08_backfill", "select claim_id, service_year_month, ingestion_timestamp, cast(paid_amount as double) as paid_amount from silver_claims")
+@add("x08_backfill", _MERGED)
 def _(spark, sf):
     """Silver from the first files only, then the later ones merged in."""
-    layout, raw = sinks.Layout(scratch.fresh(spark, "x08")), bronze(spark, sf)
-    first = F.col("source_file") == "claims_batch_1.csv"
-    dims = [scratch.silver(spark, sf)[d] for d in s.DIMENSIONS]
-    stage = lake.stage_as(spark, "claims", f"{layout.root}/first")
-    lake.write_built(spark, s.build_claims(raw["claims"].filter(first), *dims, stage=stage), layout)
-    later = s.build_claims(raw["claims"].filter(~first), *dims).silver
-    backfill.backfill_claims(spark, layout, later)
-    return spark.read.parquet(layout.silver("claims")).select("claim_id", "service_year_month", "ingestion_timestamp", "paid_amount")
+    layout = sinks.Layout(scratch.fresh(spark, "x08"))
+    later, dims = _first_silver(spark, sf, layout)
+    backfill.backfill_claims(spark, layout, s.build_claims(later, *dims.values()).silver)
+    return _merged(spark, layout)
 
 
 @add("x09_alerts", """select 'claims' as subject, 'quarantined_count' as alert, cast(count(*) as varchar) as detail from quarantine_claims having count(*) > 0
@@ -133,13 +157,11 @@ def _(spark, sf):
     return alerts.metric_alerts(rows, "claims", {"quarantined_count": (0, 0), "output_count": (0, 10), "input_count": (1, 2**62)})
 
 
-@add("x09_run_alerts", "select 'claims' as subject, 'success_with_drift' as alert, count(*) as n from (select distinct 1 as one from bronze_claims where source_file <> 'claims_batch_1.csv') having count(*) > 0")
+@add("x09_run_alerts", f"select 'claims' as subject, 'success_with_drift' as alert, count(*) as n from {_FILES} where has_drift having count(*) > 0")
 def _(spark, sf):
-    """Sources with an alert. Every file that carries the added column raises one."""
-    from claimwright.checks.source_queries import _ingested
-
+    """Alerts per source: every file that carries the added column raises one."""
     _, log, _ = _ingested(spark, sf, "x09")
-    raised = alerts.run_alerts(log.history()).select("subject", "alert").distinct()
+    raised = alerts.run_alerts(log.history())
     return raised.groupBy("subject", "alert").agg(F.count(F.lit(1)).alias("n"))
 
 

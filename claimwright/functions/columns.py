@@ -81,7 +81,7 @@ def spread_nulls(key: Column | str, *others: str) -> Column:
     lost sends every row to the same place. Callers must still treat a NULL key as unmatched.
     """
     key = _col(key)
-    filler = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*others), F.lit(4096)).cast("string"))
+    filler = F.concat(F.lit("\u0000"), F.xxhash64(*others).cast("string"))
     return F.coalesce(key, filler)
 
 

@@ -13,7 +13,7 @@ from claimwright.contracts import CONTRACTS
 from claimwright.plans import gold as g
 from claimwright.plans import silver as s
 from claimwright.plans.ingest import failures, ingest_all
-from claimwright.session import concurrently, input_bytes, shared_dir, shuffles_sized_for
+from claimwright.session import concurrently, input_bytes, remove, shared_dir, shuffles_sized_for
 from claimwright.sources import sinks
 from claimwright.sources.audit import AuditLog
 from claimwright.sources.bronze import read_full, read_incremental
@@ -69,7 +69,15 @@ def write_layers(
     if unknown:
         raise ValueError(f"unknown dataset(s): {sorted(unknown)}")
     scratch = shared_dir(spark, "silver", uuid.uuid4().hex)
+    try:
+        return _layers(spark, bronze, layout, wanted, as_of, scratch)
+    finally:
+        remove(scratch)  # what is returned reads the layers themselves
 
+
+def _layers(
+    spark: SparkSession, bronze: dict[str, DataFrame], layout: Layout, wanted: set[str], as_of: dt.date | str | None, scratch: str
+) -> dict[str, DataFrame]:
     def dimension(name: str) -> DataFrame:
         stage = stage_as(spark, name, scratch)
         if name == "members":

@@ -30,12 +30,13 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # The JVM never compiles a method of more than 8000 bytes; fall back to smaller ones instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # State beyond the heap: streams remember every claim for as long as copies may arrive.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def get_spark(app_name: str = "claimwright", master: str | None = None, **extra: str) -> SparkSession:
@@ -61,7 +62,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = _local_scratch()
     return "/".join([root.rstrip("/"), "claimwright", spark.sparkContext.applicationId, *parts])
@@ -126,7 +128,7 @@ def shuffles_sized_for(spark: SparkSession, size: int) -> Iterator[int]:
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     before = spark.conf.get(key, None)
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(max(floor, size // TARGET_PARTITION_BYTES), MAX_SHUFFLE_PARTITIONS)
+    wanted = max(floor, size // TARGET_PARTITION_BYTES)
     spark.conf.set(key, str(wanted))
     try:
         yield wanted

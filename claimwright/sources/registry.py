@@ -69,15 +69,6 @@ def load_sources(path: str) -> dict[str, Source]:
     return {name: _source(name, spec) for name, spec in raw["sources"].items()}
 
 
-# Columns a file may lack, per source.
-_MAY_LACK = {
-    "members": {"enrollment_end_date", "zip_code"},
-    "providers": {"specialty"},
-    "diagnoses": set(),
-    "claims": {"paid_amount", "denial_reason"},
-}
-
-
 def _declared(contract: Contract, description: str, pattern: str, load_type: str, policy: str) -> Source:
     expected = tuple(c for c in contract.business if c not in contract.optional)
     return Source(
@@ -89,7 +80,7 @@ def _declared(contract: Contract, description: str, pattern: str, load_type: str
         load_type=load_type,
         primary_key=contract.key,
         expected_columns=expected,
-        required_columns=tuple(c for c in expected if c not in _MAY_LACK[contract.name]),
+        required_columns=contract.required,
         schema_drift_policy=policy,
         bronze_path=contract.name,
         incremental_key="file" if contract is CLAIMS else None,

@@ -11,6 +11,7 @@ from claimwright.contracts import CLAIMS
 from claimwright.operators.cleaning import conform
 from claimwright.plans.backfill import backfill_claims
 from claimwright.plans.silver import DIMENSIONS, build_claims
+from claimwright.session import staging
 from claimwright.sources.sinks import Layout
 
 EVENT_TIME = "submitted_at"
@@ -34,13 +35,13 @@ def timed(raw: DataFrame, delay: str) -> DataFrame:
     return typed.filter(F.col(EVENT_TIME).isNotNull()).withWatermark(EVENT_TIME, delay)
 
 
-def without_resends(claims: DataFrame, lanes: int = 32) -> DataFrame:
+def without_resends(claims: DataFrame) -> DataFrame:
     """One row per identical content while its watermark lasts.
 
     Copies are dropped per lane first, so that no task receives all copies of one claim. The lane is
     the input partition, which a batch that is run again assigns alike.
     """
-    lane = F.spark_partition_id() % lanes
+    lane = F.spark_partition_id()
     thinned = claims.withColumn("_lane", lane).dropDuplicatesWithinWatermark([*CLAIMS.business, "_lane"])
     return thinned.drop("_lane").dropDuplicatesWithinWatermark(CLAIMS.business)
 
@@ -74,13 +75,15 @@ def merge_into_silver(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark, dims = batch.sparkSession, dimensions()
-        built = build_claims(batch, *[dims[d] for d in DIMENSIONS])
-        backfill_claims(spark, layout, built.silver)
-        marked = built.quarantine.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        (
-            marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-            .parquet(f"{layout.quarantine('claims')}_stream")
-        )
+        with staging(spark) as stage:
+            # Checked once; both outputs read the staged rows.
+            built = build_claims(batch, *[dims[d] for d in DIMENSIONS], stage=lambda df: stage(df, "checked"))
+            backfill_claims(spark, layout, built.silver)
+            marked = built.quarantine.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            (
+                marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+                .parquet(f"{layout.quarantine('claims')}_stream")
+            )
 
     return (
         raw.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from pathlib import Path
 
 import pytest
 
@@ -7,6 +8,7 @@ from claimwright.contracts import CLAIMS
 from claimwright.operators import alerts, changes
 from claimwright.plans import backfill, lake
 from claimwright.plans import silver as s
+from claimwright.session import shared_dir
 from claimwright.sources.sinks import Layout
 from claimwright.streaming import claims as streaming
 from rows import T2, frame
@@ -69,6 +71,18 @@ def test_backfill_rewrites_only_the_touched_months(spark, tmp_path):
     # January loses its last claim.
     backfill.backfill_claims(spark, layout, valid(spark, {"claim_id": "a", **feb, "ingestion_timestamp": T2}).silver)
     assert [r[:2] for r in state(spark, layout)] == [("a", "2024-02"), ("b", "2024-02"), ("c", "2024-02"), ("d", "2024-03")]
+    assert files_of(tmp_path, "2024-03") == march and files_of(tmp_path, "2024-01") == []
+
+
+def test_no_staged_table_is_left(spark, tmp_path):
+    def staged():
+        return sorted(p for label in ("staging", "silver") for p in Path(shared_dir(spark, label).removeprefix("file:")).rglob("*.parquet"))
+
+    before, layout = staged(), Layout(str(tmp_path))
+    raw = {n: frame(spark, n, {}) for n in ("members", "providers", "diagnoses", "claims")}
+    tables = lake.write_layers(spark, raw, layout, as_of="2025-01-01")
+    backfill.backfill_claims(spark, layout, valid(spark, {"claim_id": "late"}).silver)
+    assert staged() == before and tables["members"].count() == 1
 
 
 def test_stream_merges_batches_into_silver(spark, tmp_path):
