@@ -4,8 +4,9 @@ One shard file per partition, documents in ascending doc_id order across and wit
 
     length (u64) | masked crc32c of the length (u32) | payload | masked crc32c of the payload (u32)
 
-little-endian, as in the public record format of that shape. The payload is a u32 that is 1 for a null
-doc_id, the doc_id (i64), then the ids (u32 each). Beside ``part-N.records`` lies ``part-N.index``: one
+little-endian, as in the public record format of that shape. The payload is a u16 that is 1 for a null
+doc_id, a u16 with the bytes of an id (2 where every id of the vocabulary fits, else 4), the doc_id (i64), then
+the ids, unsigned. Beside ``part-N.records`` lies ``part-N.index``: one
 fixed-size entry per record (null mark, doc_id, offset, payload length, ids), so that a record can be read
 at random without the others.
 
@@ -36,7 +37,8 @@ from claimwright.llm.common import Memo, whole_texts
 from claimwright.llm.vocabulary import byte_alphabet
 
 ENTRY = np.dtype([("null", "<u4"), ("doc_id", "<i8"), ("offset", "<u8"), ("length", "<u8"), ("n_ids", "<u8")])
-HEAD = np.dtype([("null", "<u4"), ("doc_id", "<i8")])
+HEAD = np.dtype([("null", "<u2"), ("width", "<u2"), ("doc_id", "<i8")])
+_CODE = {2: "H", 4: "I"}
 MANIFEST = "shard int, records bigint, n_ids bigint, bytes bigint, path string"
 _FRAME = 12  # length and its checksum
 _BLOCK = 512  # bytes whose checksums are computed side by side
@@ -157,6 +159,7 @@ class ByteLevelEncoder:
         self._special = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
         self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self._special, key=len, reverse=True))) + ")")
         self._pieces = regex.compile(pattern)
+        self.width = 2 if max([*library.get_vocab().values(), *self._special.values()]) < 1 << 16 else 4
         self._piece = Memo(self._by_library)
         self._first = Memo(lambda chunk: self._joined(chunk))
         self._later = Memo(lambda chunk: self._joined(" " + chunk))
@@ -165,7 +168,10 @@ class ByteLevelEncoder:
     def _by_library(self, piece: str) -> bytes:
         """The library's merges on a piece that is already split; its bytes as the library spells them."""
         spelled = piece.encode().decode("latin-1").translate(self._bytes)
-        return array("I", [t.id for t in self._library.model.tokenize(spelled)]).tobytes()
+        return self.packed([t.id for t in self._library.model.tokenize(spelled)])
+
+    def packed(self, ids: list[int]) -> bytes:
+        return array(_CODE[self.width], ids).tobytes()
 
     def _joined(self, text: str) -> bytes:
         return b"".join(map(self._piece.__getitem__, self._pieces.findall(text)))
@@ -178,10 +184,10 @@ class ByteLevelEncoder:
         return self._joined(text) if _TWO_SPACES.search(text) else self._newline.join(map(self._line, text.split("\n")))
 
     def __call__(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
+        """Ids as little-endian unsigned integers of ``width`` bytes."""
         if "<|" not in text:
             return self._plain(text)
-        return b"".join(array("I", [self._special[p]]).tobytes() if k % 2 else self._plain(p) for k, p in enumerate(self._cut.split(text)))
+        return b"".join(self.packed([self._special[p]]) if k % 2 else self._plain(p) for k, p in enumerate(self._cut.split(text)))
 
 
 @cache
@@ -196,10 +202,10 @@ def _at(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path)
 
 
-def framed(ids: list[bytes], doc_ids: list[int | None]) -> tuple[list[bytes], list[int]]:
+def framed(ids: list[bytes], doc_ids: list[int | None], width: int) -> tuple[list[bytes], list[int]]:
     heads = np.zeros(len(ids), HEAD)
     heads["null"] = [d is None for d in doc_ids]
-    heads["doc_id"] = [d or 0 for d in doc_ids]
+    heads["width"], heads["doc_id"] = width, [d or 0 for d in doc_ids]
     heads = heads.tobytes()
     payloads = [heads[k * HEAD.itemsize : (k + 1) * HEAD.itemsize] + x for k, x in enumerate(ids)]
     lengths = [len(p).to_bytes(8, "little") for p in payloads]
@@ -208,10 +214,10 @@ def framed(ids: list[bytes], doc_ids: list[int | None]) -> tuple[list[bytes], li
     return records, [len(p) for p in payloads]
 
 
-def write_records(docs: DataFrame, root: str, make_encoder: Callable[[], Callable[[str], bytes]], end_id: int) -> DataFrame:
-    """Write the shards below ``root``; returns their manifest, read back from the shared folder."""
+def write_records(docs: DataFrame, root: str, make_encoder: Callable[[], ByteLevelEncoder], end_id: int, shards: int | None = None) -> DataFrame:
+    """Write the shards below ``root``; returns their manifest, read back from the shared folder. Without a number
+    of shards, adaptive execution merges the session's shuffle partitions up to its advisory size."""
     spark = docs.sparkSession
-    end = array("I", [end_id]).tobytes()
 
     def shard(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batches = (b for b in batches if b.num_rows)
@@ -219,6 +225,7 @@ def write_records(docs: DataFrame, root: str, make_encoder: Callable[[], Callabl
         if first is None:
             return
         number, attempt, encode = TaskContext.get().partitionId(), uuid.uuid4().hex, make_encoder()
+        end, width = encode.packed([end_id]), encode.width
         fs, base = _at(f"{root}/shards")
         fs.create_dir(base, recursive=True)
         name, offset, n_ids, n = f"{base}/part-{number:05d}", 0, 0, 0
@@ -229,12 +236,12 @@ def write_records(docs: DataFrame, root: str, make_encoder: Callable[[], Callabl
                 doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
                 for k in range(0, len(texts), 256):
                     ids = [encode(t) + end for t in texts[k : k + 256]]
-                    records, lengths = framed(ids, doc_ids[k : k + 256])
+                    records, lengths = framed(ids, doc_ids[k : k + 256], width)
                     entries = np.zeros(len(ids), ENTRY)
                     entries["null"], entries["doc_id"] = [d is None for d in doc_ids[k : k + 256]], [d or 0 for d in doc_ids[k : k + 256]]
                     sizes = np.array([len(r) for r in records], np.int64)
                     entries["offset"], entries["length"] = offset + np.cumsum(sizes) - sizes, lengths
-                    entries["n_ids"] = [len(i) // 4 for i in ids]
+                    entries["n_ids"] = [len(i) // width for i in ids]
                     data.write(b"".join(records))
                     index.write(entries.tobytes())
                     offset, n_ids, n = offset + int(sizes.sum()), n_ids + int(entries["n_ids"].sum()), n + len(ids)
@@ -245,13 +252,14 @@ def write_records(docs: DataFrame, root: str, make_encoder: Callable[[], Callabl
             {"shard": pa.array([number], pa.int32()), "records": [n], "n_ids": [n_ids], "bytes": [offset], "path": [f"{root}/shards/part-{number:05d}"]}
         )
 
-    rows = whole_texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    ranges = (shards, "doc_id") if shards else ("doc_id",)
+    rows = whole_texts(docs).repartitionByRange(*ranges).sortWithinPartitions("doc_id", F.xxhash64("text"))
     rows.mapInArrow(shard, MANIFEST).write.parquet(f"{root}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
 
 
 def unframed(path: str) -> Iterator[tuple[list[bytes], list[int | None]]]:
-    """Payload ids and doc_ids of a shard, some MB at a time, every length and checksum verified."""
+    """Ids (32 bits each) and doc_ids of a shard, some MB at a time, every length and checksum verified."""
     fs, base = _at(path)
     with fs.open_input_stream(base + ".index") as index, fs.open_input_stream(base + ".records") as data:
         while chunk := index.read(ENTRY.itemsize * 4096):
@@ -276,7 +284,13 @@ def _verified(path, payloads, doc_ids, sums, lengths) -> tuple[list[bytes], list
     good = good and b"".join(s[0] for s in sums) == masked(crc32c_many(lengths)).tobytes()
     if not good or b"".join(s[1] for s in sums) != masked(crc32c_many(payloads)).tobytes():
         raise ValueError(f"damaged record in {path}")
-    return [p[HEAD.itemsize :] for p in payloads], doc_ids
+    return [_ids(p) for p in payloads], doc_ids
+
+
+def _ids(payload: bytes) -> bytes:
+    """The ids of a payload as unsigned 32-bit integers."""
+    width = int.from_bytes(payload[2:4], "little")
+    return np.frombuffer(payload, f"<u{width}", offset=HEAD.itemsize).astype("<u4").tobytes()
 
 
 def read_record(path: str, offset: int, length: int) -> tuple[int | None, array]:
