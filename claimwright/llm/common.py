@@ -2,44 +2,20 @@
 
 from __future__ import annotations
 
-import io
 import uuid
-import zipfile
 from collections.abc import Callable, Iterable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimwright.session import shared_dir
+from claimwright.session import shared_dir, ship
+
+__all__ = ["WORD", "Memo", "carried", "crc_bucket", "folder", "map_batches", "ship", "stored", "table", "whole_texts"]
 
 #: Word separators of the contracts: space and the five ASCII control spaces.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Hand this library to the Python workers of the application, once, by way of the shared folder, so that
-    tasks can import it wherever they run."""
-    application = spark.sparkContext.applicationId
-    if application in _shipped:
-        return
-    package, packed = Path(__file__).resolve().parents[1], io.BytesIO()
-    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
-        for file in sorted(package.rglob("*.py")):
-            z.write(file, f"{package.name}/{file.relative_to(package)}")
-    at = folder(spark, "code")
-    target, path = pafs.FileSystem.from_uri(at)
-    target.create_dir(path, recursive=True)
-    with target.open_output_stream(f"{path}/{package.name}.zip") as out:
-        out.write(packed.getvalue())
-    spark.sparkContext.addPyFile(f"{at}/{package.name}.zip")
-    _shipped.add(application)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -136,8 +136,10 @@ def fit(x: np.ndarray, language: list[str]) -> Model:
 def learn(docs: DataFrame, learned: Column, per_language: int = 400) -> Model:
     rows = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & learned & F.col("text").rlike(r"\p{L}"))
-    first = Window.partitionBy("lang").orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id")
-    ids = rows.select("doc_id", "lang").withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= per_language)
+    order = [F.md5(F.col("doc_id").cast("string")), F.col("doc_id")]
+    ids = rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(64)).alias("part"))
+    for keys in (("lang", "part"), ("lang",)):  # the first rows of a language are among those of its parts
+        ids = ids.withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("n") <= per_language)
     chosen = rows.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id", "left_semi")
 
     def batch(part: pa.RecordBatch) -> pa.RecordBatch:
