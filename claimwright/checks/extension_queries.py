@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from claimwright.checks import scratch
-from claimwright.checks.bronze import bronze
 from claimwright.checks.registry import _built, _clean, add
 from claimwright.checks.source_queries import _FILES, _ingested
 from claimwright.operators import alerts, changes
@@ -24,7 +23,7 @@ _window = "time_bucket(interval 7 days, cast(submission_date as timestamp), time
   where w + interval 7 days <= (select max(submission_date) from distinct_claims) - interval 45 days group by 1""")
 def _(spark, sf):
     root = scratch.fresh(spark, "x01")
-    bronze(spark, sf)["claims"].write.parquet(f"{root}/in")
+    scratch.raw(spark, sf)["claims"].write.parquet(f"{root}/in")
     rows = streaming.without_resends(streaming.timed(streaming.read_claims(spark, f"{root}/in"), "45 days"))
     streaming.write_windows(streaming.volume_by_window(rows, "7 days"), f"{root}/out", f"{root}/checkpoint").awaitTermination()
     done = spark.read.parquet(f"{root}/out")
@@ -36,7 +35,7 @@ _MERGED = "select claim_id, service_year_month, ingestion_timestamp, cast(paid_a
 
 def _first_silver(spark, sf, layout):
     """Silver from the first files only; returns the raw claims of the later ones and the dimensions."""
-    raw, first = bronze(spark, sf)["claims"], F.col("source_file") == "claims_batch_1.csv"
+    raw, first = scratch.raw(spark, sf)["claims"], F.col("source_file") == "claims_batch_1.csv"
     dims = {d: scratch.silver(spark, sf)[d] for d in s.DIMENSIONS}
     stage = lake.stage_as(spark, "claims", f"{layout.root}/first")
     lake.write_built(spark, s.build_claims(raw.filter(first), *dims.values(), stage=stage), layout)

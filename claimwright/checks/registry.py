@@ -9,7 +9,6 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimwright.checks import scratch
-from claimwright.checks.bronze import bronze
 from claimwright.checks.oracle import (
     AS_OF, CLAIM_RULES, CLAIMS_LANDED, DIAGNOSIS_RULES, MEMBER_RULES, PROVIDER_RULES, portable as columns_of,
     typed, with_tables,
@@ -43,15 +42,15 @@ def add(name: str, sql: str | None, *, overrides: dict[str, str] | None = None):
 
 
 def _claims(spark, sf):
-    return bronze(spark, sf)["claims"]
+    return scratch.raw(spark, sf)["claims"]
 
 
 def _clean(spark, sf, name):
-    return c.conform(bronze(spark, sf)[name], CONTRACTS[name])
+    return c.conform(scratch.raw(spark, sf)[name], CONTRACTS[name])
 
 
 def _distinct(spark, sf, name):
-    return s.distinct_rows(bronze(spark, sf)[name], name)
+    return s.distinct_rows(scratch.raw(spark, sf)[name], name)
 
 
 def _keys(spark, sf):
@@ -60,7 +59,7 @@ def _keys(spark, sf):
 
 
 def _built(spark, sf, name, staged: bool = False) -> s.Built:
-    raw = bronze(spark, sf)[name]
+    raw = scratch.raw(spark, sf)[name]
     stage = lake.stage_as(spark, name, scratch.fresh(spark, "built")) if staged else s.as_is
     if name == "claims":
         return s.build_claims(raw, *[scratch.silver(spark, sf)[n] for n in s.DIMENSIONS], stage=stage)
@@ -82,7 +81,7 @@ def _(spark, sf):
 @add("c02_trim_upper", "select member_id, upper(trim(state)) as state, upper(trim(gender)) as gender, upper(trim(plan_type)) as plan_type from bronze_members")
 def _(spark, sf):
     codes = ["state", "gender", "plan_type"]
-    return c.trim_upper(bronze(spark, sf)["members"], codes).select("member_id", *codes)
+    return c.trim_upper(scratch.raw(spark, sf)["members"], codes).select("member_id", *codes)
 
 
 @add("c03_ensure_columns", "select claim_id, cast(null as varchar) as adjustment_amount from bronze_claims")
@@ -253,7 +252,7 @@ for _i, _n in enumerate(("members", "providers", "diagnoses", "claims"), start=1
 def _(spark, sf):
     """Only claims are asked for, so the dimensions are built but not written."""
     layout = sinks.Layout(scratch.fresh(spark, "b05"))
-    lake.write_layers(spark, bronze(spark, sf), layout, datasets=["claims"], as_of=AS_OF)
+    lake.write_layers(spark, scratch.raw(spark, sf), layout, datasets=["claims"], as_of=AS_OF)
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{layout.root}/silver").select("path")
     written = listed.filter(~F.col("path").contains("/silver/claims/")).count()
     claims = spark.read.parquet(layout.silver("claims"))

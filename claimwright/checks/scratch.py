@@ -4,6 +4,7 @@ whole test tables and kept in the shared folder for the life of the session."""
 from __future__ import annotations
 
 import uuid
+from collections import defaultdict
 from collections.abc import Callable, Mapping
 from dataclasses import replace
 from threading import Lock
@@ -11,7 +12,7 @@ from threading import Lock
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimwright.checks.bronze import Lazy, bronze
+from claimwright.checks.bronze import SQL, Lazy, bronze
 from claimwright.checks.oracle import AS_OF
 from claimwright.contracts import CONTRACTS
 from claimwright.plans.lake import run_gold, write_layers
@@ -23,7 +24,8 @@ AT = "2024-07-01T00:00:00+00:00"
 ORDERS_PER_FILE = 50_000
 
 _made: dict[tuple, str] = {}
-_making = Lock()
+_making: defaultdict[tuple, Lock] = defaultdict(Lock)
+_guard = Lock()
 
 
 def fresh(spark: SparkSession, label: str) -> str:
@@ -42,7 +44,9 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
 
 def _once(spark: SparkSession, label: str, sf_dir: str, make: Callable[[str], None]) -> str:
     key = (label, spark.sparkContext.applicationId, sf_dir, _fingerprint(spark, sf_dir))
-    with _making:
+    with _guard:
+        making = _making[key]
+    with making:  # one lock for each input: making one may ask for others, also from other threads
         if key not in _made:
             root = fresh(spark, label)
             make(root)
@@ -50,6 +54,17 @@ def _once(spark: SparkSession, label: str, sf_dir: str, make: Callable[[str], No
         return _made[key]
 
 
+def raw(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    """The Bronze tables, each derived and written once per session, so that queries time themselves and not the
+    joins that make their input."""
+
+    def written(name: str) -> DataFrame:
+        derived = bronze(spark, sf_dir)[name]
+        return spark.read.schema(derived.schema).parquet(_once(spark, f"raw-{name}", sf_dir, derived.write.parquet))
+
+    return Lazy(SQL, written)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV as a source system would write it: empty cells empty, spaces kept, quotes doubled.
 
@@ -78,7 +93,7 @@ def with_drop(name: str, df: DataFrame) -> DataFrame:
 
 
 def _write_landing(spark: SparkSession, sf_dir: str, root: str) -> None:
-    for name, df in bronze(spark, sf_dir).items():
+    for name, df in raw(spark, sf_dir).items():
         rows = with_drop(name, df)
         if name != "claims":
             write_csv(rows, f"{root}/{name}/v1")
@@ -104,7 +119,7 @@ def sources(spark: SparkSession, sf_dir: str, bronze_root: str) -> dict[str, Sou
 
 def build_lake(spark: SparkSession, sf_dir: str, root: str) -> None:
     layout = Layout(root)
-    write_layers(spark, bronze(spark, sf_dir), layout, as_of=AS_OF)
+    write_layers(spark, raw(spark, sf_dir), layout, as_of=AS_OF)
     run_gold(spark, layout, views=False)
 
 

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimwright.checks import scratch
-from claimwright.checks.bronze import bronze
 from claimwright.checks.oracle import AS_OF
 from claimwright.checks.registry import _METRIC_SQL, add
 from claimwright.contracts import CLAIMS, CONTRACTS, MEMBERS, PROVENANCE
@@ -71,7 +70,7 @@ _registry_sql = {
     for n, (load, policy, e, r) in _registry_sql.items()))
 def _(spark, sf):
     """The declared sources beside the rows each of them delivers."""
-    raw = bronze(spark, sf)
+    raw = scratch.raw(spark, sf)
     parts = []
     for n, src in default_sources().items():
         fields = {"name": n, "load_type": src.load_type, "schema_drift_policy": src.schema_drift_policy,
@@ -193,7 +192,7 @@ def _(spark, sf):
 def _two_snapshots(spark: SparkSession, sf: str) -> str:
     """Members landed on two days, the second time with other provenance."""
     path = scratch.fresh(spark, "snapshots")
-    members = bronze(spark, sf)["members"]
+    members = scratch.raw(spark, sf)["members"]
     for at in ("2024-03-01T00:00:00+00:00", "2024-04-01T00:00:00+00:00"):
         b.write_bronze(members.withColumn("ingestion_timestamp", F.lit(at)), path)
     return path
@@ -227,13 +226,13 @@ def _(spark, sf):
 
 
 def _claims(spark: SparkSession, sf: str) -> DataFrame:
-    return bronze(spark, sf)["claims"]
+    return scratch.raw(spark, sf)["claims"]
 
 
 @add("s17_explicit_schemas", f"select {_members}, ingestion_timestamp, source_file, file_hash from bronze_members")
 def _(spark, sf):
     path = scratch.fresh(spark, "s17")
-    bronze(spark, sf)["members"].write.parquet(path)
+    scratch.raw(spark, sf)["members"].write.parquet(path)
     rows = spark.read.schema(MEMBERS.bronze_schema).parquet(path)
     return rows.select(*[F.col(x).cast("string").alias(x) for x in (*MEMBERS.business, *PROVENANCE)])
 
@@ -257,7 +256,7 @@ def _(spark, sf):
 @add("s20_metrics_sink", f"select metric, value from ({_METRIC_SQL['members']}) where not contains(metric, '.')")
 def _(spark, sf):
     layout = sinks.Layout(scratch.fresh(spark, "s20"))
-    built = s.build_members(bronze(spark, sf)["members"], AS_OF)
+    built = s.build_members(scratch.raw(spark, sf)["members"], AS_OF)
     latest = spark.read.json(sinks.write_metrics(built.metrics(), layout, "members"))
     return m.as_rows(latest.select(*[n for n, kind in latest.dtypes if kind == "bigint"]))
 
