@@ -137,4 +137,4 @@ def test_nothing_else_imports_the_folder():
     root = Path(entry.__file__).parent
     for file in (root / "claimwright").rglob("*.py"):
         if "llm" not in file.parts:
-            assert "llm" not in file.read_text(), file
+            assert "claimwright.llm" not in file.read_text(), file
