@@ -75,7 +75,7 @@ def _land(spark: SparkSession, source: Source, good: DataFrame, at: str) -> None
     for variant in good.select("header", "spanning").distinct().collect():
         alike = good.filter((F.col("header") == F.lit(variant["header"])) & (F.col("spanning") == variant["spanning"]))
         paths = [r["path"] for r in alike.select("path").collect()]  # the scan's own list of files
-        rows = files.read_csv(spark, paths, variant["header"], multiline=variant["spanning"])
+        rows = files.read_csv(spark, paths, variant["header"], multiline=variant["spanning"], limit=files.FIELD_LIMIT)
         write_bronze(with_provenance(rows, hashes, at), source.bronze_path)
 
 

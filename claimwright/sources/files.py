@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimwright.session import ship
-from claimwright.sources.records import file_name, lines_by_split, literally, read_records
+from claimwright.sources.records import FIELD_LIMIT, NO_LIMIT, field_limit, file_name, lines_by_split, literally, read_records
 from claimwright.sources.registry import Source
 
 LISTING = "path string, source_file string, modified_time string, bytes bigint"
@@ -80,7 +80,8 @@ def profile(spark: SparkSession, listing: DataFrame) -> DataFrame:
 
     The hash is the SHA-256 of a file's bytes, whatever its size: it cannot be split, so a file is streamed by one
     task, in little memory, and files are read side by side. The same pass reads every record once, so that a
-    file that cannot be parsed or decoded is known before anything is landed.
+    file that cannot be parsed or decoded, or has a field above the ``csv`` module's limit, is known before anything
+    is landed.
     """
     paths = [r["path"] for r in listing.select("path").collect()]  # of the files to be read: the scan's own list
     if not paths:
@@ -91,7 +92,8 @@ def profile(spark: SparkSession, listing: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (file, size), content in lines_by_split(batches):
-            file_hash, header, spanning, error = _profile(content, size)
+            with field_limit(FIELD_LIMIT):
+                file_hash, header, spanning, error = _profile(content, size)
             yield pa.RecordBatch.from_pydict({
                 "source_file": [file], "file_hash": [file_hash], "header": pa.array([header], pa.list_(pa.string())), "spanning": [spanning],
                 "error": pa.array([error], pa.string())})
@@ -101,10 +103,11 @@ def profile(spark: SparkSession, listing: DataFrame) -> DataFrame:
     return listing.join(found, "source_file", "left").select(*listing.columns, *(F.coalesce(c, v).alias(c) for c, v in empty.items()), "error")
 
 
-def read_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], multiline: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], multiline: bool = True, limit: int = NO_LIMIT) -> DataFrame:
     """CSV files that share one header, every value a string, plus ``source_file``; read in splits.
 
-    ``multiline=False`` says that no quoted field holds a line break, which saves a look at all lines.
+    ``multiline=False`` says that no quoted field holds a line break, which saves a look at all lines. ``limit`` is the
+    longest field in characters; landed files are held to the one that they were profiled with.
     """
     ship(spark)
-    return read_records(spark, paths, columns, spanning=multiline)
+    return read_records(spark, paths, columns, spanning=multiline, limit=limit)

@@ -1,13 +1,13 @@
 """CSV records of files that are read in splits, whatever lies in their quoted fields.
 
 One parser for every file: Python's ``csv`` module with its defaults. A quote opens a field only at the field's
-begin, a doubled quote is one, line breaks in quotes stay as they are, an unclosed quote runs to the end of the
-file, and a field above the module's size limit is an error.
+begin, a doubled quote is one, line breaks in quotes stay as they are, and an unclosed quote runs to the end of the
+file. How long a field may be is up to the caller: records have no limit of their own unless one is named.
 
 A split may begin inside a quoted field. So the splits of files that have such fields are looked at first: where
 does a split end, if it begins outside of quotes, and if it begins inside? Put together in order of the splits
 that says how each begins. Then every split is parsed on its own; the lines of a record that runs over its
-borders are passed on as pieces, at most a few fields per split, and put together.
+borders are passed on as pieces, none longer than its split, and put together.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import csv
 import io
 import re
 from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from itertools import groupby
 
 import pyarrow as pa
@@ -23,6 +24,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 _GLOB = re.compile(r"([\\{}\[\]*?])")
 _LINE_ENDS = re.compile(rb"(?<=\r)(?!\n)")
+#: Characters of a field: the ``csv`` module's own limit, and more than any cell of Spark holds.
+FIELD_LIMIT, NO_LIMIT = 131_072, (1 << 31) - 1
+#: Characters of the rows that are handed on at once, beside the row that passes them.
+_AT_ONCE = 1 << 24
+
+
+@contextmanager
+def field_limit(limit: int) -> Iterator[None]:
+    """The ``csv`` module's limit in this process, which later tasks may share."""
+    before = csv.field_size_limit(limit)
+    try:
+        yield
+    finally:
+        csv.field_size_limit(before)
 
 
 def literally(paths: Sequence[str]) -> list[str]:
@@ -112,7 +127,6 @@ def _cells(rows: list[list[str]], width: int) -> list[pa.Array]:
 
 def _parsed(batches: Iterable[pa.RecordBatch], width: int, inside: set[tuple[str, int]], rows_at_once: int = 5000) -> Iterator[pa.RecordBatch]:
     names = [*(f"c{k}" for k in range(width)), "source_file", "split", "part", "piece"]
-    most = (width + 1) * csv.field_size_limit()
 
     def out(rows, file):
         n = len(rows)
@@ -126,12 +140,8 @@ def _parsed(batches: Iterable[pa.RecordBatch], width: int, inside: set[tuple[str
         held: list[bytes] = []
         state = key in inside
         if state:
-            size = 0
             for line in lines:
                 held.append(line)
-                size += len(line)
-                if size > most:
-                    raise csv.Error(f"{key[0]}: field larger than field limit ({csv.field_size_limit()})")
                 if b'"' in line and not ends_inside(line, True):
                     state = False
                     break
@@ -149,7 +159,7 @@ def _parsed(batches: Iterable[pa.RecordBatch], width: int, inside: set[tuple[str
                 yield line.decode()
 
         rows: list[list[str]] = []
-        first = key[1] == 0
+        size, first = 0, key[1] == 0
         for row in csv.reader(fed()):
             if state:
                 break  # the lines ended within quotes: the record goes on in the next split
@@ -158,26 +168,33 @@ def _parsed(batches: Iterable[pa.RecordBatch], width: int, inside: set[tuple[str
                 first = False
             elif row:
                 rows.append(row)
-            if len(rows) >= rows_at_once:
+                size += sum(map(len, row))
+            if len(rows) >= rows_at_once or size >= _AT_ONCE:
                 yield out(rows, key[0])
-                rows = []
+                rows, size = [], 0
         if rows:
             yield out(rows, key[0])
         if held:
             yield piece(key, 1, held)
 
 
-def read_records(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], spanning: bool = True) -> DataFrame:
+def read_records(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], spanning: bool = True, limit: int = NO_LIMIT) -> DataFrame:
     """Every record but the headers of files that share one: all cells as strings, plus ``source_file``.
 
     ``spanning``: whether quoted fields may hold line breaks. Files known to have none need no look ahead.
+    ``limit``: characters of a field above which the read fails, wherever the splits are.
     """
     width = len(columns)
     lines = physical_lines(spark, paths)
     inside = _begins(spark, lines) if spanning else set()
     cells = [f"c{k}" for k in range(width)]
     schema = ", ".join([*(f"{c} string" for c in cells), "source_file string", "split bigint", "part int", "piece binary"])
-    parsed = lines.mapInArrow(lambda batches: _parsed(batches, width, inside), schema)
+
+    def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with field_limit(limit):
+            yield from _parsed(batches, width, inside)
+
+    parsed = lines.mapInArrow(parse, schema)
     named = [F.col(c).alias(name) for c, name in zip(cells, columns)] + [F.col("source_file")]
     whole = parsed.filter("piece is null").select(*named)
     if not spanning:
@@ -191,13 +208,21 @@ def read_records(spark: SparkSession, paths: Sequence[str], columns: Sequence[st
     texts = joined.select("source_file", F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["piece"])).alias("record"))
 
     def put_together(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, files = [], []
-            for file, record in zip(batch.column("source_file").to_pylist(), batch.column("record").to_pylist()):
-                for row in csv.reader(io.StringIO(record.decode(), newline="")):
-                    rows.append(row)
-                    files.append(file)
-            yield pa.RecordBatch.from_arrays([*_cells(rows, width), pa.array(files, pa.string())], names=[*cells, "source_file"])
+        def out(rows, files):
+            return pa.RecordBatch.from_arrays([*_cells(rows, width), pa.array(files, pa.string())], names=[*cells, "source_file"])
+
+        with field_limit(limit):
+            for batch in batches:
+                rows, files, size = [], [], 0
+                for file, record in zip(batch.column("source_file").to_pylist(), batch.column("record").to_pylist()):
+                    for row in csv.reader(io.StringIO(record.decode(), newline="")):
+                        rows.append(row)
+                        files.append(file)
+                    size += len(record)
+                    if size >= _AT_ONCE:
+                        yield out(rows, files)
+                        rows, files, size = [], [], 0
+                yield out(rows, files)
 
     stitched = texts.mapInArrow(put_together, ", ".join([*(f"{c} string" for c in cells), "source_file string"]))
     return whole.unionByName(stitched.select(*named))

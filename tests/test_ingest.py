@@ -326,6 +326,23 @@ def test_records_that_span_splits(spark, tmp_path, newline):
     assert sorted(got) == sorted(want)
 
 
+@pytest.mark.parametrize("multiline", [True, False])
+@pytest.mark.parametrize("split", ["134217728", "65536"], ids=["one split", "many splits"])
+def test_long_texts_are_read_whole(spark, tmp_path, split, multiline):
+    """Fields far above the csv module's limit, in one split and over many."""
+    (tmp_path / "in").mkdir()
+    line = 'é, "x"\n' if multiline else 'é, "x" '
+    texts = {"1": "short", "2": line * 60_000, "3": "y" * 400_000, "4": line * 7, "5": "z" * 200_000}
+    body = "".join(f'{k},"{v.replace(chr(34), chr(34) * 2)}"\n' for k, v in texts.items())
+    (tmp_path / "in" / "m.csv").write_text("k,x\n" + body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        df = files.read_csv(spark, [str(tmp_path / "in")], ["k", "x"], multiline=multiline)
+        assert {r.k: r.x for r in df.collect()} == texts
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_no_files_and_unknown_source(spark, land):
     assert land.run() == []
     assert files.discover(spark, land.source).count() == 0
