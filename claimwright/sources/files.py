@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from claimwright.session import ship
 from claimwright.sources.records import FIELD_LIMIT, NO_LIMIT, field_limit, file_name, lines_by_split, literally, read_records
@@ -19,16 +19,33 @@ PROFILE = "file_hash string, header array<string>, spanning boolean, error strin
 
 
 def discover(spark: SparkSession, source: Source) -> DataFrame:
-    """Files of a source by name, from the listing alone (no content is read). Empty files are not listed."""
+    """Files of a source by name, from the listing alone (no content is read), those of zero bytes as well."""
     try:
         files = spark.read.format("binaryFile").option("pathGlobFilter", source.file_pattern).load(source.source_dir)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], LISTING)
         raise
-    modified = F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
-    listed = files.select("path", file_name().alias("source_file"), modified.alias("modified_time"), F.col("length").alias("bytes"))
-    return listed.orderBy("source_file")
+    listed = files.select("path", file_name().alias("source_file"), "modificationTime", F.col("length").alias("bytes"))
+    modified = F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("modified_time")
+    return listed.unionByName(_empty(spark, files)).select("path", "source_file", modified, "bytes").orderBy("source_file")
+
+
+def _empty(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Files of zero bytes: a scan knows them from its listing, but makes no rows of them. Their status alone is
+    asked of the file system, by way of Spark's own, which reaches every store that Spark reads."""
+    def plain(uri: Column) -> Column:
+        return F.regexp_replace(uri, "^([^:/]+):///", "$1:/")  # an empty authority is written or left out
+
+    uris = spark.createDataFrame(pa.table({"uri": pa.array(files.inputFiles(), pa.string())})).select(plain(F.col("uri")).alias("uri"))
+    rest = uris.join(files.select(plain(F.col("_metadata.file_path")).alias("uri")), "uri", "left_anti")
+    jvm, conf, rows = spark._jvm, spark._jsc.hadoopConfiguration(), []
+    for row in rest.collect():
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row["uri"]))
+        status = path.getFileSystem(conf).getFileStatus(path)
+        rows.append((path.toString(), path.getName(), status.getModificationTime(), status.getLen()))
+    found = spark.createDataFrame(rows, "path string, source_file string, at bigint, bytes bigint")
+    return found.select("path", "source_file", F.timestamp_millis("at").alias("modificationTime"), "bytes")
 
 
 def _unsplit(spark: SparkSession) -> SparkSession:

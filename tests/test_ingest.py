@@ -266,6 +266,29 @@ def test_a_broken_file_leaves_the_last_snapshot(spark, land):
     assert newest(spark, land) == [("M1", "Alma", "2024-01-02")], "a file that is gone is no part of the snapshot"
 
 
+def test_an_emptied_file_fails_and_leaves_the_last_snapshot(spark, land):
+    land.put("members_a.csv", "member_id,first_name\nM1,Al\n")
+    land.put("members_b+ 1.csv", "member_id,first_name\nM2,Bo\n")
+    land.run()
+    complete = [("M1", "Al", "2024-01-01"), ("M2", "Bo", "2024-01-01")]
+    land.put("members_b+ 1.csv", "")
+    land.put("_members_c.csv", "")
+    land.put("other.csv", "")
+    assert [(r.source_file, r.bytes) for r in files.discover(spark, land.source).collect()] == [("members_a.csv", 27), ("members_b+ 1.csv", 0)]
+    assert land.run(DAY2) == [("members_a.csv", "SUCCESS"), ("members_b+ 1.csv", "FAILED")]
+    row = land.log.history().filter("status = 'FAILED'").first()
+    assert (row.source_file, row.file_hash) == ("members_b+ 1.csv", hashlib.sha256().hexdigest()) and "first_name" in row.error_message
+    assert newest(spark, land) == complete
+
+
+def test_only_empty_files_are_listed_too(spark, land):
+    land.put("members_a.csv", "")
+    before = int((Path(land.source.source_dir) / "members_a.csv").stat().st_mtime)
+    listed = files.discover(spark, land.source).withColumn("at", F.to_timestamp("modified_time").cast("long")).collect()
+    assert [(r.source_file, r.bytes, r.at) for r in listed] == [("members_a.csv", 0, before)]
+    assert land.run() == [("members_a.csv", "FAILED")] and land.written() == []
+
+
 def test_content_that_returns_is_read(spark, land):
     for at, name in ((DAY1, "x"), (DAY2, "NEW"), (DAY2.replace("02T", "03T"), "x")):
         land.put("members_a.csv", f"member_id,first_name\nM1,{name}\n")
