@@ -21,16 +21,17 @@ def _now() -> str:
     return dt.datetime.now(dt.timezone.utc).isoformat()
 
 
-def _files(spark: SparkSession, source: Source, log: AuditLog, force: bool, stage) -> DataFrame:
+def _files(spark: SparkSession, source: Source, log: AuditLog, force: bool, verify: bool, stage) -> DataFrame:
     """Every file with its hash and ``todo``; header and faults of those whose content was read.
 
-    A file that the log knows by name, size and time is not opened. A full load is a snapshot: it is landed again
+    A file that the log knows by name, size and time is not opened, unless ``verify`` asks for it. A full load is a snapshot: it is landed again
     as a whole unless its contents are just those of the snapshot that is published.
     """
-    listing = stage(files.discover(spark, source), "listing")
+    at = F.lit(_now()).alias("listed_at")
+    listing = stage(files.discover(spark, source).select("*", at), "listing")
     if not listing.groupBy("source_file").count().filter("count > 1").isEmpty():
         raise ValueError(f"source {source.name}: file names must be unique, also across folders")
-    known = log.landed(source.name)
+    known = log.landed(source.name).limit(0) if verify else log.landed(source.name)
     same = listing.join(known, _UNCHANGED).select(*listing.columns, "file_hash")
     fresh = listing if force else listing.join(known, _UNCHANGED, "left_anti")
     read = stage(files.profile(spark, fresh), "profile")
@@ -65,7 +66,7 @@ def _checked(found: DataFrame, source: Source) -> DataFrame:
         .when(F.col("_contract") == drift.PASSED, audit.SUCCESS).otherwise(audit.SUCCESS_WITH_DRIFT)
     )
     message = F.when(~F.col("todo"), "").when(F.col("_fault").isNotNull(), F.col("_fault")).when(copy, F.concat(F.lit("Same content as "), F.col("_first"))).otherwise(F.col("message"))
-    kept = ["path", "source_file", "modified_time", "bytes", "file_hash", "header", "spanning"]
+    kept = ["path", "source_file", "modified_time", "bytes", "listed_at", "file_hash", "header", "spanning"]
     return checked.select(*kept, status.alias("status"), message.alias("message"))
 
 
@@ -93,18 +94,22 @@ def ingest_source(
     log: AuditLog,
     force: bool = False,
     at: str | None = None,
+    verify: bool = False,
 ) -> DataFrame:
     """Ingest every file of one source. Returns (source_name, source_file, status, message).
 
     A bad file does not stop the others. A full load is published only if none of its files failed: readers of
     the newest snapshot keep the last one that was complete. On the day of a published snapshot its outputs
     are left alone until all files are good. A fault that no file caused fails the run.
+
+    ``verify`` hashes every file, also those that the log knows by name, size and time, and lands what differs; ``force``
+    lands every file whatever it holds.
     """
     if name not in sources:
         raise ValueError(f"unknown source {name}; known: {sorted(sources)}")
     source, at = sources[name], at or _now()
     with staging(spark) as stage:
-        checked = stage(_checked(_files(spark, source, log, force, stage), source), "checked")
+        checked = stage(_checked(_files(spark, source, log, force, verify, stage), source), "checked")
         todo = checked.filter(F.col("status") != audit.SKIPPED)
         if todo.isEmpty():
             return _outcome(spark, name, checked, log)
@@ -151,9 +156,10 @@ def _after(at: str) -> str:
     return max(_now(), at)
 
 
-def ingest_all(spark: SparkSession, sources: dict[str, Source], log: AuditLog, force: bool = False, at: str | None = None) -> DataFrame:
+def ingest_all(spark: SparkSession, sources: dict[str, Source], log: AuditLog, force: bool = False, at: str | None = None,
+               verify: bool = False) -> DataFrame:
     """Every source, side by side; rows with status FAILED mean that the run failed."""
-    jobs = [lambda n=n: ingest_source(spark, n, sources, log, force, at) for n in sources]
+    jobs = [lambda n=n: ingest_source(spark, n, sources, log, force, at, verify) for n in sources]
     return reduce(DataFrame.unionByName, concurrently(*jobs))
 
 

@@ -14,7 +14,7 @@ SUCCESSES = [SUCCESS, SUCCESS_WITH_DRIFT]
 SCHEMA = (
     "ingestion_id string, source_name string, source_file string, file_hash string, load_type string, "
     "event_time string, status string, record_count bigint, error_message string, target_path string, "
-    "bytes bigint, modified_time string"
+    "bytes bigint, modified_time string, listed_at string"
 )
 HISTORY = [
     "ingestion_id", "source_name", "source_file", "file_hash", "ingestion_start_time", "ingestion_end_time",
@@ -53,13 +53,13 @@ class AuditLog:
     def started(self, files: DataFrame, source_name: str, load_type: str, at: str) -> DataFrame:
         """Attempts to begin. An id is a digest over this run's id, so a task run twice yields the same.
 
-        Size and time of the files, where given, let a later run know them without opening them.
+        Size and time of the files and when they were listed, where given, let a later run know them unopened.
         """
         identity = F.concat_ws("|", F.lit(uuid.uuid4().hex), F.lit(source_name), "source_file", "file_hash")
         return files.select(
             F.sha2(identity, 256).alias("ingestion_id"), F.lit(source_name).alias("source_name"), "source_file",
             "file_hash", F.lit(load_type).alias("load_type"), F.lit(at).alias("event_time"),
-            F.lit(IN_PROGRESS).alias("status"), *[c for c in ("bytes", "modified_time") if c in files.columns],
+            F.lit(IN_PROGRESS).alias("status"), *[c for c in ("bytes", "modified_time", "listed_at") if c in files.columns],
         )
 
     def history(self, source_name: str | None = None) -> DataFrame:
@@ -83,9 +83,15 @@ class AuditLog:
         return events.filter(ok).select("file_hash").distinct()
 
     def landed(self, source_name: str) -> DataFrame:
-        """Files that were landed, as they were then: name, size, time and content hash."""
+        """Files that were landed, as they were then: name, size, time and content hash.
+
+        Only those whose time had passed when they were listed: what is written to a file after that shows another
+        time. A time without a fraction may be that of a store with whole seconds.
+        """
         events = self.events()
-        ok = (F.col("source_name") == source_name) & F.col("status").isin(SUCCESSES) & F.col("modified_time").isNotNull()
+        at, listed = F.col("modified_time").cast("timestamp"), F.col("listed_at").cast("timestamp")
+        step = F.when(F.unix_millis(at) % 1000 == 0, 1000).otherwise(1)
+        ok = (F.col("source_name") == source_name) & F.col("status").isin(SUCCESSES) & (F.unix_millis(at) + step <= F.unix_millis(listed))
         # A file that came back to an earlier time and size has the hash it was last landed with.
         last = F.max_by("file_hash", "event_time").alias("file_hash")
         return events.filter(ok).groupBy("source_file", "bytes", "modified_time").agg(last)

@@ -2,7 +2,9 @@ import csv
 import hashlib
 import io
 import json
+import os
 import random
+import time
 from dataclasses import replace
 from pathlib import Path
 
@@ -17,7 +19,7 @@ from claimwright.sources.records import physical_lines, read_records
 from claimwright.sources.registry import Source, default_sources, load_sources
 from claimwright.sources.sinks import Layout
 
-DAY1, DAY2 = "2024-01-01T00:00:00+00:00", "2024-01-02T00:00:00+00:00"
+DAY1, DAY2, DAY3 = (f"2024-01-0{i}T00:00:00+00:00" for i in (1, 2, 3))
 
 
 @pytest.fixture
@@ -309,6 +311,29 @@ def test_unchanged_files_are_not_opened(spark, land, monkeypatch):
     assert opened == ["members_9.csv"]
 
 
+@pytest.mark.parametrize("load_type", ["full", "incremental"])
+def test_a_correction_of_equal_length_that_keeps_its_time(land, load_type):
+    land.use(load_type=load_type)
+    path = Path(land.source.source_dir) / "members_a.csv"
+
+    def put(name, at):
+        land.put("members_a.csv", f"member_id,first_name\nM1,{name}\n")
+        os.utime(path, (at, at))
+
+    young, old = int(time.time()) + 600, int(time.time()) - 600
+    put("Paid", young)
+    assert land.run() == [("members_a.csv", "SUCCESS")]
+    put("Void", young)
+    assert land.run(DAY2) == [("members_a.csv", "SUCCESS")], "its time had not passed when it was listed"
+    put("Held", old)
+    assert land.run(DAY3) == [("members_a.csv", "SUCCESS")]
+    put("Done", old)
+    assert land.run(DAY3) == [("members_a.csv", "SKIPPED_ALREADY_INGESTED")], "not opened"
+    assert land.run(DAY3.replace("T00", "T01"), verify=True) == [("members_a.csv", "SUCCESS")]
+    assert sorted(r.first_name for r in land.rows().filter(f"ingestion_date = '{DAY3[:10]}'").collect()) == ["Done"]
+    assert land.run(DAY3.replace("T00", "T02"), verify=True) == [("members_a.csv", "SKIPPED_ALREADY_INGESTED")]
+
+
 def test_jobs_follow_headers_not_files(spark, land):
     def jobs(n):
         land.use(load_type="incremental")
