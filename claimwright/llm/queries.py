@@ -17,6 +17,7 @@ from claimwright.llm.quality import quality
 from claimwright.llm.records import write_and_read
 from claimwright.llm.simhash import near_duplicates
 from claimwright.llm.token_counts import token_counts
+from claimwright.llm.whitening import whitened
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -186,3 +187,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_language")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(table(spark, sf_dir, "documents"))
+
+
+@query("op11_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"), components=8)
