@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 SCALE, BASE = 1024, 100_000
-MERGERS = 64
+MERGERS = 16
 _EPS = float(np.finfo(float).eps)
 _LARGEST = 1 << 62
 
@@ -161,13 +161,13 @@ def triangle(vectors: DataFrame, n: int, sums: list[int]) -> np.ndarray:
 
 def _reflector(x: np.ndarray) -> tuple[np.ndarray, float]:
     """Unit vector v and value b with (I - 2 v v') x = b e1."""
-    size = float(np.linalg.norm(x))
-    if size == 0:
+    scale = float(np.abs(x).max(initial=0.0))
+    if scale < 1e-290:
         return np.zeros_like(x), 0.0
-    v = x.astype(float).copy()
-    b = -size if x[0] >= 0 else size
+    v = x / scale  # so that no square underflows
+    b = -float(np.linalg.norm(v)) if v[0] >= 0 else float(np.linalg.norm(v))
     v[0] -= b
-    return v / np.linalg.norm(v), b
+    return v / np.linalg.norm(v), b * scale
 
 
 def bidiagonal(r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
