@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimwright.llm.automaton import encoded
-from claimwright.llm.common import folder, ship, table
+from claimwright.llm.common import crc_bucket, folder, ship, table
 from claimwright.llm.exact import exact_duplicates
 from claimwright.llm.language import languages
+from claimwright.llm.merkle import manifest, proof_digest
 from claimwright.llm.mixing import mixed
 from claimwright.llm.neighbours import nearest
 from claimwright.llm.preferences import preference_pairs, swapped_replies
@@ -192,3 +193,57 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_whitening")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(table(spark, sf_dir, "embeddings"), components=8)
+
+
+@query("op13_merkle")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.when(crc_bucket("doc_id", 2) == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = manifest(table(spark, sf_dir, "documents"), found={"text": tampered})
+    return found.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
+
+
+def _merkle_sql(levels: int = 12) -> str:
+    """Levels are spelled out: enough for 3 ** levels leaves of a source, and as many sources. ``path``: siblings on the
+    left and right of each step."""
+
+    def field(c: str) -> str:
+        return f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}::VARCHAR, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def tree(name: str, start: str, group: str, order: str) -> str:
+        steps = [f"{name}0 AS (SELECT *, row_number() OVER (PARTITION BY {group} ORDER BY {order}) - 1 AS pos, count(*) OVER (PARTITION BY {group}) AS n, h AS node, "
+                 f"[]::STRUCT(l VARCHAR, r VARCHAR)[] AS path FROM {start})"]
+        for i in range(levels):
+            # One row per leaf throughout: those under one node share its position.
+            steps.append(
+                f"{name}{i}n AS (SELECT DISTINCT {group}, pos, n, node FROM {name}{i}), "
+                f"{name}{i}r AS (SELECT {group} AS g, pos // 3 AS run, list(node ORDER BY pos) AS nodes FROM {name}{i}n GROUP BY ALL), "
+                f"{name}{i + 1} AS (SELECT t.* EXCLUDE (pos, n, node, path), pos // 3 AS pos, (n + 2) // 3 AS n, "
+                f"CASE WHEN n > 1 THEN sha256(array_to_string(nodes, '')) ELSE node END AS node, "
+                f"CASE WHEN n > 1 THEN list_append(path, {{'l': array_to_string(nodes[:pos % 3], ''), 'r': array_to_string(nodes[pos % 3 + 2:], '')}}) ELSE path END AS path "
+                f"FROM {name}{i} t JOIN {name}{i}r ON g IS NOT DISTINCT FROM {group} AND run = pos // 3)")
+        return ", ".join(steps)
+
+    crc = ("list_reduce(list_prepend(4294967295::BIGINT, list_transform(str_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), "
+           "lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END)))")
+    return f"""
+    WITH leaves AS (
+        SELECT doc_id, source, {leaf("text")} AS h, CASE WHEN doc_id IS NOT NULL AND xor({crc}, 4294967295) % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS met
+        FROM documents
+    ), {tree("t", "leaves", "source", "doc_id NULLS FIRST, h")},
+    tops AS (SELECT DISTINCT source, node AS h, 1 AS one FROM t{levels}),
+    {tree("s", "tops", "one", "source NULLS FIRST")},
+    whole AS (
+        SELECT t.doc_id, t.h AS leaf, t.met, t.node AS subroot, s.node AS root, list_concat(t.path, s.path) AS path
+        FROM t{levels} t JOIN s{levels} s ON t.source IS NOT DISTINCT FROM s.source
+    ), folds AS (
+        SELECT *, (list_reduce(list_prepend({{'l': met, 'r': ''}}, path), lambda a, s: {{'l': sha256(s.l || a.l || s.r), 'r': ''}})).l AS folded_root FROM whole
+    )
+    SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s.l || s.r), '')) AS proof_sha256, folded_root, folded_root = root AS verified
+    FROM folds
+    """
+
+
+ORACLES["op13_merkle"] = _merkle_sql()
