@@ -16,6 +16,7 @@ from claimwright.llm.neighbours import nearest
 from claimwright.llm.preferences import preference_pairs, swapped_replies
 from claimwright.llm.quality import quality
 from claimwright.llm.records import write_and_read
+from claimwright.llm.repeats import without_repeats
 from claimwright.llm.simhash import near_duplicates
 from claimwright.llm.token_counts import token_counts
 from claimwright.llm.whitening import whitened
@@ -195,6 +196,32 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(table(spark, sf_dir, "embeddings"), components=8)
 
 
+@query("op12_substrings")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents"), window=20, keep_text=False)
+
+
+ORACLES["op12_substrings"] = r"""
+    WITH docs AS MATERIALIZED (
+        SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+    ), places AS (
+        SELECT rid, doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos, len(words) AS n FROM docs
+    ), windows AS (
+        SELECT *, CASE WHEN pos + 19 <= n THEN string_agg(word, ' ') OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) END AS said FROM places
+    ), firsts AS (
+        SELECT said, min({'doc_id': doc_id, 'pos': pos}) AS place FROM windows WHERE said IS NOT NULL GROUP BY said
+    ), repeats AS (
+        SELECT w.rid, w.pos, w.word, coalesce({'doc_id': w.doc_id, 'pos': w.pos} > f.place, false) AS lost FROM windows w LEFT JOIN firsts f USING (said)
+    ), covered AS (
+        SELECT *, bool_or(lost) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM repeats
+    ), left_over AS (
+        SELECT rid, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone), '') AS kept FROM covered GROUP BY rid
+    )
+    SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM docs LEFT JOIN left_over USING (rid)
+"""
+
+
 @query("op13_merkle")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.when(crc_bucket("doc_id", 2) == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
