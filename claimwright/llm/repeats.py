@@ -45,18 +45,25 @@ LAST = (1 << 63) - 1
 BASES = (0x9E3779B97F4A7C15, 0x6A09E667F3BCC909)
 _MASK = (1 << 64) - 1
 
-_PACKED = "range bigint, block bigint, hashes binary, checks binary, docs binary, starts binary, places binary"
+_PACKED = "range bigint, block bigint, hashes binary, checks binary, docs binary, bases binary, places binary"
 _ANSWER = "block bigint, docs binary, keys binary, ends binary, lost binary, twins binary, places binary"
 
 
 def pack(a: np.ndarray) -> bytes:
-    """Differences of whole numbers, byte by byte over all of them: small numbers are long runs of zeros."""
-    a = np.ascontiguousarray(a, dtype=np.int64)
-    return np.diff(a, prepend=np.int64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Differences of whole numbers, small ones of either sign as small numbers, byte by byte over all of them, in as
+    few bytes each as the largest one takes. The first byte tells how many."""
+    steps = np.diff(np.ascontiguousarray(a, dtype=np.int64), prepend=np.int64(0))
+    plain = ((steps << 1) ^ (steps >> 63)).view(np.uint64)
+    width = (int(plain.max(initial=0)).bit_length() + 7) // 8
+    return bytes([width]) + plain.view(np.uint8).reshape(-1, 8).T[:width].tobytes() + len(plain).to_bytes(8, "little")
 
 
 def unpack(b: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view(np.int64).ravel())
+    width, n = b[0], int.from_bytes(b[-8:], "little")
+    planes = np.zeros((8, n), dtype=np.uint8)
+    planes[:width] = np.frombuffer(b, np.uint8, width * n, 1).reshape(width, n)
+    plain = np.ascontiguousarray(planes.T).view(np.uint64).ravel()
+    return np.cumsum((plain >> np.uint64(1)).view(np.int64) ^ -(plain & np.uint64(1)).view(np.int64))
 
 
 class Digests(dict):
@@ -149,21 +156,30 @@ def _hashed(texts: pa.RecordBatch, digests: Digests, window: int, ranges: int, p
     # The row of the block itself goes through any range.
     home = (number % ranges) & _MASK
     yield pa.RecordBatch.from_pydict({
-        "range": [home], "block": [number], "hashes": [None], "checks": [pack(lost)], "docs": [pack(docs)], "starts": [keys.tobytes()],
-        "places": [pack(ends) + pack(twins)]}, schema=_schema(_PACKED))
+        "range": [home], "block": [number], "hashes": [None], "checks": [pack(lost)], "docs": [pack(docs)], "bases": [keys.tobytes()],
+        "places": [_joined(pack(ends), pack(twins))]}, schema=_schema(_PACKED))
     in_range = (((hashes >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
     order = np.flatnonzero(stays)
     order = order[np.argsort(in_range[order], kind="stable")]
     cuts = np.flatnonzero(np.diff(in_range[order], prepend=-1))
-    out = {c: [] for c in ("range", "block", "hashes", "checks", "docs", "starts", "places")}
+    out = {c: [] for c in ("range", "block", "hashes", "checks", "docs", "bases", "places")}
     for entry in np.split(order, cuts[1:]) if len(order) else []:
         for name, value in zip(out, (
-                int(in_range[entry[0]]), number, hashes[entry].tobytes(), checks[entry].astype(np.uint32).tobytes(), pack(doc[entry]), pack(start[entry]), pack(place[entry]))):
+                int(in_range[entry[0]]), number, hashes[entry].tobytes(), checks[entry].astype(np.uint32).tobytes(), pack(doc[entry]), pack((place - start)[entry]), pack(place[entry]))):
             out[name].append(value)
     if out["range"]:
         yield pa.RecordBatch.from_pydict(out, schema=_schema(_PACKED))
 
 
+def _joined(a: bytes, b: bytes) -> bytes:
+    return len(a).to_bytes(8, "little") + a + b
+
+
+def _parted(both: bytes) -> tuple[bytes, bytes]:
+    n = 8 + int.from_bytes(both[:8], "little")
+    return both[8:n], both[n:]
+
+
 def _schema(ddl: str) -> pa.Schema:
     kinds = {"bigint": pa.int64(), "binary": pa.binary()}
     return pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in ddl.split(", "))])
@@ -173,7 +189,8 @@ def _settled(entries: list[dict]) -> Iterator[dict]:
     """Per block, the places of a range's entries that are not the first of their hash."""
     hashes = np.concatenate([np.frombuffer(r["hashes"], np.uint64) for r in entries])
     checks = np.concatenate([np.frombuffer(r["checks"], np.uint32) for r in entries])
-    docs, starts = (np.concatenate([unpack(r[c]) for r in entries]) for c in ("docs", "starts"))
+    docs = np.concatenate([unpack(r["docs"]) for r in entries])
+    starts = np.concatenate([unpack(r["places"]) - unpack(r["bases"]) for r in entries])
     again, first = groups_of(hashes, checks, docs, starts)
     lost = np.sort(again[(docs[again] != docs[first]) | (starts[again] != starts[first])])
     sizes = np.cumsum([len(r["hashes"]) // 8 for r in entries])
@@ -195,9 +212,8 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for r in batch.to_pylist():
             if r["hashes"] is None:
-                n = len(r["docs"])
-                yield pa.RecordBatch.from_pylist([{"block": r["block"], "docs": r["docs"], "keys": r["starts"], "ends": r["places"][:n], "lost": r["checks"],
-                                                   "twins": r["places"][n:]}], schema=schema)
+                ends, twins = _parted(r["places"])
+                yield pa.RecordBatch.from_pylist([{"block": r["block"], "docs": r["docs"], "keys": r["bases"], "ends": ends, "lost": r["checks"], "twins": twins}], schema=schema)
                 continue
             if r["range"] != now:
                 yield from flush()
