@@ -1,8 +1,8 @@
 """Operator 12: substring dedup by Rabin-Karp hashes of every window of words.
 
 Every run of ``window`` words of a document gets a Rabin-Karp hash: a polynomial of its words' digests, rolled over the
-text by prefix sums, of 96 bits from two polynomials modulo 2 ** 64 (two different windows share one with odds
-of some 10 ** -29). Of the windows with one hash, those that start at the least (doc_id, start) stay; the others
+text by prefix sums, of 88 bits from two polynomials modulo 2 ** 64 (two different windows share one with odds
+of some 10 ** -26). Of the windows with one hash, those that start at the least (doc_id, start) stay; the others
 are repeats. Removal intervals are the unions of repeats, as long as they go.
 
 1. hash    a task takes a block of whole texts (``BLOCK`` bytes), hashes all windows and settles those that repeat
@@ -10,8 +10,8 @@ are repeats. Removal intervals are the unions of repeats, as long as they go.
 2. count   entries are dealt by ranges of the hash, packed into arrays; the task of a range counts each hash, finds the
            first place, and answers every block with the entries that lost. Ranges hold ``RANGE`` bytes of text each.
 3. merge   the answers of a block, with what it settled itself, become maximal intervals per document.
-4. cut     intervals meet the documents by id and text; only here do texts travel, and only if the intervals are
-           too many to be broadcast.
+4. cut     intervals meet the documents by id and text; only here do texts travel, compressed, and only if the
+           intervals are too many to be broadcast.
 
 A block's number comes from its contents, so a task that is run again answers to the same number; an answer to a
 block that is not there is an error, not a loss.
@@ -34,13 +34,16 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh3_128_intdigest, xxh64_intdigest
+from zstandard import ZstdCompressor, ZstdDecompressor
 
 from claimwright.llm.common import map_batches
 
 WINDOW = 20
-BLOCK, RANGE = 8 << 20, 16 << 20
+BLOCK, RANGE = 8 << 20, 12 << 20
 MOST_TASKS = 20_000
 LAST = (1 << 63) - 1
+#: Bytes kept of the second polynomial.
+CHECK = 3
 #: Odd multipliers of the two polynomials (the golden ratio's digits, and the square root of two's).
 BASES = (0x9E3779B97F4A7C15, 0x6A09E667F3BCC909)
 _MASK = (1 << 64) - 1
@@ -50,18 +53,20 @@ _ANSWER = "block bigint, docs binary, keys binary, ends binary, lost binary, twi
 
 
 def pack(a: np.ndarray) -> bytes:
-    """Differences of whole numbers, small ones of either sign as small numbers, byte by byte over all of them, in as
-    few bytes each as the largest one takes. The first byte tells how many."""
+    """Differences of whole numbers, small ones of either sign as small numbers, byte by byte over all of them, then
+    compressed. The last 8 bytes tell how many."""
     steps = np.diff(np.ascontiguousarray(a, dtype=np.int64), prepend=np.int64(0))
     plain = ((steps << 1) ^ (steps >> 63)).view(np.uint64)
     width = (int(plain.max(initial=0)).bit_length() + 7) // 8
-    return bytes([width]) + plain.view(np.uint8).reshape(-1, 8).T[:width].tobytes() + len(plain).to_bytes(8, "little")
+    planes = np.ascontiguousarray(plain.view(np.uint8).reshape(-1, 8).T[:width])
+    return ZstdCompressor(level=1).compress(planes.tobytes()) + len(plain).to_bytes(8, "little")
 
 
 def unpack(b: bytes) -> np.ndarray:
-    width, n = b[0], int.from_bytes(b[-8:], "little")
+    n = int.from_bytes(b[-8:], "little")
     planes = np.zeros((8, n), dtype=np.uint8)
-    planes[:width] = np.frombuffer(b, np.uint8, width * n, 1).reshape(width, n)
+    held = np.frombuffer(ZstdDecompressor().decompress(b[:-8]), np.uint8)
+    planes[: len(held) // max(n, 1)] = held.reshape(-1, n) if n else 0
     plain = np.ascontiguousarray(planes.T).view(np.uint64).ravel()
     return np.cumsum((plain >> np.uint64(1)).view(np.int64) ^ -(plain & np.uint64(1)).view(np.int64))
 
@@ -122,27 +127,34 @@ def blocks(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
         start = stop
 
 
-def _hashed(texts: pa.RecordBatch, digests: Digests, window: int, ranges: int, part: int) -> Iterator[pa.RecordBatch]:
-    """The packed entries of a block, by range, and the row that tells what its places mean."""
+def _named(texts: pa.RecordBatch, digests: Digests, window: int):
+    """Ids, keys and ends of a block's different texts of a window and more, in order, and the digests of their words."""
     rows = {}
     for doc, key, text in zip(*(texts.column(c).to_pylist() for c in ("doc_id", "key", "text"))):
         doc = LAST if doc is None else doc
         if (doc, key) not in rows and len(words := text.split()) >= window:
             rows[doc, key] = words
     if not rows:
-        return
+        return None
     named = sorted(rows)
     docs, keys = (np.array(c, dtype=np.int64) for c in zip(*named))
     ends = np.cumsum([len(rows[r]) for r in named])
-    halves = digests.of([word for r in named for word in rows[r]])
+    return docs, keys, ends, digests.of([word for r in named for word in rows.pop(r)])
+
+
+def _hashed(texts: pa.RecordBatch, digests: Digests, window: int, ranges: int, part: int) -> Iterator[pa.RecordBatch]:
+    """The packed entries of a block, by range, and the row that tells what its places mean."""
+    if (found := _named(texts, digests, window)) is None:
+        return
+    docs, keys, ends, halves = found
     number = xxh64_intdigest(docs.tobytes() + keys.tobytes(), part) - (1 << 63)
 
-    row_of = np.repeat(np.arange(len(named)), np.diff(ends, prepend=0))
+    row_of = np.repeat(np.arange(len(docs)), np.diff(ends, prepend=0))
     place = np.flatnonzero(np.arange(ends[-1]) + window <= ends[row_of])
     start = place - (ends - np.diff(ends, prepend=0))[row_of[place]]
     doc = docs[row_of[place]]
     hashes, checks = (rolled(half, base, window)[place] for half, base in zip(halves, BASES))
-    checks >>= np.uint64(32)
+    checks >>= np.uint64(64 - 8 * CHECK)
 
     # Places ascend by (doc, start). Two rows of one doc may meet at one place of it: neither is earlier.
     again, first = groups_of(hashes, checks, place)
@@ -165,12 +177,25 @@ def _hashed(texts: pa.RecordBatch, digests: Digests, window: int, ranges: int, p
     out = {c: [] for c in ("range", "block", "hashes", "checks", "docs", "bases", "places")}
     for entry in np.split(order, cuts[1:]) if len(order) else []:
         for name, value in zip(out, (
-                int(in_range[entry[0]]), number, hashes[entry].tobytes(), checks[entry].astype(np.uint32).tobytes(), pack(doc[entry]), pack((place - start)[entry]), pack(place[entry]))):
+                int(in_range[entry[0]]), number, hashes[entry].view(np.uint8).reshape(-1, 8)[:, : _sent(ranges)].tobytes(), checks[entry].view(np.uint8).reshape(-1, 8)[:, :CHECK].tobytes(), pack(doc[entry]), pack((place - start)[entry]), pack(place[entry]))):
             out[name].append(value)
     if out["range"]:
         yield pa.RecordBatch.from_pydict(out, schema=_schema(_PACKED))
 
 
+def _sent(ranges: int) -> int:
+    """Low bytes of a hash that its range does not tell."""
+    return 8 - (ranges.bit_length() - 1) // 8
+
+
+def _whole(parts: list[bytes], width: int, kind) -> np.ndarray:
+    """Numbers of ``width`` bytes each as numpy's."""
+    held = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, width)
+    out = np.zeros((len(held), np.dtype(kind).itemsize), dtype=np.uint8)
+    out[:, :width] = held
+    return out.view(kind).ravel()
+
+
 def _joined(a: bytes, b: bytes) -> bytes:
     return len(a).to_bytes(8, "little") + a + b
 
@@ -185,32 +210,32 @@ def _schema(ddl: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in ddl.split(", "))])
 
 
-def _settled(entries: list[dict]) -> Iterator[dict]:
+def _settled(entries: list[dict], width: int) -> Iterator[dict]:
     """Per block, the places of a range's entries that are not the first of their hash."""
-    hashes = np.concatenate([np.frombuffer(r["hashes"], np.uint64) for r in entries])
-    checks = np.concatenate([np.frombuffer(r["checks"], np.uint32) for r in entries])
+    hashes, checks = _whole([r["hashes"] for r in entries], width, np.uint64), _whole([r["checks"] for r in entries], CHECK, np.uint32)
     docs = np.concatenate([unpack(r["docs"]) for r in entries])
     starts = np.concatenate([unpack(r["places"]) - unpack(r["bases"]) for r in entries])
     again, first = groups_of(hashes, checks, docs, starts)
     lost = np.sort(again[(docs[again] != docs[first]) | (starts[again] != starts[first])])
-    sizes = np.cumsum([len(r["hashes"]) // 8 for r in entries])
+    sizes = np.cumsum([len(r["hashes"]) // width for r in entries])
     for r, begin, end in zip(entries, np.concatenate([[0], sizes[:-1]]), sizes):
         mine = lost[np.searchsorted(lost, begin): np.searchsorted(lost, end)] - begin
         if len(mine):
             yield {"block": r["block"], "places": pack(unpack(r["places"])[mine])}
 
 
-def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """One range after another, in the order of the rows."""
     schema, held, now = _schema(_ANSWER), [], None
 
     def flush() -> Iterator[pa.RecordBatch]:
-        if held and (found := list(_settled(held))):
+        if held and (found := list(_settled(held, width))):
             yield pa.RecordBatch.from_pylist(found, schema=schema)
         held.clear()
 
     for batch in batches:
-        for r in batch.to_pylist():
+        for i in range(batch.num_rows):
+            r = batch.slice(i, 1).to_pylist()[0]
             if r["hashes"] is None:
                 ends, twins = _parted(r["places"])
                 yield pa.RecordBatch.from_pylist([{"block": r["block"], "docs": r["docs"], "keys": r["bases"], "ends": ends, "lost": r["checks"], "twins": twins}], schema=schema)
@@ -286,8 +311,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, in
     rows = keyed(docs)
     spark = docs.sparkSession
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // in_range)
-    tasks = min(ranges, MOST_TASKS)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // in_range)
+    # A multiple of 256: the first byte of a hash, at least, need not travel with it.
+    ranges = -(-tasks // 256) * 256
+    tasks = min(tasks, MOST_TASKS)
 
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digests, part = Digests(), TaskContext.get().partitionId()
@@ -295,15 +322,19 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, in
             for texts in blocks(batch, block):
                 yield from _hashed(texts, digests, window, ranges, part)
 
-    entries = rows.mapInArrow(hashed, _PACKED).repartition(tasks, "range").sortWithinPartitions("range")
-    answers = entries.mapInArrow(_counted, _ANSWER).repartition(tasks, "block").sortWithinPartitions("block")
+    entries = rows.mapInArrow(hashed, _PACKED).repartitionById(tasks, F.expr(f"cast(range * {tasks} div {ranges} as int)")).sortWithinPartitions("range")
+    answers = entries.mapInArrow(lambda batches: _counted(batches, _sent(ranges)), _ANSWER).repartition(tasks, "block").sortWithinPartitions("block")
     spans = answers.mapInArrow(_merged(window), "doc_id bigint, key bigint, starts array<int>, ends array<int>")
     # Rows repeated in several blocks have the same intervals in each.
     return spans.dropDuplicates(["doc_id", "key"])
 
 
 def _met(docs: DataFrame, window: int, **sizes: int) -> DataFrame:
-    rows = keyed(docs)
+    def squeezed(rows: pa.RecordBatch) -> pa.RecordBatch:
+        squeeze = ZstdCompressor(level=1).compress
+        return pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("key"), pa.array([squeeze(t) for t in rows.column("text").to_pylist()], pa.binary())], names=["doc_id", "key", "text"])
+
+    rows = map_batches(keyed(docs), squeezed, "doc_id bigint, key bigint, text binary")
     spans = repeated_spans(docs, window, **sizes).select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "starts", "ends")
     return rows.join(spans, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")), "left").select("doc_id", "text", "starts", "ends")
 
@@ -322,8 +353,9 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, keep_text: bool = Tru
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
         words, left, texts, digests = [], [], [], []
+        whole = ZstdDecompressor().decompress
         for text, starts, ends in zip(*(rows.column(c).to_pylist() for c in ("text", "starts", "ends"))):
-            n, kept = kept_words(text, starts, ends)
+            n, kept = kept_words(whole(text), starts, ends)
             joined = b" ".join(kept)
             words.append(n)
             left.append(n - len(kept))
