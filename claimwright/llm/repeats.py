@@ -39,7 +39,7 @@ from zstandard import ZstdCompressor, ZstdDecompressor
 from claimwright.llm.common import map_batches
 
 WINDOW = 20
-BLOCK, RANGE = 8 << 20, 12 << 20
+BLOCK, RANGE = 6 << 20, 12 << 20
 MOST_TASKS = 20_000
 LAST = (1 << 63) - 1
 #: Bytes kept of the second polynomial.
@@ -142,7 +142,7 @@ def _named(texts: pa.RecordBatch, digests: Digests, window: int):
     return docs, keys, ends, digests.of([word for r in named for word in rows.pop(r)])
 
 
-def _hashed(texts: pa.RecordBatch, digests: Digests, window: int, ranges: int, part: int) -> Iterator[pa.RecordBatch]:
+def _hashed(texts: pa.RecordBatch, digests: Digests, window: int, ranges: int, part: int, alone: bool) -> Iterator[pa.RecordBatch]:
     """The packed entries of a block, by range, and the row that tells what its places mean."""
     if (found := _named(texts, digests, window)) is None:
         return
@@ -177,7 +177,7 @@ def _hashed(texts: pa.RecordBatch, digests: Digests, window: int, ranges: int, p
     out = {c: [] for c in ("range", "block", "hashes", "checks", "docs", "bases", "places")}
     for entry in np.split(order, cuts[1:]) if len(order) else []:
         for name, value in zip(out, (
-                int(in_range[entry[0]]), number, hashes[entry].view(np.uint8).reshape(-1, 8)[:, : _sent(ranges)].tobytes(), checks[entry].view(np.uint8).reshape(-1, 8)[:, :CHECK].tobytes(), pack(doc[entry]), pack((place - start)[entry]), pack(place[entry]))):
+                int(in_range[entry[0]]), number, hashes[entry].view(np.uint8).reshape(-1, 8)[:, : _sent(ranges)].tobytes(), checks[entry].view(np.uint8).reshape(-1, 8)[:, :CHECK].tobytes(), pack(doc[entry]), None if alone else pack((place - start)[entry]), pack(place[entry]))):
             out[name].append(value)
     if out["range"]:
         yield pa.RecordBatch.from_pydict(out, schema=_schema(_PACKED))
@@ -214,7 +214,7 @@ def _settled(entries: list[dict], width: int) -> Iterator[dict]:
     """Per block, the places of a range's entries that are not the first of their hash."""
     hashes, checks = _whole([r["hashes"] for r in entries], width, np.uint64), _whole([r["checks"] for r in entries], CHECK, np.uint32)
     docs = np.concatenate([unpack(r["docs"]) for r in entries])
-    starts = np.concatenate([unpack(r["places"]) - unpack(r["bases"]) for r in entries])
+    starts = np.concatenate([unpack(r["places"]) - (unpack(r["bases"]) if r["bases"] is not None else 0) for r in entries])
     again, first = groups_of(hashes, checks, docs, starts)
     lost = np.sort(again[(docs[again] != docs[first]) | (starts[again] != starts[first])])
     sizes = np.cumsum([len(r["hashes"]) // width for r in entries])
@@ -310,7 +310,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, in
     to remove. key: xxhash64 of the text, as rows may share an id. Blocks and ranges hold so many bytes of text."""
     rows = keyed(docs)
     spark = docs.sparkSession
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    per_id = rows.groupBy("doc_id").agg(F.sum(F.octet_length("text")).alias("size"), F.count(F.lit(1)).alias("rows"))
+    size, most = per_id.agg(F.coalesce(F.sum("size"), F.lit(0)), F.max("rows")).first()
+    # Where every id is one row, places of one document meet in one block, in order: their starts need not travel.
+    alone = most == 1
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // in_range)
     # A multiple of 256: the first byte of a hash, at least, need not travel with it.
     ranges = -(-tasks // 256) * 256
@@ -320,7 +323,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, in
         digests, part = Digests(), TaskContext.get().partitionId()
         for batch in batches:
             for texts in blocks(batch, block):
-                yield from _hashed(texts, digests, window, ranges, part)
+                yield from _hashed(texts, digests, window, ranges, part, alone)
 
     entries = rows.mapInArrow(hashed, _PACKED).repartitionById(tasks, F.expr(f"cast(range * {tasks} div {ranges} as int)")).sortWithinPartitions("range")
     answers = entries.mapInArrow(lambda batches: _counted(batches, _sent(ranges)), _ANSWER).repartition(tasks, "block").sortWithinPartitions("block")

@@ -59,6 +59,12 @@ def test_odd_rows(documents, odd_rows, odd, nothing):
     assert got(nothing, 20) == [] and repeated_spans(nothing).collect() == []
 
 
+@pytest.mark.parametrize("sizes", [{}, {"block": 300, "in_range": 1000}])
+def test_ids_of_one_row_each(documents, sizes):
+    rows = [(i, text) for i, (_, text) in enumerate(passages(7))]
+    assert got(documents(rows, 4), 5, **sizes) == plain(rows, 5)
+
+
 def test_rows_that_share_an_id(documents):
     """At one place of a document neither row is earlier, wherever the rows are; both lose against an earlier document."""
     said = " ".join(f"w{i}" for i in range(12))
