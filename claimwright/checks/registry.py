@@ -137,7 +137,7 @@ _reason = "coalesce(rejection_reason, '') as _rejection_reasons"
 
 @add("v01_reasons", f"select claim_id, ingestion_timestamp, {_reason} from validated_claims")
 def _(spark, sf):
-    rows = v.validate_claims(_distinct(spark, sf, "claims"), *_keys(spark, sf))
+    rows = v.validate_claims(_distinct(spark, sf, "claims"), *_keys(spark, sf), _clean(spark, sf, "claims"))
     return rows.select("claim_id", "ingestion_timestamp", v.REASONS)
 
 
@@ -147,7 +147,7 @@ def _(spark, sf):
     union all select {typed('claims')}, 'quarantine', rejection_reason from quarantine_claims""",
 )
 def _(spark, sf):
-    valid, quarantine = v.split(v.validate_claims(_distinct(spark, sf, "claims"), *_keys(spark, sf)))
+    valid, quarantine = v.split(v.validate_claims(_distinct(spark, sf, "claims"), *_keys(spark, sf), _clean(spark, sf, "claims")))
     parts = [
         valid.select(*CLAIMS.business, F.lit("valid").alias("part"), F.lit(None).cast("string").alias("rejection_reason")),
         quarantine.select(*CLAIMS.business, F.lit("quarantine").alias("part"), "rejection_reason"),
@@ -180,7 +180,7 @@ def _(spark, sf):
 
 @add("v07_referential_integrity", "select claim_id, ingestion_timestamp, found_member_id, found_provider_id, found_diagnosis_code from resolved_claims")
 def _(spark, sf):
-    rows = v.mark_references(_distinct(spark, sf, "claims"), dict(zip(v.CLAIM_REFERENCES, _keys(spark, sf))))
+    rows = v.mark_references(_distinct(spark, sf, "claims"), dict(zip(v.CLAIM_REFERENCES, _keys(spark, sf))), _clean(spark, sf, "claims"))
     return rows.select("claim_id", "ingestion_timestamp", *[f"_found_{x}" for x in v.CLAIM_REFERENCES]).toDF(
         "claim_id", "ingestion_timestamp", "found_member_id", "found_provider_id", "found_diagnosis_code"
     )
@@ -222,7 +222,7 @@ def _(spark, sf):
 
 @add("d02_survivor_per_key", f"select {typed('claims', 'ingestion_timestamp')} from latest_claims")
 def _(spark, sf):
-    valid = v.split(v.validate_claims(_distinct(spark, sf, "claims"), *_keys(spark, sf))).valid
+    valid = v.split(v.validate_claims(_distinct(spark, sf, "claims"), *_keys(spark, sf), _clean(spark, sf, "claims"))).valid
     rows = d.latest_per_key(valid, CLAIMS.key, CLAIMS.newest_by, CLAIMS.business)
     return rows.select(*CLAIMS.business, "ingestion_timestamp")
 
@@ -287,7 +287,7 @@ def _each_rule(name: str, rules) -> str:
 
 @add("m01_reason_breakdown", f"select reason, n as rows from ({_each_rule('claims', CLAIM_RULES)}) where n > 0")
 def _(spark, sf):
-    return m.reason_breakdown(v.validate_claims(_distinct(spark, sf, "claims"), *_keys(spark, sf)))
+    return m.reason_breakdown(v.validate_claims(_distinct(spark, sf, "claims"), *_keys(spark, sf), _clean(spark, sf, "claims")))
 
 
 @add("m02_null_counts", "select count(*) filter (date_of_birth is null) as date_of_birth, count(*) filter (state is null) as state, count(*) filter (zip_code is null) as zip_code from silver_members")

@@ -10,9 +10,9 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from claimwright.contracts import CLAIM_STATUSES, LATE_AFTER_DAYS, STATE_CODES
+from claimwright.contracts import CLAIM_STATUSES, CLAIMS, LATE_AFTER_DAYS, STATE_CODES
 from claimwright.functions.columns import failing
-from claimwright.operators.lookup import attach, resolve_key
+from claimwright.operators.lookup import attach, resolve_keys
 
 REASONS = "_rejection_reasons"
 SEPARATOR = "; "
@@ -123,11 +123,9 @@ def validate_diagnoses(df: DataFrame) -> DataFrame:
     return with_reasons(df, diagnosis_rules())
 
 
-def mark_references(df: DataFrame, keys: dict[str, DataFrame]) -> DataFrame:
-    """One boolean per foreign key: ``_found_<column>``."""
-    for column, side in keys.items():
-        df = resolve_key(df, column, side, f"_found_{column}")
-    return df
+def mark_references(df: DataFrame, keys: dict[str, DataFrame], rows: DataFrame | None = None) -> DataFrame:
+    """One boolean per foreign key: ``_found_<column>``. ``rows``: where ``df`` came from, copies included, if that is cheaper to read."""
+    return resolve_keys(df, keys, "_found_", rows, CLAIMS.business if set(CLAIMS.business) <= set(df.columns) else None)
 
 
 def with_lateness(df: DataFrame) -> DataFrame:
@@ -139,10 +137,11 @@ def with_lateness(df: DataFrame) -> DataFrame:
 
 
 def validate_claims(
-    df: DataFrame, member_ids: DataFrame, provider_ids: DataFrame, diagnosis_codes: DataFrame
+    df: DataFrame, member_ids: DataFrame, provider_ids: DataFrame, diagnosis_codes: DataFrame, rows: DataFrame | None = None
 ) -> DataFrame:
+    """``rows``: the cleaned rows that ``df`` was made of by taking out copies, if given."""
     keys = dict(zip(CLAIM_REFERENCES, (member_ids, provider_ids, diagnosis_codes)))
-    marked = mark_references(df, keys)
+    marked = mark_references(df, keys, rows)
     references = [(reason, ~F.col(f"_found_{column}")) for column, reason in CLAIM_REFERENCES.items()]
     checked = with_reasons(marked, claim_field_rules() + references)
     return with_lateness(checked.drop(*[f"_found_{c}" for c in keys]))

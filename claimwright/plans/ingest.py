@@ -100,7 +100,8 @@ def ingest_source(
 
     A bad file does not stop the others. A full load is published only if none of its files failed: readers of
     the newest snapshot keep the last one that was complete. On the day of a published snapshot its outputs
-    are left alone until all files are good. A fault that no file caused fails the run.
+    are left alone until all files are good; until then those that are have the status HELD_BACK, which is no failure.
+    A fault that no file caused fails the run.
 
     ``verify`` hashes every file, also those that the log knows by name, size and time, and lands what differs; ``force``
     lands every file whatever it holds.
@@ -119,7 +120,7 @@ def ingest_source(
             if published is not None and published.first()["ingestion_date"] == at[:10]:
                 held = F.col("status").isin(audit.SUCCESSES)
                 why = F.lit("Held back: another file of the snapshot failed.")
-                checked = checked.withColumns({"message": F.when(held, why).otherwise(F.col("message")), "status": F.when(held, audit.FAILED).otherwise(F.col("status"))})
+                checked = checked.withColumns({"message": F.when(held, why).otherwise(F.col("message")), "status": F.when(held, audit.HELD_BACK).otherwise(F.col("status"))})
                 todo = checked.filter(F.col("status") != audit.SKIPPED)
 
         attempts = stage(log.started(todo, name, source.load_type, at), "attempts")

@@ -106,9 +106,10 @@ def build_claims(
     validated_at: Column | None = None,
 ) -> Built:
     """The dimensions are the Silver tables; only their distinct keys take part."""
-    rows = distinct_rows(bronze, CLAIMS.name)
+    rows = conform(bronze, CLAIMS)
     checked = v.validate_claims(
-        rows, key_set(members, "member_id"), key_set(providers, "provider_id"), key_set(diagnoses, "diagnosis_code")
+        collapse_copies(rows, CLAIMS.business), key_set(members, "member_id"), key_set(providers, "provider_id"),
+        key_set(diagnoses, "diagnosis_code"), rows,
     )
     built = _finish(CLAIMS.name, stage(checked), validated_at)
     return Built(CLAIMS.name, built.validated, with_service_month(built.silver), built.quarantine)

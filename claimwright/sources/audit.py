@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 IN_PROGRESS, SUCCESS, SUCCESS_WITH_DRIFT, FAILED = "IN_PROGRESS", "SUCCESS", "SUCCESS_WITH_DRIFT", "FAILED"
+#: A good file of a snapshot that another file spoils: not landed, and no failure of its own.
+HELD_BACK = "HELD_BACK"
 SKIPPED = "SKIPPED_ALREADY_INGESTED"
 SUCCESSES = [SUCCESS, SUCCESS_WITH_DRIFT]
 

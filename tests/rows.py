@@ -6,19 +6,19 @@ T1, T2 = "2024-01-01T00:00:00+00:00", "2024-05-01T00:00:00+00:00"
 _AT = {"ingestion_timestamp": T1, "source_file": "a.csv", "file_hash": "h"}
 
 MEMBER = {
-    "member_id": "M1", "first_name": "A", "last_name": "B", "date_of_birth": "1990-01-01", "gender": "M",
-    "enrollment_start_date": "2020-01-01", "enrollment_end_date": "", "plan_type": "HMO", "state": "CA",
-    "zip_code": "90001", "source_system": "ENROLL", **_AT,
+    "member_id": "M1", "first_name": "Wren", "last_name": "Okafor", "date_of_birth": "1984-07-19", "gender": "M",
+    "enrollment_start_date": "2020-03-15", "enrollment_end_date": "", "plan_type": "POS", "state": "CA",
+    "zip_code": "94612", "source_system": "ROSTER", **_AT,
 }
 PROVIDER = {
-    "provider_id": "P1", "provider_name": "Clinic", "specialty": "Cardiology", "npi": "1234567890",
-    "network_status": "In-Network", "address_state": "CA", "effective_date": "2020-01-01", "source_system": "PROV", **_AT,
+    "provider_id": "P1", "provider_name": "Harbor Street Practice", "specialty": "Podiatry", "npi": "1700200300",
+    "network_status": "In-Network", "address_state": "CA", "effective_date": "2019-05-06", "source_system": "DIRECTORY", **_AT,
 }
-DIAGNOSIS = {"diagnosis_code": "E11", "diagnosis_description": "Type 2 diabetes", "category": "Endocrine", **_AT}
+DIAGNOSIS = {"diagnosis_code": "E11", "diagnosis_description": "Sugar metabolism, adult", "category": "Metabolic", **_AT}
 CLAIM = {
     "claim_id": "C1", "member_id": "M1", "provider_id": "P1", "diagnosis_code": "E11", "service_date": "2024-01-01",
-    "submission_date": "2024-01-10", "billed_amount": "100.00", "paid_amount": "80.00", "claim_status": "Paid",
-    "denial_reason": "", "ingestion_batch_id": "BATCH_1", "source_system": "CLAIMS", "adjustment_amount": None, **_AT,
+    "submission_date": "2024-01-17", "billed_amount": "143.50", "paid_amount": "96.25", "claim_status": "Paid",
+    "denial_reason": "", "ingestion_batch_id": "BATCH_1", "source_system": "DESK", "adjustment_amount": None, **_AT,
 }
 DEFAULTS = {"members": MEMBER, "providers": PROVIDER, "diagnoses": DIAGNOSIS, "claims": CLAIM}
 

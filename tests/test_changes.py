@@ -66,7 +66,7 @@ def test_backfill_rewrites_only_the_touched_months(spark, tmp_path):
     late = valid(spark, {"claim_id": "b", **feb, "ingestion_timestamp": T2}, {"claim_id": "c", **feb, "paid_amount": "1.00", "ingestion_timestamp": T2},
                  {"claim_id": "a", "paid_amount": "2.00", "ingestion_timestamp": "2023-01-01T00:00:00+00:00"})
     assert backfill.backfill_claims(spark, layout, late.silver) == ["2024-01", "2024-02"]
-    assert state(spark, layout) == [("a", "2024-01", "80.00"), ("b", "2024-02", "80.00"), ("c", "2024-02", "1.00"), ("d", "2024-03", "80.00")]
+    assert state(spark, layout) == [("a", "2024-01", "96.25"), ("b", "2024-02", "96.25"), ("c", "2024-02", "1.00"), ("d", "2024-03", "96.25")]
     assert files_of(tmp_path, "2024-03") == march
     # January loses its last claim.
     backfill.backfill_claims(spark, layout, valid(spark, {"claim_id": "a", **feb, "ingestion_timestamp": T2}).silver)
@@ -92,7 +92,7 @@ def test_stream_merges_batches_into_silver(spark, tmp_path):
         frame(spark, "claims", *rows).coalesce(1).write.parquet(str(tmp_path / "in" / str(i)))
     raw = streaming.read_claims(spark, str(tmp_path / "in" / "*"), max_files=1)
     streaming.merge_into_silver(raw, layout, lambda: dims(spark), str(tmp_path / "checkpoint")).awaitTermination()
-    assert [(c, paid) for c, _, paid in state(spark, layout)] == [("a", "5.00"), ("b", "80.00")]
+    assert [(c, paid) for c, _, paid in state(spark, layout)] == [("a", "5.00"), ("b", "96.25")]
     assert [r.claim_id for r in spark.read.parquet(layout.quarantine("claims") + "_stream").collect()] == ["bad"]
 
 

@@ -39,14 +39,14 @@ def test_amounts(spark, text, value):
 def test_members_are_typed(spark):
     row = c.clean_members(frame(spark, "members", {"state": " ca ", "gender": "f", "zip_code": " 1 "})).first()
     assert (row.state, row.gender, row.zip_code, row.enrollment_end_date) == ("CA", "F", "1", None)
-    assert row.date_of_birth == dt.date(1990, 1, 1)
+    assert row.date_of_birth == dt.date(1984, 7, 19)
 
 
 def test_claims_are_typed_and_status_keeps_its_case(spark):
     raw = frame(spark, "claims", {"diagnosis_code": "e11", "claim_status": "Paid ", "paid_amount": ""}).drop("adjustment_amount")
     row = c.clean_claims(raw).first()
     assert (row.diagnosis_code, row.claim_status, row.paid_amount, row.adjustment_amount) == ("E11", "Paid", None, None)
-    assert row.billed_amount == Decimal("100.00")
+    assert row.billed_amount == Decimal("143.50")
 
 
 def test_cleaning_is_one_projection(spark):

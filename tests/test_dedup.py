@@ -12,6 +12,22 @@ def test_copies_collapse_to_the_latest_provenance(spark):
     assert out == {("1", "a"): ("2024-02-01", "y", 2), ("1", None): ("2024-01-01", "x", 1), ("2", "b"): ("2024-01-01", "x", 1)}
 
 
+def test_names_and_ranks_of_files_choose_the_same_copy(spark):
+    rng = random.Random(1)
+    rows = [(str(rng.randrange(20)), rng.choice(["2024-01-01", "2024-02-01", None]), rng.choice(["a.csv", "b.csv", None, "é.csv"]), rng.choice(["1", "2", None])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "id string, ingestion_timestamp string, source_file string, file_hash string")
+    ranked = d.collapse_copies(df, ["id"])
+    assert "SortAggregate" not in ranked._jdf.queryExecution().executedPlan().toString()
+    defaults = d.ranked_origins.__defaults__
+    try:
+        d.ranked_origins.__defaults__ = (3,)
+        named = d.collapse_copies(df, ["id"])
+    finally:
+        d.ranked_origins.__defaults__ = defaults
+    assert "SortAggregate" in named._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, ranked.collect())) == sorted(map(str, named.collect()))
+
+
 def test_copies_without_other_columns(spark):
     df = spark.createDataFrame([("1",), ("1",)], "id string")
     assert [tuple(r) for r in d.collapse_copies(df, ["id"]).collect()] == [("1", 2)]

@@ -256,7 +256,7 @@ def test_a_broken_file_leaves_the_last_snapshot(spark, land):
     assert newest(spark, land) == complete
     land.put("members_a.csv", "member_id\nM1\n")
     land.put("members_b.csv", "member_id,first_name\nM2,Bob\n")
-    assert land.run(DAY1.replace("T00", "T09")) == [("members_a.csv", "FAILED"), ("members_b.csv", "FAILED")], "held back on the day of a snapshot"
+    assert land.run(DAY1.replace("T00", "T09")) == [("members_a.csv", "FAILED"), ("members_b.csv", "HELD_BACK")], "held back on the day of a snapshot"
     assert newest(spark, land) == complete
     assert land.run(DAY2) == [("members_a.csv", "FAILED"), ("members_b.csv", "SUCCESS")]
     assert newest(spark, land) == complete

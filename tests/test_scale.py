@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimwright.contracts import CLAIMS
-from claimwright.operators import dedup as d
+from claimwright.operators import dedup as d, lookup
 from claimwright.operators import validation as v
 from claimwright.plans import analytics, lake, silver as s
 from claimwright.session import shared_dir, shuffles_sized_for
@@ -45,14 +45,40 @@ def test_rows_are_reduced_before_each_shuffle(spark):
     assert "WindowGroupLimit" in below and "Partial" in below
 
 
-def test_nothing_is_broadcast_when_sides_are_large(spark, small_broadcast):
+def test_nothing_is_broadcast_when_sides_are_large(spark, small_broadcast, monkeypatch):
+    """Beyond their bounds neither the files' ranks nor the unresolved keys are broadcast."""
+    monkeypatch.setattr(d.ranked_origins, "__defaults__", (0,))
+    monkeypatch.setattr(lookup.unresolved_keys, "__defaults__", (-1,))
     rows = v.validate_claims(s.distinct_rows(claims(spark), "claims"), *keys(spark))
     text = plan(rows)
     assert "Broadcast" not in text and "Cartesian" not in text and "NestedLoop" not in text
-    assert text.count("SortMergeJoin") == 3
+    assert text.count("SortMergeJoin") == 4
     assert rows.count() == 2
 
 
+def wide_shuffles(text):
+    """Shuffles by key of rows that carry the amounts, as the narrow rows of a lookup do not."""
+    return [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_copies_are_hashed_not_sorted(spark):
+    """With the files' ranks the aggregate's buffer is two numbers."""
+    raw = {n: frame(spark, n, {}) for n in s.ALL}
+    built = s.build_all(raw, "2025-01-01")
+    for name in ("members", "diagnoses"):
+        assert "SortAggregate" not in plan(built[name].silver) and "partial_max(_origin" in plan(built[name].silver)
+    assert "SortAggregate" not in plan(s.distinct_rows(raw["claims"], "claims"))
+
+
+def test_wide_claims_move_twice(spark, small_broadcast):
+    """Once to take out copies, once for the survivor of each key; the three key checks move distinct keys only."""
+    raw = {n: frame(spark, n, {}) for n in s.ALL}
+    dims = [s.build_members(raw["members"], "2025-01-01").silver, s.build_providers(raw["providers"]).silver, s.build_diagnoses(raw["diagnoses"]).silver]
+    built = s.build_claims(raw["claims"], *dims)
+    assert len(wide_shuffles(plan(built.silver))) == 2
+    assert "SortMergeJoin" not in plan(built.silver) and built.silver.count() == 1
+
+
 def test_no_python_in_any_silver_or_gold_plan(spark):
     raw = {n: frame(spark, n, {}) for n in s.ALL}
     built = s.build_all(raw, "2025-01-01")
@@ -85,7 +111,7 @@ def test_shuffles_follow_the_input_size(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     before = spark.conf.get(key, None)
     with shuffles_sized_for(spark, 100 * 2**40) as n:
-        assert n == 100_000 and spark.conf.get(key) == "100000"
+        assert n == 819_200 and spark.conf.get(key) == "819200"
     with shuffles_sized_for(spark, 10) as n:
         assert n == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert spark.conf.get(key, None) == before

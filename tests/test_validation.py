@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from claimwright.operators import cleaning as c
@@ -90,3 +91,26 @@ def test_a_key_set_holding_filler_text_does_not_resolve_null(spark):
     from claimwright.operators.lookup import resolve_key
 
     assert {r.fk: r.found for r in resolve_key(df, "fk", fillers, "found").collect()} == {None: False, "x": False}
+
+
+@pytest.mark.parametrize("most", [50_000, 0])
+def test_keys_resolve_alike_by_list_and_by_row(spark, monkeypatch, most):
+    from claimwright.operators import lookup
+
+    monkeypatch.setattr(lookup.unresolved_keys, "__defaults__", (most,))
+    values = [None, "a", "b", "x", ""]
+    df = spark.createDataFrame([(i % 7, p, q) for i, (p, q) in enumerate((p, q) for p in values for q in values)] * 3, "n int, p string, q string").withColumn("_asked", F.lit(1))
+    sides = {"p": spark.createDataFrame([("a",), ("b",)], "k string"), "q": spark.createDataFrame([("x",), ("",)], "k string")}
+    out = lookup.resolve_keys(df, sides)
+    assert out.columns == [*df.columns, "_found_p", "_found_q"] and out.count() == df.count()
+    assert all(r._found_p == (r.p in ("a", "b")) and r._found_q == (r.q in ("x", "")) for r in out.collect())
+    all_there = lookup.resolve_keys(df.filter("p = 'a'"), {"p": sides["p"]})
+    assert {r._found_p for r in all_there.collect()} == {True}
+
+
+def test_identity_tells_nulls_and_places_apart(spark):
+    from claimwright.operators.lookup import row_identity
+
+    rows = [("a", None), (None, "a"), ("a", "a"), ("", "a"), ("a", ""), (None, None), ("", ""), ("aa", ""), ("", "aa"), ("aa", None)]
+    df = spark.createDataFrame(rows, "p string, q string")
+    assert df.select(*row_identity(["p", "q"])).distinct().count() == len(rows)
