@@ -25,7 +25,7 @@ from hashlib import sha256
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from claimwright.llm.common import Memo, map_batches, whole_texts
+from claimwright.llm.common import PAIR, Memo, map_batches, whole_texts
 from claimwright.llm.vocabulary import Vocabulary, vocabulary
 
 _NEVER = 1 << 60
@@ -44,11 +44,12 @@ class Automaton:
         self._known: dict[int, bool] = {}
         for step, (a, b, c) in enumerate(v.merges):
             # The gadget needs a path u, v to act on; without one the new label gets no arc.
-            if c in parts or a not in self.live or b not in self.live or not self._arc(a, b):
-                if c not in parts:
-                    self.live.discard(c)
+            if c in parts:
+                raise ValueError(f"two merges make the symbol {c}; a label has one gadget")
+            if a not in self.live or b not in self.live or not self._arc(a, b):
+                self.live.discard(c)
                 continue
-            self.cut[a << 16 | b] = step
+            self.cut[a << PAIR | b] = step
             parts[c] = (a, b, step)
         self.longest = max(len(s) for s in v.ids)
 
@@ -74,14 +75,14 @@ class Automaton:
         cut = self.cut
         for a, gone in self._spine(state)[1]:
             for x, grown in self._spine(label)[0]:
-                step = cut.get(a << 16 | x)
+                step = cut.get(a << PAIR | x)
                 # A doubled symbol takes its own arc away in the very step that makes the pair.
                 if step is not None and step < gone and step <= grown:
                     return False
         return True
 
     def arc(self, state: int, label: int) -> bool:
-        key = state << 16 | label
+        key = state << PAIR | label
         found = self._known.get(key)
         if found is None:
             if len(self._known) >= 1_000_000:

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimwright.session import shared_dir, ship
 
-__all__ = ["WORD", "Memo", "carried", "crc_bucket", "folder", "map_batches", "ship", "stored", "table", "whole_texts"]
+__all__ = ["PAIR", "WORD", "Memo", "carried", "crc_bucket", "folder", "map_batches", "ship", "stored", "table", "whole_texts"]
 
+#: Bits of an id where two of them make one key: ids are 32-bit numbers.
+PAIR = 32
 #: Word separators of the contracts: space and the five ASCII control spaces.
 WORD = r"[^\x20\x09-\x0D]+"
 

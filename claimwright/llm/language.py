@@ -137,16 +137,20 @@ def learn(docs: DataFrame, learned: Column, per_language: int = 400) -> Model:
     rows = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & learned & F.col("text").rlike(r"\p{L}"))
     order = [F.md5(F.col("doc_id").cast("string")), F.col("doc_id")]
-    ids = rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(64)).alias("part"))
+    ids = rows.select("doc_id", "lang").distinct().withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(64)))
     for keys in (("lang", "part"), ("lang",)):  # the first rows of a language are among those of its parts
         ids = ids.withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("n") <= per_language)
-    chosen = rows.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id", "left_semi")
+    chosen = rows.join(F.broadcast(ids.select("doc_id", "lang")), ["doc_id", "lang"]).withColumn("mark", F.xxhash64("text"))
+    # Where an id repeats, its text with the least hash stands for it, so that the bound holds for rows as well.
+    least = chosen.groupBy("doc_id", "lang").agg(F.min("mark").alias("mark"))
+    chosen = chosen.join(F.broadcast(least), ["doc_id", "lang", "mark"]).select("doc_id", "lang", "text")
 
     def batch(part: pa.RecordBatch) -> pa.RecordBatch:
         x = [zlib.compress(features(t).tobytes(), 1) for t in part.column("text").to_pylist()]
         return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("lang"), pa.array(x, pa.binary())], names=["doc_id", "lang", "x"])
 
-    found = map_batches(chosen, batch, "doc_id bigint, lang string, x binary").toArrow().sort_by([("lang", "ascending"), ("doc_id", "ascending")])
+    found = map_batches(chosen, batch, "doc_id bigint, lang string, x binary").dropDuplicates(["doc_id", "lang"])  # copies of one text
+    found = found.toArrow().sort_by([("lang", "ascending"), ("doc_id", "ascending")])
     if not found.num_rows:
         return Model({}, {}, {})
     x = np.stack([np.frombuffer(zlib.decompress(b), np.float32) for b in found["x"].to_pylist()])

@@ -16,16 +16,16 @@ from heapq import heapify, heappop, heappush
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from claimwright.llm.common import Memo, map_batches, whole_texts
+from claimwright.llm.common import PAIR, Memo, map_batches, whole_texts
 from claimwright.llm.vocabulary import vocabulary
 
 _PLACE = 40  # bits of a place within a word, below the rank
 
 
 def merged_length(symbols: list[int], ranks: dict[int, int], result: list[int]) -> int:
-    """Symbols left when no adjacent pair has a rank. ranks: left << 16 | right to rank; result: by rank."""
+    """Symbols left when no adjacent pair has a rank. ranks: left << PAIR | right to rank; result: by rank."""
     n = len(symbols)
-    heap = [rank << _PLACE | i for i in range(n - 1) if (rank := ranks.get(symbols[i] << 16 | symbols[i + 1])) is not None]
+    heap = [rank << _PLACE | i for i in range(n - 1) if (rank := ranks.get(symbols[i] << PAIR | symbols[i + 1])) is not None]
     if not heap:
         return n
     heapify(heap)
@@ -35,16 +35,16 @@ def merged_length(symbols: list[int], ranks: dict[int, int], result: list[int])
         i, rank = least & places, least >> _PLACE
         j = after[i]
         # An entry is stale if its left symbol was merged away or the pair has changed since.
-        if j >= n or symbols[i] < 0 or ranks.get(symbols[i] << 16 | symbols[j]) != rank:
+        if j >= n or symbols[i] < 0 or ranks.get(symbols[i] << PAIR | symbols[j]) != rank:
             continue
         symbols[i], symbols[j] = result[rank], -1
         after[i] = k = after[j]
         merges += 1
         if k < n:
             before[k] = i
-            if (rank := ranks.get(symbols[i] << 16 | symbols[k])) is not None:
+            if (rank := ranks.get(symbols[i] << PAIR | symbols[k])) is not None:
                 heappush(heap, rank << _PLACE | i)
-        if (h := before[i]) >= 0 and (rank := ranks.get(symbols[h] << 16 | symbols[i])) is not None:
+        if (h := before[i]) >= 0 and (rank := ranks.get(symbols[h] << PAIR | symbols[i])) is not None:
             heappush(heap, rank << _PLACE | h)
     return n - merges
 
@@ -53,7 +53,7 @@ def merged_length(symbols: list[int], ranks: dict[int, int], result: list[int])
 def counter(path: str) -> Callable[[str], int]:
     """Number of tokens of a text. Equal words and equal chunks are merged once while the memo holds them."""
     v = vocabulary(path)
-    ranks = {a << 16 | b: rank for rank, (a, b, _) in enumerate(v.merges)}
+    ranks = {a << PAIR | b: rank for rank, (a, b, _) in enumerate(v.merges)}
     result = [c for _, _, c in v.merges]
     of_word = Memo(lambda word: merged_length(v.symbols(word), ranks, result))
     of_chunk = Memo(lambda chunk: sum(map(of_word.__getitem__, v.words(chunk))))

@@ -2,16 +2,19 @@
 
 Reads a tokenizer file of the kind the tokenizers library writes: NFC, white space to one space, lower
 case; a pattern picks the words; bytes are the symbols, the last of a word with the word end appended.
+
+What is a letter and how marks are ordered depends on a version of Unicode. So the library's own normalizer and pattern
+cut any chunk that is not ASCII; Python's only cut ASCII, on which all versions agree.
 """
 
 from __future__ import annotations
 
 import json
 import re
-import unicodedata
 from functools import cache
 
 import regex
+from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 #: White space as the pattern languages of Unicode define it (str.split() also splits at U+001C to U+001F).
 _SPACES = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
@@ -26,11 +29,6 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-def lowered(text: str) -> str:
-    """Lower case character by character, so that no letter depends on its neighbours."""
-    return "".join(c.lower() for c in text) if "Σ" in text else text.lower()
-
-
 class Vocabulary:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -44,7 +42,9 @@ class Vocabulary:
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.labels = {i: s for s, i in self.ids.items()} | {i: s for s, i in self.specials.items()}
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self._words = regex.compile(split["pattern"]["Regex"])
+        self._ascii_words = regex.compile(split["pattern"]["Regex"])
+        self._normalizer = Tokenizer.from_file(path).normalizer
+        self._split = pre_tokenizers.Split(Regex(split["pattern"]["Regex"]), behavior=split["behavior"].lower(), invert=split["invert"])
         self._special = re.compile("(" + "|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) + ")")
         self._bytes = byte_alphabet()
 
@@ -58,9 +58,9 @@ class Vocabulary:
         return [c for c in _SPACES.split(text) if c] if _ODD_SPACES.search(text) else text.split()
 
     def words(self, chunk: str) -> list[str]:
-        if not chunk.isascii():
-            chunk = unicodedata.normalize("NFC", chunk)
-        return self._words.findall(lowered(chunk))
+        if chunk.isascii():
+            return self._ascii_words.findall(chunk.lower())
+        return [word for word, _ in self._split.pre_tokenize_str(self._normalizer.normalize_str(chunk))]
 
     def spelled(self, word: str) -> str:
         return word.encode().decode("latin-1").translate(self._bytes)

@@ -1,5 +1,6 @@
 """Operators 5 and 8: held-out accuracy, what is learned from, odd rows."""
 
+import math
 import random
 import zlib
 
@@ -128,3 +129,56 @@ def test_languages_of_odd_rows(odd, odd_rows, nothing):
     assert {(r.lang_pred, r.score) for r in language.languages(unnamed).collect()} == {("und", 0.0)}
     one = odd.withColumn("lang", F.lit("nl"))
     assert {r.lang_pred for r in language.languages(one).collect()} == {"und", "nl"}
+
+
+def arriving(monkeypatch, module, learn):
+    """Rows that a learner is given."""
+    seen, fit = [], module.fit
+    monkeypatch.setattr(module, "fit", lambda x, label, **kw: seen.extend(map(str, label)) or fit(x, label, **kw))
+    learn()
+    return seen
+
+
+def test_one_id_on_a_third_of_all_rows_stays_one_row(spark, documents, monkeypatch):
+    rng = random.Random(3)
+    rows = [(7, f"Hot text number {i % 40} of many.", "en") for i in range(400)]
+    rows += [(i, " ".join(rng.choice(["wort", "und", "the", "house"]) for _ in range(30)), rng.choice(["en", "de"])) for i in range(10, 800)]
+    docs = documents(rows, 6)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(800)] + [(7, 1)] * 50, "doc_id bigint, quality int")
+    seen = arriving(monkeypatch, quality, lambda: quality.learn(docs, labels, F.lit(True), per_label=40))
+    assert {c: seen.count(c) for c in "01"} == {"0": 40, "1": 40}
+    seen = arriving(monkeypatch, language, lambda: language.learn(docs, F.lit(True), per_language=30))
+    assert {c: seen.count(c) for c in ("en", "de")} == {"en": 30, "de": 30}
+    # The row that stands for an id does not depend on the order of rows.
+    models = [quality.learn(d, labels, F.lit(True), per_label=600) for d in (docs, documents(rows[::-1], 3))]
+    assert np.allclose(models[0].weights, models[1].weights) and models[0].threshold == pytest.approx(models[1].threshold)
+
+
+def plain_margin(x, machine):
+    return sum(float(a) * float(b) for a, b in zip(x, machine.weights) if a) + machine.offset
+
+
+def plain_language(text, model):
+    """Family of the largest margin, then one vote per pair of its languages; shares of votes settle ties."""
+    if text is None or not any(c.isalpha() for c in text):
+        return "und"
+    x = language.features(text)
+    family = max(sorted(model.families), key=lambda f: plain_margin(x, model.of_family[f])) if model.of_family else next(iter(model.families))
+    members = model.families[family]
+    points = dict.fromkeys(members, 0.0)
+    for a in members:
+        for b in members:
+            if (a, b) in model.of_pair:
+                m = plain_margin(x, model.of_pair[a, b])
+                points[a if m > 0 else b] += 1
+                points[a] += math.tanh(m) / (2 * len(members))
+                points[b] -= math.tanh(m) / (2 * len(members))
+    return max(members, key=lambda a: points[a])
+
+
+def test_predictions_equal_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = language.learn(docs, ~language.held_out())
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r.lang_pred for r in language.predicted(docs, model).collect()}
+    assert got == {d: plain_language(t, model) for d, t in texts.items()}

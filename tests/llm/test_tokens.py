@@ -2,6 +2,7 @@
 
 import random
 import struct
+import unicodedata
 import zlib
 from array import array
 from collections import Counter
@@ -50,6 +51,39 @@ def test_words_equal_the_library(word_library):
         assert code.decode(ids) == word_library.decode(want, skip_special_tokens=False)
 
 
+def test_every_code_point_equals_the_library(word_library):
+    """Between two letters and after a mark: what is a letter, and how marks are ordered, is the library's own."""
+    code, count = codec(WORDS), counter(WORDS)
+    # All code points passed; planes without a character are sampled here, to save minutes.
+    points = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x33500), *range(0x33500, 0x110000, 101), *range(0xE0000, 0xE0200)]]
+    marks = [c for c in points if unicodedata.category(c) in ("Mn", "Mc", "Me", "Cn") and ord(c) < 0x20000]
+    for pattern, points in (("a{}b", points), ("e\u0301{}x", marks)):
+        for at in range(0, len(points), 50_000):
+            texts = [pattern.format(c) for c in points[at: at + 50_000]]
+            for text, want in zip(texts, word_library.encode_batch(texts, add_special_tokens=False)):
+                assert array("I", code.encode(text)).tolist() == want.ids, hex(ord(text[1]))
+                assert count(text) == len(want.ids)
+
+
+def test_fuzzed_texts_equal_the_library(word_library):
+    rng = random.Random(11)
+    blocks = [(0x20, 0x7F), (0xA0, 0x250), (0x300, 0x370), (0x370, 0x600), (0x900, 0x1000), (0x1AB0, 0x1B00), (0x2000, 0x2100), (0x3040, 0x3100), (0x4E00, 0x4F00), (0xA700, 0xA800), (0x1F600, 0x1F650)]
+    texts = ["".join(chr(rng.randrange(*rng.choice(blocks))) if rng.random() < 0.5 else rng.choice("abc the ing ") for _ in range(rng.randrange(1, 40))) for _ in range(50_000)]
+    code, count = codec(WORDS), counter(WORDS)
+    for text, want in zip(texts, word_library.encode_batch(texts, add_special_tokens=False)):
+        assert array("I", code.encode(text)).tolist() == want.ids, text
+        assert count(text) == len(want.ids)
+
+
+def test_ids_beyond_16_bits():
+    """Pairs of large ids are keys of their own."""
+    big = 70_000
+    merges = [(big, 1, big + 1), (1, big, big + 2)]
+    ranks = {a << 32 | b: r for r, (a, b, _) in enumerate(merges)}
+    assert merged_length([big, 1, 1, big], ranks, [m[2] for m in merges]) == 2
+    assert merged_length([big - 65_536, 1], ranks, [m[2] for m in merges]) == 2
+
+
 def test_bytes_equal_the_library(byte_library):
     encode = byte_level(BYTES, public_tokenizers.PATTERN)
     for text in odd_texts(3000, 3):
@@ -73,7 +107,7 @@ def test_merging_by_heap_is_merging_by_rank():
             rank, new = min(found)
             i = next(i for i, p in enumerate(zip(plain, plain[1:])) if ranks.get(p, (None,))[0] == rank)
             plain[i : i + 2] = [new]
-        assert merged_length(symbols, {a << 16 | b: r for r, (a, b, _) in enumerate(merges)}, [m[2] for m in merges]) == len(plain)
+        assert merged_length(symbols, {a << 32 | b: r for r, (a, b, _) in enumerate(merges)}, [m[2] for m in merges]) == len(plain)
 
 
 def test_every_accepted_pair_is_what_merging_leaves(word_library):
