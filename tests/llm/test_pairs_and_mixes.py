@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from claimwright.llm import mixing
 from claimwright.llm.mixing import mixed, repeated, targets
 from claimwright.llm.neighbours import nearest
 from claimwright.llm.preferences import preference_pairs, swapped_replies
@@ -204,6 +205,26 @@ def test_taken_words_come_near_the_targets(documents, few):
     assert Counter(map(tuple, got)) == Counter(map(tuple, again))
 
 
+@pytest.mark.parametrize("few, expand", [(50_000, 10_000), (1, 7)])
+def test_a_repeated_row_at_the_cut_is_taken_in_part(documents, monkeypatch, few, expand):
+    """A third of a source is one row, ids are null: the words still come near, and the mix holds what was decided."""
+    monkeypatch.setattr(mixing, "EXPAND", expand)
+    for seed in range(3):
+        rng = random.Random(seed)
+        rows = [(None, "ten words of a text that is here many times", "en", "a")] * 300
+        rows += [(None, f"{i} " + "word " * rng.randrange(1, 12), rng.choice(["en", "de"]), "a") for i in range(300)]
+        rows += [(5, "one and the same", rng.choice(["en", "de", None]), "b")] * 200 + [(i, f"text {i}", "en", None) for i in range(40)]
+        docs = documents(rows, 5)
+        got = mixed(docs, few=few).collect()
+        check_mix(rows, got)
+        want = Counter()
+        for r in got:
+            want[r.doc_id, r.size, r.source] += r.copies
+        mix = repeated(docs, few=few)
+        assert mix.columns == docs.columns
+        assert Counter((r.doc_id, len(r.text.split()), r.source) for r in mix.collect()) == +want
+
+
 def test_the_order_is_odds_over_odds(documents):
     """With priorities, documents of a higher one are taken more often, and the words still come near the target."""
     rows = [(i, "w " * 20, "en", "a" if i % 2 else "b") for i in range(2000)]
