@@ -85,7 +85,7 @@ class Automaton:
         key = state << PAIR | label
         found = self._known.get(key)
         if found is None:
-            if len(self._known) >= 1_000_000:
+            if len(self._known) >= 300_000:
                 self._known.clear()
             found = self._known[key] = self._arc(state, label)
         return found

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimwright.session import shared_dir, ship
 
-__all__ = ["PAIR", "WORD", "Memo", "carried", "crc_bucket", "folder", "map_batches", "ship", "stored", "table", "whole_texts"]
+__all__ = ["PAIR", "WORD", "Memo", "carried", "crc_bucket", "folder", "map_batches", "pieces", "ship", "stored", "table", "whole_texts"]
 
 #: Bits of an id where two of them make one key: ids are 32-bit numbers.
 PAIR = 32
@@ -44,13 +44,24 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def pieces(batch: pa.RecordBatch, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of at most ``size`` bytes, or one larger row; none of no rows."""
+    if batch.num_rows > 1 and batch.nbytes > size:
+        half = batch.num_rows // 2
+        yield from pieces(batch.slice(0, half), size)
+        yield from pieces(batch.slice(half), size)
+    elif batch.num_rows:
+        yield batch
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str) -> DataFrame:
-    """One Arrow batch in, one out: a task holds a batch at a time, whatever the size of its partition."""
+    """One Arrow batch in, one out, in pieces of a few megabytes: a task holds a piece's Python objects at a time,
+    whatever the size of its partition and of the rows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                out = function(batch)
+            for piece in pieces(batch):
+                out = function(piece)
                 yield from out.to_batches() if isinstance(out, pa.Table) else [out]
 
     return df.mapInArrow(run, schema)
@@ -65,7 +76,7 @@ def crc_bucket(id_column: str, modulus: int):
 class Memo(dict):
     """A bounded memo: a missing key is computed once; the memo is emptied when it is full."""
 
-    def __init__(self, compute: Callable, entries: int = 600_000, longest: int = 100):
+    def __init__(self, compute: Callable, entries: int = 300_000, longest: int = 100):
         super().__init__()
         self.compute, self.entries, self.longest = compute, entries, longest
 

@@ -43,7 +43,9 @@ class Vocabulary:
         self.labels = {i: s for s, i in self.ids.items()} | {i: s for s, i in self.specials.items()}
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self._ascii_words = regex.compile(split["pattern"]["Regex"])
-        self._normalizer = Tokenizer.from_file(path).normalizer
+        # The file's settings without its vocabulary, which the library would hold a second time.
+        settings = spec | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": [], "post_processor": None, "decoder": None}
+        self._normalizer = Tokenizer.from_str(json.dumps(settings)).normalizer
         self._split = pre_tokenizers.Split(Regex(split["pattern"]["Regex"]), behavior=split["behavior"].lower(), invert=split["invert"])
         self._special = re.compile("(" + "|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) + ")")
         self._bytes = byte_alphabet()

@@ -208,3 +208,16 @@ def test_files_are_framed_records_with_an_index(spark, documents):
         list(unframed(shards[0].path))
     with pytest.raises(Exception, match="damaged"):
         read_records(manifest).collect()
+
+
+def test_batches_are_cut_by_bytes():
+    import pyarrow as pa
+
+    from claimwright.llm.common import pieces
+
+    texts = ["x" * n for n in (10, 5000, 20, 30, 900, 900, 900, 0)]
+    batch = pa.record_batch([pa.array(range(8)), pa.array(texts)], names=["i", "text"])
+    found = list(pieces(batch, 1500))
+    assert [i for p in found for i in p.column("i").to_pylist()] == list(range(8))
+    assert all(p.num_rows == 1 or p.nbytes <= 1500 for p in found) and len(found) > 3
+    assert list(pieces(batch.slice(0, 0))) == [] and len(list(pieces(batch))) == 1
