@@ -40,13 +40,16 @@ def stage_as(spark: SparkSession, name: str, root: str) -> s.Stage:
 
 
 def write_built(spark: SparkSession, built: s.Built, layout: Layout) -> DataFrame:
-    """Write one dataset's three outputs; returns the Silver table as read back."""
+    """Write one dataset's three outputs, and for claims the index of their keys; returns the Silver table as read back."""
     partition_by = ("service_year_month",) if built.name == "claims" else ()
 
     def silver_and_metrics() -> DataFrame:
         path = sinks.write_silver(built.silver, layout, built.name, partition_by)
         silver = spark.read.schema(built.silver.schema).parquet(path)
-        sinks.write_metrics(built.metrics(silver), layout, built.name)
+        jobs = [lambda: sinks.write_metrics(built.metrics(silver), layout, built.name)]
+        if built.name == "claims":
+            jobs.append(lambda: layout.claim_index().build(silver))
+        concurrently(*jobs)
         return silver
 
     silver, _ = concurrently(silver_and_metrics, lambda: sinks.write_quarantine(built.quarantine, layout, built.name))

@@ -9,6 +9,9 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from claimwright.contracts import CLAIMS
+from claimwright.sources.key_index import KeyIndex
+
 DATASETS = ("members", "providers", "diagnoses", "claims")
 GOLD = ("dim_member", "dim_provider", "fact_claims")
 
@@ -25,6 +28,10 @@ class Layout:
     def silver(self, name: str) -> str:
         return f"{self.root}/silver/{name}"
 
+    def claim_index(self) -> KeyIndex:
+        """Months in which each claim of Silver stands."""
+        return KeyIndex(f"{self.root}/silver_index/{CLAIMS.name}", CLAIMS.key, "service_year_month")
+
     def quarantine(self, name: str) -> str:
         return f"{self.root}/quarantine/{name}"
 
@@ -56,6 +63,9 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> s
 
 
 def write_silver(df: DataFrame, layout: Layout, name: str, partition_by: Sequence[str] = ()) -> str:
+    """Replace a Silver table. The index of claims is that of the table that goes, so it goes first."""
+    if name == CLAIMS.name:
+        layout.claim_index().forget()
     return write_table(df, layout.silver(name), partition_by)
 
 
