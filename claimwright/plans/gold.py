@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from claimwright.contracts import CLAIMS, PROVIDERS
 from claimwright.functions.columns import month_of
-from claimwright.operators.asof import valid_on
+from claimwright.operators.asof import day_bounds, valid_on
 from claimwright.operators.lookup import attach
 from claimwright.operators.versions import surrogate_key, with_validity
 
@@ -90,5 +90,6 @@ def fact_claims_as_of(claims: DataFrame, members: DataFrame, providers: DataFram
     """The fact with the provider version valid on the day of service instead of the current one."""
     narrow = claims.select(*[c for c in FACT_COLUMNS if c in claims.columns])
     wide = attach(narrow, "member_id", members, "member_id", FROM_MEMBER, CLAIMS.key)
-    wide = valid_on(wide, "provider_id", "service_date", providers, FROM_PROVIDER, CLAIMS.key)
+    days = day_bounds(narrow, "service_date")
+    wide = valid_on(wide, "provider_id", "service_date", providers, FROM_PROVIDER, CLAIMS.key, days)
     return with_measures(wide).select(*FACT_COLUMNS)

@@ -99,6 +99,18 @@ def test_fact_uses_the_current_version_and_keeps_unmatched_claims(star):
     assert (rows["C2"].is_denied, rows["C2"].unpaid_amount, rows["C1"].unpaid_amount) == (1, None, 20.0)
 
 
+def test_the_lookup_reads_the_facts_once(spark, tmp_path):
+    facts = spark.createDataFrame([(1, "a", dt.date(2024, 3, 5)), (2, "a", None), (3, None, dt.date(2024, 1, 1))], "id int, k string, at date")
+    facts.write.parquet(str(tmp_path / "facts"))
+    table = spark.createDataFrame([("a", dt.date(1990, 1, 1), None, 7)], "k string, valid_from date, valid_to date, v int")
+    read = spark.read.parquet(str(tmp_path / "facts"))
+    found = asof.valid_on(read, "k", "at", table, {"v": "v"})
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert {r.id: r.v for r in found.collect()} == {1: 7, 2: None, 3: None}
+    none = asof.valid_on(read.filter("at is null"), "k", "at", table, {"v": "v"})
+    assert [(r.id, r.v) for r in none.collect()] == [(2, None)]
+
+
 def test_fact_as_of_uses_the_version_of_the_day(star):
     rows = {r.claim_id: r for r in gold.fact_claims_as_of(star["claims"], star["dim_member"], star["dim_provider"]).collect()}
     assert len(rows) == 4
