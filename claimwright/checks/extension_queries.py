@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from claimwright.checks import scratch
@@ -30,6 +32,32 @@ def _(spark, sf):
     return done.select(F.to_date("window_start").alias("window_start"), "claim_count", "denied_claims", "billed_amount")
 
 
+@add("x01_session_windows", """select * from (with e as (select member_id, submission_date as d, billed_amount, source_file = 'claims_batch_1.csv' as early
+    from clean_claims where submission_date is not null),
+  mark as (select max(d) filter (early) - interval 45 days as first_mark, max(d) - interval 45 days as last_mark from e),
+  a as (select *, sum(opens) over (partition by member_id order by d rows unbounded preceding) as nr from (
+    select *, case when d - lag(d) over (partition by member_id order by d) <= 10 then 0 else 1 end as opens from e where early)),
+  a_ends as (select *, max(d) over (partition by member_id, nr) + interval 10 days as ends from a),
+  b as (select *, sum(opens) over (partition by member_id order by d rows unbounded preceding) as nr from (
+    select *, case when d - lag(d) over (partition by member_id order by d) <= 10 then 0 else 1 end as opens from (
+      select member_id, d, billed_amount from a_ends, mark where ends > first_mark
+      union all select member_id, d, billed_amount from e, mark where not early and d + interval 10 days > first_mark))),
+  done as (select member_id, min(d) as s, max(d) as l, count(*) as n, sum(billed_amount) as billed from a_ends, mark where ends <= first_mark group by member_id, nr
+    union all select member_id, min(d), max(d), count(*), sum(billed_amount) from b group by member_id, nr having max(d) + interval 10 days <= (select last_mark from mark))
+  select member_id, cast(s as varchar) as session_start, cast(l + 10 as varchar) as session_end, n as claim_count, cast(billed as double) as billed_amount from done)""")
+def _(spark, sf):
+    """Two runs of one stream: the later files hold rows out of order, and some behind the watermark of the first run."""
+    root = scratch.fresh(spark, "x01s")
+    raw, early = scratch.raw(spark, sf)["claims"], F.col("source_file") == "claims_batch_1.csv"
+    for number, part in enumerate((raw.filter(early), raw.filter(~early))):
+        part.write.parquet(f"{root}/in/{number}")
+        rows = streaming.timed(streaming.read_claims(spark, f"{root}/in/*"), "45 days")
+        streaming.write_windows(streaming.sessions(rows, "member_id", "10 days"), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    done = spark.read.parquet(f"{root}/out")
+    return done.select("member_id", F.to_date("session_start").alias("session_start"), F.to_date("session_end").alias("session_end"),
+                       "claim_count", "billed_amount")
+
+
 _MERGED = "select claim_id, service_year_month, ingestion_timestamp, cast(paid_amount as double) as paid_amount from silver_claims"
 
 
@@ -64,6 +92,20 @@ def _(spark, sf):
     return changes.newer_than(rows, "ingestion_timestamp", mark).select("claim_id", "ingestion_timestamp")
 
 
+@add("x02_stored_mark", """select * from (with e as (select claim_id, submission_date, ingestion_timestamp, source_file = 'claims_batch_1.csv' as early
+    from clean_claims where submission_date is not null)
+  select distinct claim_id, cast(submission_date as varchar) as submission_date, ingestion_timestamp from e
+  where early or submission_date >= (select max(submission_date) from e where early) - interval 30 days)""")
+def _(spark, sf):
+    """The first files, then all of them: the second run starts 30 days before the stored mark and skips what is held."""
+    root, rows = scratch.fresh(spark, "x02"), _clean(spark, sf, "claims").select("claim_id", "submission_date", "ingestion_timestamp", "source_file")
+    content = ("claim_id", "submission_date", "ingestion_timestamp")
+    load = changes.Increments(f"{root}/marks", "claims", "submission_date", content, dt.timedelta(days=30))
+    load.load(rows.filter(F.col("source_file") == "claims_batch_1.csv").select(*content), f"{root}/claims")
+    load.load(rows.select(*content), f"{root}/claims")
+    return spark.read.parquet(f"{root}/claims").select(*content)
+
+
 @add("x03_apply_changes", """with feed as (
   select c_custkey as id, c_name as name, 1 as seq, 'insert' as op from customer where c_custkey % 3 = 0
   union all select c_custkey, c_name || ' changed', 2, 'update' from customer where c_custkey % 5 = 0
@@ -140,6 +182,23 @@ def _(spark, sf):
         near("diagnosis_code").alias("diagnoses_close"))
 
 
+@add("x07_united_sketches", """select count(*) as claim_count, count(distinct member_id) as member_ids, count(distinct provider_id) as provider_ids,
+  count(distinct diagnosis_code) as diagnosis_codes, true as members_near, true as providers_near, true as diagnoses_near from fact_claims""")
+def _(spark, sf):
+    """Sketches stored per month and united, beside exact counts of the same plan: within four standard errors."""
+    fact, path = scratch.tables(spark, sf)["fact_claims"], f"{scratch.fresh(spark, 'x07')}/sketches"
+    analytics.monthly_sketches(fact).write.parquet(path)
+    united = analytics.united_counts(spark.read.parquet(path))
+    exact = fact.agg(F.count(F.lit(1)).alias("claim_count"), *[F.count_distinct(c).alias(f"{c}_exact") for c in analytics.COUNTED])
+
+    def near(c):
+        return F.abs(F.col(f"{c}s") - F.col(f"{c}_exact")) <= 0.065 * F.col(f"{c}_exact")
+
+    return united.join(exact, "claim_count").select(  # one row each, of equal counts
+        "claim_count", *[F.col(f"{c}_exact").alias(f"{c}s") for c in analytics.COUNTED], near("member_id").alias("members_near"),
+        near("provider_id").alias("providers_near"), near("diagnosis_code").alias("diagnoses_near"))
+
+
 @add("x08_backfill", _MERGED)
 def _(spark, sf):
     """Silver from the first files only, then the later ones merged in."""

@@ -329,3 +329,22 @@ def approximate_counts(t: Tables, error: float = 0.02) -> DataFrame:
         _rows("claim_count"),
         *[F.approx_count_distinct(c, error).alias(f"{c}s") for c in ("member_id", "provider_id", "diagnosis_code")],
     )
+
+
+COUNTED = ("member_id", "provider_id", "diagnosis_code")
+
+
+def monthly_sketches(fact: DataFrame, precision: int = 12) -> DataFrame:
+    """One row per month: its claims, and a mergeable sketch of each counted column, to be stored and added to.
+
+    ``precision`` is the number of index bits: a standard error of 1.04 / sqrt(2 ** precision).
+    """
+    return fact.groupBy("service_year_month").agg(
+        _rows("claim_count"), *[F.hll_sketch_agg(c, precision).alias(c) for c in COUNTED]
+    )
+
+
+def united_counts(sketches: DataFrame) -> DataFrame:
+    """Distinct values over all months of stored sketches, without reading the fact again."""
+    united = sketches.agg(F.sum("claim_count").alias("claim_count"), *[F.hll_union_agg(c).alias(c) for c in COUNTED])
+    return united.select("claim_count", *[F.hll_sketch_estimate(c).alias(f"{c}s") for c in COUNTED])

@@ -32,6 +32,8 @@ SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # State beyond the heap: streams remember every claim for as long as copies may arrive.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Sessions of a hot key are merged where its rows are read, ahead of the shuffle.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

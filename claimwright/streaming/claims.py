@@ -56,8 +56,21 @@ def volume_by_window(claims: DataFrame, width: str) -> DataFrame:
              "claim_count", "denied_claims", "billed_amount")
 
 
+def sessions(claims: DataFrame, key: str, gap: str) -> DataFrame:
+    """Runs of submissions of one ``key``, each at most ``gap`` after the one before.
+
+    A late row within the watermark extends, or joins, the sessions that it falls between. Sessions are merged in every
+    input partition before the shuffle if ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` is set,
+    as this library's sessions have it, so that a hot key arrives as its sessions and not as its rows.
+    """
+    return claims.groupBy(key, F.session_window(EVENT_TIME, gap)).agg(
+        F.count(F.lit(1)).alias("claim_count"), F.sum("billed_amount").alias("billed_amount"),
+    ).select(key, F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"),
+             "claim_count", "billed_amount")
+
+
 def write_windows(windows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append each window once it can no longer change; processes what is there and stops."""
+    """Append each window or session once it can no longer change; processes what is there and stops."""
     return (
         windows.writeStream.outputMode("append").format("parquet").option("path", path)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -37,6 +37,27 @@ def test_change_feed_equals_replaying_it(spark, seed):
     assert {r.id: r.v for r in got.collect()} == want and got.count() == len(want)
 
 
+def feed(spark, *rows):
+    return spark.createDataFrame([(k, dt.date(2024, 1, day) if day else None, v) for k, day, v in rows], "k string, d date, v string")
+
+
+def test_increments_from_a_stored_mark(spark, tmp_path):
+    target, load = str(tmp_path / "t"), changes.Increments(str(tmp_path / "marks"), "s", "d", ("k", "d", "v"), dt.timedelta(days=3))
+    first = [("a", 10, "x"), ("a", 10, "x"), ("b", 8, None), ("c", None, "never")]
+    assert load.mark(spark) is None and load.load(feed(spark, *first), target) == 2
+    assert load.mark(spark) == dt.datetime(2024, 1, 10)
+    # Equal to the mark, late within the overlap, late beyond it, a null that is held, and a corrected value.
+    second = [*first, ("d", 10, "x"), ("e", 7, "x"), ("f", 6, "lost"), ("b", 8, "now"), ("g", 12, "x")]
+    assert load.load(feed(spark, *second), target) == 4 and load.mark(spark) == dt.datetime(2024, 1, 12)
+    got = sorted((r.k, r.d.day, r.v or "") for r in spark.read.parquet(target).collect())
+    assert got == [("a", 10, "x"), ("b", 8, ""), ("b", 8, "now"), ("d", 10, "x"), ("e", 7, "x"), ("g", 12, "x")]
+    assert load.load(feed(spark, *second), target) == 0 and load.load(feed(spark), target) == 0
+    # A run that broke off before its mark stood, and another source.
+    lost = changes.Increments(str(tmp_path / "other"), "s", "d", load.identity, load.overlap)
+    assert lost.load(feed(spark, *second[:-1]), target) == 1  # only f, which no mark holds off now
+    assert changes.Increments(load.marks, "s2", "d", load.identity).mark(spark) is None
+
+
 DIMS = {"members": ("member_id", "M1"), "providers": ("provider_id", "P1"), "diagnoses": ("diagnosis_code", "E11")}
 
 
@@ -120,3 +141,19 @@ def test_alerts(spark):
 
 def test_business_columns_match_the_contract():
     assert len(CLAIMS.business) == 13 and CLAIMS.optional == {"adjustment_amount"}
+
+
+def test_late_rows_join_sessions_and_rows_behind_the_watermark_do_not(spark, tmp_path):
+    """Days of 2024 after the first: 0 and 20 are two sessions until 10 arrives late; 2 comes too late."""
+    def arrive(number, *days):
+        rows = [{"claim_id": f"{number}-{n}", "submission_date": str(dt.date(2024, 1, 1) + dt.timedelta(days=n))} for n in days]
+        frame(spark, "claims", *rows).coalesce(1).write.parquet(str(tmp_path / "in" / str(number)))
+        rows = streaming.timed(streaming.read_claims(spark, str(tmp_path / "in" / "*")), "30 days")
+        out = streaming.sessions(rows, "member_id", "10 days")
+        streaming.write_windows(out, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
+        done = spark.read.parquet(str(tmp_path / "out")).orderBy("session_start").collect()
+        return [(r.session_start.date().isoformat(), r.session_end.date().isoformat(), r.claim_count) for r in done]
+
+    assert arrive(1, 20, 0, 25) == []
+    assert arrive(2, 10, 100) == [("2024-01-01", "2024-02-05", 4)]
+    assert arrive(3, 2, 200) == [("2024-01-01", "2024-02-05", 4), ("2024-04-10", "2024-04-20", 1)]
