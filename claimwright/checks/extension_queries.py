@@ -71,7 +71,7 @@ def _first_silver(spark, sf, layout):
 
 
 def _merged(spark, layout):
-    return spark.read.parquet(layout.silver("claims")).select("claim_id", "service_year_month", "ingestion_timestamp", "paid_amount")
+    return sinks.read_silver(spark, layout, "claims").select("claim_id", "service_year_month", "ingestion_timestamp", "paid_amount")
 
 
 @add("x01_stream_merge", _MERGED)

@@ -255,7 +255,7 @@ def _(spark, sf):
     lake.write_layers(spark, scratch.raw(spark, sf), layout, datasets=["claims"], as_of=AS_OF)
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{layout.root}/silver").select("path")
     written = listed.filter(~F.col("path").contains("/silver/claims/")).count()
-    claims = spark.read.parquet(layout.silver("claims"))
+    claims = sinks.read_silver(spark, layout, "claims")
     counted = claims.groupBy("service_year_month").agg(F.count(F.lit(1)).alias("claim_count"))
     return counted.withColumn("dimension_files", F.lit(written).cast("bigint"))
 

@@ -18,7 +18,7 @@ from claimwright.contracts import CONTRACTS
 from claimwright.plans.lake import run_gold, write_layers
 from claimwright.session import shared_dir
 from claimwright.sources.registry import Source, default_sources
-from claimwright.sources.sinks import GOLD, Layout
+from claimwright.sources.sinks import GOLD, Layout, read_silver
 
 AT = "2024-07-01T00:00:00+00:00"
 ORDERS_PER_FILE = 50_000
@@ -137,7 +137,7 @@ def tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
 
 def silver(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     layout = lake(spark, sf_dir)
-    return Lazy(CONTRACTS, lambda n: spark.read.parquet(layout.silver(n)))
+    return Lazy(CONTRACTS, lambda n: read_silver(spark, layout, n))
 
 
 def portable(df: DataFrame) -> DataFrame:

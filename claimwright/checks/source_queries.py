@@ -241,8 +241,7 @@ def _(spark, sf):
 def _(spark, sf):
     layout = sinks.Layout(scratch.fresh(spark, "s18"))
     claims = scratch.silver(spark, sf)["claims"]
-    path = sinks.write_silver(claims, layout, "claims", ["service_year_month"])
-    return spark.read.parquet(path).select("claim_id", "service_year_month")
+    return sinks.write_silver(claims, layout, "claims", ["service_year_month"]).select("claim_id", "service_year_month")
 
 
 @add("s19_quarantine_sink", "select claim_id, member_id, provider_id, rejection_reason from quarantine_claims")
@@ -266,7 +265,7 @@ def _(spark, sf):
   union all select claim_id, rejection_reason, null from quarantine_claims)""")
 def _(spark, sf):
     layout = scratch.lake(spark, sf)
-    rows = sinks.read_united(spark, layout.silver("claims"), layout.quarantine("claims"))
+    rows = sinks.united(sinks.read_silver(spark, layout, "claims"), sinks.read_united(spark, layout.quarantine("claims")))
     return rows.select("claim_id", "rejection_reason", "service_year_month")
 
 

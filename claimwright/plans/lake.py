@@ -44,8 +44,7 @@ def write_built(spark: SparkSession, built: s.Built, layout: Layout) -> DataFram
     partition_by = ("service_year_month",) if built.name == "claims" else ()
 
     def silver_and_metrics() -> DataFrame:
-        path = sinks.write_silver(built.silver, layout, built.name, partition_by)
-        silver = spark.read.schema(built.silver.schema).parquet(path)
+        silver = sinks.write_silver(built.silver, layout, built.name, partition_by)
         jobs = [lambda: sinks.write_metrics(built.metrics(silver), layout, built.name)]
         if built.name == "claims":
             jobs.append(lambda: layout.claim_index().build(silver))
@@ -108,7 +107,7 @@ def run_silver(
 
 def run_gold(spark: SparkSession, layout: Layout, views: bool = True) -> dict[str, DataFrame]:
     """Gold from the Silver tables. The fact reads the written dimensions, whose size is known."""
-    silver = {n: sinks.read_united(spark, layout.silver(n)) for n in ("members", "providers", "claims")}
+    silver = {n: sinks.read_silver(spark, layout, n) for n in ("members", "providers", "claims")}
     with shuffles_sized_for(spark, input_bytes(spark, f"{layout.root}/silver")):
         dims = {"dim_member": g.dim_member(silver["members"]), "dim_provider": g.dim_provider(silver["providers"])}
         written = concurrently(*[partial(sinks.materialise, spark, df, layout, n, views) for n, df in dims.items()])

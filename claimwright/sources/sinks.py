@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimwright.contracts import CLAIMS
 from claimwright.sources.key_index import KeyIndex
+from claimwright.sources.versions import VersionedTable
 
 DATASETS = ("members", "providers", "diagnoses", "claims")
 GOLD = ("dim_member", "dim_provider", "fact_claims")
@@ -28,6 +29,9 @@ class Layout:
     def silver(self, name: str) -> str:
         return f"{self.root}/silver/{name}"
 
+    def silver_table(self, name: str) -> VersionedTable:
+        return VersionedTable(self.silver(name))
+
     def claim_index(self) -> KeyIndex:
         """Months in which each claim of Silver stands."""
         return KeyIndex(f"{self.root}/silver_index/{CLAIMS.name}", CLAIMS.key, "service_year_month")
@@ -62,11 +66,18 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> s
     return path
 
 
-def write_silver(df: DataFrame, layout: Layout, name: str, partition_by: Sequence[str] = ()) -> str:
-    """Replace a Silver table. The index of claims is that of the table that goes, so it goes first."""
+def write_silver(df: DataFrame, layout: Layout, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Replace a Silver table and return it as read back. Readers of the version before are not disturbed. The index of
+    claims is that of the table that goes, so it goes first."""
     if name == CLAIMS.name:
         layout.claim_index().forget()
-    return write_table(df, layout.silver(name), partition_by)
+    layout.silver_table(name).replace(df, partition_by)
+    return read_silver(df.sparkSession, layout, name)
+
+
+def read_silver(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    """The newest published version of a Silver table."""
+    return layout.silver_table(name).read(spark)
 
 
 def write_quarantine(df: DataFrame, layout: Layout, name: str) -> str:
@@ -85,7 +96,11 @@ def write_metrics(metrics: DataFrame, layout: Layout, name: str) -> str:
 
 def read_united(spark: SparkSession, *paths: str) -> DataFrame:
     """Parquet folders as one table: columns matched by name, absent ones NULL, partitions kept."""
-    tables = [spark.read.option("mergeSchema", True).parquet(p) for p in paths]
+    return united(*[spark.read.option("mergeSchema", True).parquet(p) for p in paths])
+
+
+def united(*tables: DataFrame) -> DataFrame:
+    """Tables as one: columns matched by name, absent ones NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
@@ -101,11 +116,15 @@ def check_outputs(spark: SparkSession, layout: Layout, strict: bool = True) -> D
     """(artifact, present, row_count) for every layer. With ``strict``, fail naming what is missing."""
     parts, missing = [], []
     for artifact, path in layout.artifacts().items():
-        reader = spark.read.format("json" if artifact.startswith("metrics/") else "parquet")
+        layer, name = artifact.split("/")
         try:
-            rows = reader.load(path).agg(F.count(F.lit(1)).alias("row_count"))
-        except AnalysisException as e:
-            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            if layer == "silver":
+                found = read_silver(spark, layout, name)
+            else:
+                found = spark.read.format("json" if layer == "metrics" else "parquet").load(path)
+            rows = found.agg(F.count(F.lit(1)).alias("row_count"))
+        except (AnalysisException, FileNotFoundError) as e:
+            if isinstance(e, AnalysisException) and e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
             missing.append(artifact)
             rows = spark.range(1).select(F.lit(None).cast("bigint").alias("row_count"))

@@ -5,7 +5,7 @@ import pytest
 
 from claimwright.plans import backfill, lake
 from claimwright.sources.key_index import HASH, KeyIndex
-from claimwright.sources.sinks import Layout, write_silver
+from claimwright.sources.sinks import Layout, read_silver, write_silver
 from rows import T2
 from test_changes import state, valid
 
@@ -19,7 +19,7 @@ def months(index, spark, *ids):
 
 def spoil(tmp_path, month):
     """Overwrite the pages of a month's files; sizes and footers stay, so only reading a column fails."""
-    for p in tmp_path.glob(f"silver/claims/service_year_month={month}/*.parquet"):
+    for p in tmp_path.glob(f"silver/claims/version=*/service_year_month={month}/*.parquet"):
         data = p.read_bytes()
         footer = int.from_bytes(data[-8:-4], "little") + 8
         p.write_bytes(data[:4] + b"\xff" * (len(data) - footer - 4) + data[-footer:])
@@ -31,10 +31,10 @@ def test_an_increment_reads_no_key_of_other_months(spark, tmp_path):
     lake.write_built(spark, valid(spark, {"claim_id": "a", **JAN}, {"claim_id": "b", **FEB}, {"claim_id": "d", **MAR}), layout)
     spoil(tmp_path, "2024-03")
     with pytest.raises(Exception):
-        spark.read.parquet(layout.silver("claims")).select("claim_id").collect()
+        read_silver(spark, layout, "claims").select("claim_id").collect()
     late = valid(spark, {"claim_id": "a", **FEB, "ingestion_timestamp": T2}, {"claim_id": "new", **FEB})
     assert backfill.backfill_claims(spark, layout, late.silver) == ["2024-01", "2024-02"]
-    left = spark.read.parquet(layout.silver("claims")).filter("service_year_month < '2024-03'")
+    left = read_silver(spark, layout, "claims").filter("service_year_month < '2024-03'")
     assert sorted((r.claim_id, r.service_year_month) for r in left.collect()) == [("a", "2024-02"), ("b", "2024-02"), ("new", "2024-02")]
 
 
