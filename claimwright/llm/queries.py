@@ -13,7 +13,7 @@ from claimwright.llm.language import languages
 from claimwright.llm.merkle import manifest, proof_digest
 from claimwright.llm.mixing import mixed
 from claimwright.llm.neighbours import nearest
-from claimwright.llm.preferences import preference_pairs, swapped_replies
+from claimwright.llm.preferences import swapped_pairs
 from claimwright.llm.quality import quality
 from claimwright.llm.records import write_and_read
 from claimwright.llm.repeats import without_repeats
@@ -137,7 +137,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_preferences")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = preference_pairs(*swapped_replies(table(spark, sf_dir, "conversations")))
+    found = swapped_pairs(table(spark, sf_dir, "conversations"))
     listed = {c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"], s["end"])), ",").alias(c) for c in ("chosen_mask", "rejected_mask")}
     return found.select("pair_id", "n_common", "prompt", "chosen", "rejected", *listed.values())
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from claimwright.llm import mixing
 from claimwright.llm.mixing import mixed, repeated, targets
 from claimwright.llm.neighbours import nearest
-from claimwright.llm.preferences import preference_pairs, swapped_replies
+from claimwright.llm.preferences import preference_pairs, swapped_pairs, swapped_replies
 
 # Preferences -------------------------------------------------------------------------------------
 
@@ -76,6 +76,26 @@ def test_replies_are_swapped_between_neighbours(spark):
     assert preference_pairs(*swapped_replies(empty)).collect() == []
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_pairs_of_neighbours_equal_those_of_two_tables(spark, seed):
+    """Null ids, turns, roles and texts, negative ids, repeated turns, tied replies and conversations without neighbour."""
+    rng = random.Random(seed)
+    rows = [(rng.choice([None, *range(-4, 9)]), rng.choice([None, 0, 1, 2, 3]), rng.choice([None, "user", "assistant", "assistant"]),
+             rng.choice([None, "", "a", "b", "naïve 你好"])) for _ in range(70)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").selectExpr("*", "'!' as k", "'!' as c", "'!' as other").repartition(3)
+    want = preference_pairs(*swapped_replies(turns)).collect()
+    got = swapped_pairs(turns).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(want) > 10
+    assert swapped_pairs(turns.limit(0)).collect() == []
+
+
+def test_neighbours_meet_in_one_shuffle(spark):
+    df = swapped_pairs(spark.read.parquet("/root/testdata/sf0.001/conversations.parquet"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Join", plan)
+    assert len(re.findall("Exchange hash", plan)) == 1 and len(re.findall("FileScan", plan)) == 1 and not re.search(r"\bSortAggregate", plan)
+
+
 def test_preferences_run_no_python(spark):
     df = preference_pairs(*swapped_replies(spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")))
     plan = df._jdf.queryExecution().executedPlan().toString()
