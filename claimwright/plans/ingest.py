@@ -149,7 +149,7 @@ def ingest_source(
 
 def _outcome(spark: SparkSession, name: str, checked: DataFrame, log: AuditLog) -> DataFrame:
     """Kept beside the log: it outlives the run's staged tables."""
-    return log.keep_outcome(checked.select(F.lit(name).alias("source_name"), "source_file", "status", "message"))
+    return log.keep_outcome(checked.select(F.lit(name).alias("source_name"), "source_file", "status", "message"), name)
 
 
 def _after(at: str) -> str:

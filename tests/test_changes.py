@@ -74,10 +74,10 @@ def state(spark, layout):
     return sorted((r.claim_id, r.service_year_month, str(r.paid_amount)) for r in rows)
 
 
-def files_of(spark, layout, month):
+def files_of(layout, month):
     """Data files of a month in the version that readers see."""
     table = layout.silver_table("claims")
-    folder = table.parts(spark)[1].get(month)
+    folder = table.parts()[1].get(month)
     return sorted(p.name for p in Path(f"{table.root}/{folder}").glob("*.parquet"))
 
 
@@ -85,17 +85,17 @@ def test_backfill_rewrites_only_the_touched_months(spark, tmp_path):
     layout = Layout(str(tmp_path))
     feb, mar = {"service_date": "2024-02-01", "submission_date": "2024-02-02"}, {"service_date": "2024-03-01", "submission_date": "2024-03-02"}
     lake.write_built(spark, valid(spark, {"claim_id": "a"}, {"claim_id": "b"}, {"claim_id": "c", **feb}, {"claim_id": "d", **mar}), layout)
-    march = files_of(spark, layout, "2024-03")
+    march = files_of(layout, "2024-03")
     # b moves from January to February; a newer file corrects c; an older row for a changes nothing.
     late = valid(spark, {"claim_id": "b", **feb, "ingestion_timestamp": T2}, {"claim_id": "c", **feb, "paid_amount": "1.00", "ingestion_timestamp": T2},
                  {"claim_id": "a", "paid_amount": "2.00", "ingestion_timestamp": "2023-01-01T00:00:00+00:00"})
     assert backfill.backfill_claims(spark, layout, late.silver) == ["2024-01", "2024-02"]
     assert state(spark, layout) == [("a", "2024-01", "96.25"), ("b", "2024-02", "96.25"), ("c", "2024-02", "1.00"), ("d", "2024-03", "96.25")]
-    assert files_of(spark, layout, "2024-03") == march
+    assert files_of(layout, "2024-03") == march
     # January loses its last claim.
     backfill.backfill_claims(spark, layout, valid(spark, {"claim_id": "a", **feb, "ingestion_timestamp": T2}).silver)
     assert [r[:2] for r in state(spark, layout)] == [("a", "2024-02"), ("b", "2024-02"), ("c", "2024-02"), ("d", "2024-03")]
-    assert files_of(spark, layout, "2024-03") == march and files_of(spark, layout, "2024-01") == []
+    assert files_of(layout, "2024-03") == march and files_of(layout, "2024-01") == []
 
 
 def test_no_staged_table_is_left(spark, tmp_path):

@@ -3,11 +3,13 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from rows import T2
 from test_changes import valid
 from test_key_index import FEB, JAN
 
 from claimwright.plans import backfill, lake
+from claimwright.sources.audit import AuditLog
 from claimwright.sources.sinks import Layout, read_silver
 from claimwright.sources.versions import NULL_PLACE, VersionedTable
 
@@ -45,11 +47,11 @@ def test_readers_keep_the_version_that_they_began_with(spark, tmp_path):
     table = VersionedTable(str(tmp_path / "t"))
     table.replace(rows(spark, (1, "a"), (2, "b"), (3, "c")), ["m"])
     first = table.read(spark)
-    stays = table.parts(spark)[1]["c"]
+    stays = table.parts()[1]["c"]
     table.replace_partitions(rows(spark, (4, "a")), "m", ["a", "b"])
     assert seen(first) == [(1, "a"), (2, "b"), (3, "c")] and seen(table.read(spark)) == [(3, "c"), (4, "a")]
     assert seen(table.read(spark, version=1)) == seen(first)
-    assert table.parts(spark) == (2, table.parts(spark)[1]) and table.parts(spark)[1]["c"] == stays
+    assert table.parts() == (2, table.parts()[1]) and table.parts()[1]["c"] == stays
     table.replace_partitions(rows(spark, (5, "a")), "m", ["a"])
     # The first version is gone but for the partition that newer ones name.
     assert table.versions() == [2, 3] and [p.name for p in Path(f"{table.root}/{stays}").parent.glob("m=*")] == ["m=c"]
@@ -80,13 +82,30 @@ def test_empty_tables_null_and_odd_places(spark, tmp_path):
     table.replace_partitions(rows(spark), "m", ["2024-01"])
     assert table.read(spark).isEmpty()
     table.replace(rows(spark, (7, "x")))  # without partitions
-    assert seen(table.read(spark)) == [(7, "x")] and table.parts(spark)[1].keys() == {None}
+    assert seen(table.read(spark)) == [(7, "x")] and table.parts()[1].keys() == {""}
 
 
-def test_a_manifest_without_a_file_is_no_version(spark, tmp_path):
+def test_a_manifest_that_was_not_finished_is_no_version(spark, tmp_path):
     table = VersionedTable(str(tmp_path / "t"))
     table.replace(rows(spark, (1, "a")), ["m"])
-    Path(f"{table.manifest}/version=00000002/_temporary").mkdir(parents=True)
-    assert table.versions() == [1, 2] and seen(table.read(spark)) == [(1, "a")]
+    Path(f"{table.manifest}/00000002.json.unfinished").write_text("{")
+    assert table.versions() == [1] and seen(table.read(spark)) == [(1, "a")]
     table.replace(rows(spark, (2, "b")), ["m"])
-    assert table.parts(spark)[0] == 2 and seen(table.read(spark)) == [(2, "b")]
+    assert table.parts()[0] == 2 and seen(table.read(spark)) == [(2, "b")]
+    with pytest.raises(RuntimeError, match="another writer"):
+        table._publish(rows(spark), 2, {})
+
+
+def test_the_audit_log_stays_few_files(spark, tmp_path):
+    """Many runs, each with a begun and an ended attempt: the files that are read stay bounded and no event is lost."""
+    log = AuditLog(spark, str(tmp_path / "log"), compact_after=4)
+    for run in range(9):
+        begun = log.started(spark.createDataFrame([("a.csv", f"h{run}")], "source_file string, file_hash string"), "s", "full", f"2024-01-0{run + 1}")
+        begun = spark.createDataFrame(begun.collect(), begun.schema)
+        log.append(begun, "s")
+        log.append(begun.withColumns({"status": F.lit("SUCCESS"), "event_time": F.lit(f"2024-01-0{run + 1}T01")}), "s")
+        assert len(log.table("s").parts()[1]) <= 5
+        files = log.events("s").inputFiles()
+        assert len(files) <= 5 and log.events("s").count() == 2 * (run + 1)
+    assert log.ingested("s").count() == 9 and [r.status for r in log.history("s").collect()] == ["SUCCESS"] * 9
+    assert len(list((tmp_path / "log").rglob("*.parquet"))) <= 16 and log.source_names() == ["s"]
