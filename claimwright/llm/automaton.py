@@ -92,15 +92,21 @@ class Automaton:
 
     def path(self, spelled: str, word_end: str, ids: dict[str, int]) -> list[int]:
         """Labels of the accepted path over a word's symbols."""
-        n, longest, live = len(spelled), self.longest, self.live
+        n, longest, live, known, find = len(spelled), self.longest, self.live, self._known, ids.get
         entered, came = [-1] * (n + 1), [0] * (n + 1)
         for j in range(1, n + 1):
-            end = word_end if j == n else ""
-            for i in range(max(0, j - longest), j):
-                label = ids.get(spelled[i:j] + end)
-                if label is not None and label in live and (i == 0 or self.arc(entered[i], label)):
-                    entered[j], came[j] = label, i
-                    break
+            for i in range(j - longest if j > longest else 0, j):
+                label = find(spelled[i:j]) if j < n else find(spelled[i:] + word_end)
+                if label is None or label not in live:
+                    continue
+                if i:
+                    there = known.get(entered[i] << PAIR | label)
+                    if there is None:
+                        there = self.arc(entered[i], label)
+                    if not there:
+                        continue
+                entered[j], came[j] = label, i
+                break
         out, j = [], n
         while j:
             out.append(entered[j])
