@@ -40,7 +40,8 @@ def valid_on(
     The join is on key and month: a row meets the versions that cover its month, never all versions of its key;
     a month of one key that holds most rows is split by the adaptive skew join. ``within`` are the first and the last
     day of ``df``, looked up if not named; the plan itself reads ``df`` once. A version of no days (replaced on the day
-    it began) was never valid.
+    it began) was never valid. Spark expects as many months as there are versions and would broadcast far more than it
+    measured, so the join is a merge.
     """
     lasting = versions.filter(
         F.col("valid_from").isNotNull() & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from")))
@@ -52,6 +53,6 @@ def valid_on(
     spans = _by_month(lasting, *bounds) if bounds else lasting.withColumn("_month", F.lit(None).cast("date")).limit(0)
     same = (spread_nulls(key, *(spread_by or df.columns)) == F.col("_key")) & (_month(F.col(day)) == F.col("_month"))
     held = (F.col(day) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(day) < F.col("_to")))
-    joined = df.join(spans, same & held, "left")
+    joined = df.join(spans.hint("merge"), same & held, "left")
     taken = {n: F.when(F.col(key).isNotNull(), F.col("_taken")[n]) for n in take.values()}
     return joined.withColumns(taken).drop("_key", "_month", "_from", "_to", "_taken")

@@ -56,6 +56,16 @@ def test_lookup_of_the_version_valid_on_a_day(spark, seed):
     assert len(got) == len(facts)
 
 
+def test_months_of_long_versions_are_not_broadcast(spark):
+    """A small table of versions covers many more months than it has rows."""
+    table = versions.with_validity(history(spark, random_versions(0)), "k", "d", ["v"])
+    facts = spark.createDataFrame([(1, "hot", day(9000)), (2, "k0", day(-9000))], "id int, k string, at date")
+    found = asof.valid_on(facts, "k", "at", table, {"v": "v"})
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 2
+    assert [r.v is None for r in found.orderBy("id").collect()] == [False, True]
+
+
 def test_surrogate_key_is_null_without_a_date(spark):
     df = history(spark, [("a", day(0), 1), ("a", None, 2)])
     keys = [r[0] for r in df.orderBy("v").select(versions.surrogate_key("k", "d")).collect()]
