@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from claimwright.contracts import CLAIMS
 from claimwright.operators.cleaning import conform
+from claimwright.operators.lookup import row_identity
 from claimwright.plans.backfill import backfill_claims
 from claimwright.plans.silver import DIMENSIONS, build_claims
 from claimwright.session import staging
@@ -36,14 +37,17 @@ def timed(raw: DataFrame, delay: str) -> DataFrame:
 
 
 def without_resends(claims: DataFrame) -> DataFrame:
-    """One row per identical content while its watermark lasts.
+    """One row per identical content, once no copy of it can arrive any more.
 
-    Copies are dropped per lane first, so that no task receives all copies of one claim. The lane is
-    the input partition, which a batch that is run again assigns alike.
+    Copies have one submission day, so the watermark that passes it closes their group: later ones are late. A group is
+    known by 128 bits of its content, not by the content, and holds only the columns that are asked of it. It is an
+    aggregate, so copies leave every input partition as one row, and each content is kept once.
     """
-    lane = F.spark_partition_id()
-    thinned = claims.withColumn("_lane", lane).dropDuplicatesWithinWatermark([*CLAIMS.business, "_lane"])
-    return thinned.drop("_lane").dropDuplicatesWithinWatermark(CLAIMS.business)
+    identity = row_identity(CLAIMS.business)
+    keys = [EVENT_TIME, "_row", "_check"]
+    rest = [c for c in claims.columns if c != EVENT_TIME]
+    grouped = claims.select("*", *identity).groupBy(*keys).agg(*[F.first(c).alias(c) for c in rest])
+    return grouped.select(*claims.columns)
 
 
 def volume_by_window(claims: DataFrame, width: str) -> DataFrame:

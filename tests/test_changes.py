@@ -132,6 +132,20 @@ def test_stream_drops_resends_and_late_rows(spark, tmp_path):
     assert counts == [2, 1]
 
 
+def test_resends_are_kept_once_by_their_identity(spark, tmp_path):
+    """The state of the stream: one row for each content, without the columns that the windows do not ask for."""
+    rows = [{"claim_id": f"C{i % 5}", "denial_reason": "" if i % 2 else None, "source_file": f"{i}.csv"} for i in range(40)]
+    frame(spark, "claims", *rows, {"claim_id": "last", "submission_date": "2024-09-01"}).write.parquet(str(tmp_path / "in"))
+    raw = streaming.timed(streaming.read_claims(spark, str(tmp_path / "in")), "10 days")
+    query = streaming.write_windows(streaming.volume_by_window(streaming.without_resends(raw), "7 days"), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    query.awaitTermination()
+    operators = [o for p in query.recentProgress for o in p.stateOperators]
+    assert {o.operatorName for o in operators} == {"stateStoreSave"} and max(o.numRowsTotal for o in operators) == 6
+    text = query._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    assert "source_file" not in "".join(line for line in text.splitlines() if "StateStore" in line)
+    assert [r.claim_count for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [5]
+
+
 def test_alerts(spark):
     rows = spark.createDataFrame([("output_count", 0), ("quarantined_count", 5), ("input_count", 9)], "metric string, value bigint")
     out = alerts.metric_alerts(rows, "claims", {"output_count": (1, 100), "quarantined_count": (0, 5)})
