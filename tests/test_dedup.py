@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 from pyspark.sql import functions as F
@@ -61,6 +62,16 @@ def test_colliding_digests_still_have_one_order(spark):
     assert out == {1}
 
 
+def test_the_digest_travels_as_a_number(spark):
+    """Its 64 hexadecimal digits hardly compress, and were most of what a claim weighed in the shuffle."""
+    df = spark.createDataFrame([("1", "2024", "a"), ("1", "2024", "b")], "k string, ts string, payload string")
+    latest = d.latest_per_key(df, ["k"], ["ts"], ["k", "payload"])
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "conv(" in plan and "as bigint) AS _digest" in plan
+    want = max("ab", key=lambda p: hashlib.sha256(f"1|{p}".encode()).hexdigest())
+    assert latest.first().payload == want
+
+
 def test_keys_with_history(spark):
     df = spark.createDataFrame([("P1",), ("P1",), ("P2",)], "provider_id string")
     assert [tuple(r) for r in d.keys_with_history(df, ["provider_id"]).collect()] == [("P1", 2)]
