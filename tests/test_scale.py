@@ -10,7 +10,7 @@ from claimwright.contracts import CLAIMS
 from claimwright.operators import dedup as d, lookup
 from claimwright.operators import validation as v
 from claimwright.plans import analytics, lake, silver as s
-from claimwright.session import shared_dir, shuffles_sized_for
+from claimwright.session import TASK_BYTES, shared_dir, shuffles_sized_for, small_tasks
 from claimwright.sources import bronze, sinks
 from rows import frame
 
@@ -117,6 +117,40 @@ def test_shuffles_follow_the_input_size(spark):
     assert spark.conf.get(key, None) == before
 
 
+def test_tasks_read_little(spark):
+    before = {key: spark.conf.get(key) for key in TASK_BYTES}
+    first, second = TASK_BYTES
+    try:
+        spark.conf.set(first, "128MB")
+        spark.conf.set(second, "16k")
+        lake.stage_as(spark, "claims", "unused")
+        assert (spark.conf.get(first), spark.conf.get(second)) == (str(TASK_BYTES[first]), "16k")
+        spark.conf.set(second, "67108864b")
+        small_tasks(spark)
+        assert spark.conf.get(second) == str(TASK_BYTES[second])
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_a_part_of_the_lake_is_made_without_the_others(spark, monkeypatch):
+    from claimwright.checks import scratch
+
+    monkeypatch.setattr(scratch, "_fingerprint", lambda *_: ("parts",))
+    opened = []
+
+    def raw(spark, sf):
+        return scratch.Lazy(s.ALL, lambda n: opened.append(n) or frame(spark, n, {}))
+
+    monkeypatch.setattr(scratch, "raw", raw)
+    assert scratch.silver(spark, "own")["providers"].count() == 1 and scratch.tables(spark, "own")["dim_provider"].count() == 1
+    assert opened == ["providers"]
+    assert scratch.tables(spark, "own")["fact_claims"].first().plan_type == "POS"
+    assert sorted(opened) == sorted(s.ALL)
+    rows = {r.artifact: r.row_count for r in sinks.check_outputs(spark, scratch.lake(spark, "own"), strict=False).collect()}
+    assert rows["gold/dim_member"] == 1 and rows["quarantine/claims"] == 0 and sorted(opened) == sorted(s.ALL)
+
+
 def test_scratch_lies_in_the_folder_the_cluster_names(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
