@@ -133,6 +133,22 @@ def test_tasks_read_little(spark):
             spark.conf.set(key, value)
 
 
+def test_a_tasks_share_of_a_shuffle_does_not_grow(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = {k: spark.conf.get(k, None) for k in (key, *TASK_BYTES)}
+    try:
+        small_tasks(spark, 2**20)
+        assert spark.conf.get(key, None) == before[key]
+        small_tasks(spark, 6 * 2**30)
+        assert int(spark.conf.get(key)) == 768  # 8 MB of Parquet each
+        small_tasks(spark, 2**30)
+        with shuffles_sized_for(spark, 10) as n:
+            assert n == 768  # never fewer than the session has
+    finally:
+        for k, value in before.items():
+            spark.conf.unset(k) if value is None else spark.conf.set(k, value)
+
+
 def test_a_part_of_the_lake_is_made_without_the_others(spark, monkeypatch):
     from claimwright.checks import scratch
 
