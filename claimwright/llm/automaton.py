@@ -29,6 +29,8 @@ from claimwright.llm.common import PAIR, Memo, map_batches, whole_texts
 from claimwright.llm.vocabulary import Vocabulary, vocabulary
 
 _NEVER = 1 << 60
+#: Symbols at its end that say how long a label may be.
+_TAIL = 4
 
 
 class Automaton:
@@ -51,7 +53,14 @@ class Automaton:
                 continue
             self.cut[a << PAIR | b] = step
             parts[c] = (a, b, step)
-        self.longest = max(len(s) for s in v.ids)
+        #: By its last symbols, the length of the longest label; of those that end a word, without the word end.
+        self.longest: dict[str, int] = {}
+        self.longest_last: dict[str, int] = {}
+        for s in v.ids:
+            self.longest[s[-_TAIL:]] = max(len(s), self.longest.get(s[-_TAIL:], 0))
+            if s.endswith(v.word_end):
+                core = s[: len(s) - len(v.word_end)]
+                self.longest_last[core[-_TAIL:]] = max(len(core), self.longest_last.get(core[-_TAIL:], 0))
 
     def _spine(self, label: int) -> tuple[list, list]:
         found = self._spines.get(label)
@@ -92,10 +101,16 @@ class Automaton:
 
     def path(self, spelled: str, word_end: str, ids: dict[str, int]) -> list[int]:
         """Labels of the accepted path over a word's symbols."""
-        n, longest, live, known, find = len(spelled), self.longest, self.live, self._known, ids.get
+        n, live, known, find = len(spelled), self.live, self._known, ids.get
         entered, came = [-1] * (n + 1), [0] * (n + 1)
         for j in range(1, n + 1):
-            for i in range(j - longest if j > longest else 0, j):
+            # A label of at least ``_TAIL`` symbols has the last ones here as its own.
+            begin = 0
+            if j >= _TAIL:
+                begin = j - (self.longest if j < n else self.longest_last).get(spelled[j - _TAIL : j], _TAIL - 1)
+                if begin < 0:
+                    begin = 0
+            for i in range(begin, j):
                 label = find(spelled[i:j]) if j < n else find(spelled[i:] + word_end)
                 if label is None or label not in live:
                     continue
@@ -120,20 +135,34 @@ class Codec:
         self.automaton = Automaton(self.v)
         self.labels = [self.v.labels[i] for i in range(max(self.v.labels) + 1)]
         self._word = Memo(self._encode_word)
-        self._chunk = Memo(lambda chunk: b"".join(map(self._word.__getitem__, self.v.words(chunk))))
+        self._chunk = Memo(self._both)
+
+    def _both(self, chunk: str) -> tuple[bytes, str | None]:
+        """Ids of a chunk and what they decode to; None where there are no ids, which add no space either."""
+        ids = b"".join(map(self._word.__getitem__, self.v.words(chunk)))
+        return ids, self.decode(ids) if ids else None
 
     def _encode_word(self, word: str) -> bytes:
         return array("I", self.automaton.path(self.v.spelled(word), self.v.word_end, self.v.ids)).tobytes()
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
+    def _pairs(self, text: str) -> list[tuple[bytes, str | None]]:
         out = []
         for k, part in enumerate(self.v.parts(text)):
             if k % 2:
-                out.append(array("I", [self.v.specials[part]]).tobytes())
+                ids = array("I", [self.v.specials[part]]).tobytes()
+                out.append((ids, self.decode(ids)))
             else:
                 out.extend(map(self._chunk.__getitem__, self.v.chunks(part)))
-        return b"".join(out)
+        return out
+
+    def encode(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
+        return b"".join([ids for ids, _ in self._pairs(text)])
+
+    def round_trip(self, text: str) -> tuple[bytes, str]:
+        """Ids and what they decode to, that is the decoded chunks joined by spaces: labels never join across chunks."""
+        pairs = self._pairs(text)
+        return b"".join([ids for ids, _ in pairs]), " ".join([decoded for _, decoded in pairs if decoded is not None])
 
     def decode(self, ids: bytes) -> str:
         return " ".join(map(self.labels.__getitem__, array("I", ids)))
@@ -151,11 +180,12 @@ def encoded(docs: DataFrame, path: str, keep_ids: bool = True) -> DataFrame:
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
         c = codec(path)
-        ids = [c.encode(t) for t in rows.column("text").to_pylist()]
+        trips = [c.round_trip(t) for t in rows.column("text").to_pylist()]
+        ids = [i for i, _ in trips]
         out = [rows.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array([sha256(i).hexdigest() for i in ids])]
         if not keep_ids:
-            return pa.RecordBatch.from_arrays([*out, pa.array([sha256(c.decode(i).encode()).hexdigest() for i in ids])], names=names)
-        texts = [c.decode(i) for i in ids]
+            return pa.RecordBatch.from_arrays([*out, pa.array([sha256(t.encode()).hexdigest() for _, t in trips])], names=names)
+        texts = [t for _, t in trips]
         return pa.RecordBatch.from_arrays(
             [*out, pa.array([sha256(t.encode()).hexdigest() for t in texts]), pa.array(ids, pa.binary()), pa.array(texts, pa.string())], names=names
         )

@@ -221,3 +221,14 @@ def test_batches_are_cut_by_bytes():
     assert [i for p in found for i in p.column("i").to_pylist()] == list(range(8))
     assert all(p.num_rows == 1 or p.nbytes <= 1500 for p in found) and len(found) > 3
     assert list(pieces(batch.slice(0, 0))) == [] and len(list(pieces(batch))) == 1
+
+
+def test_a_round_trip_is_the_encoding_and_its_decoding():
+    code = codec(WORDS)
+    texts = ["", " ", "a", "The cat's internationalisation!!", "x" * 70, "naïve  日本語\x1ftext", "<|endoftext|> a<|endoftext|><|endoftext|>b", "2024-01-02 " * 3]
+    for text in texts:
+        ids = code.encode(text)
+        assert code.round_trip(text) == (ids, code.decode(ids)), text
+    # A word is looked up only where its last symbols allow a label, which never leaves one out.
+    ends = code.automaton.longest
+    assert all(len(label) < 4 or ends[label[-4:]] >= len(label) for label in code.v.ids)
