@@ -139,15 +139,13 @@ def masked(crc: np.ndarray) -> np.ndarray:
 
 # Encoding ----------------------------------------------------------------------------------------
 
-_TWO_SPACES = re.compile(r"\s\s")
-
 
 class ByteLevelEncoder:
     """Ids of whole texts by the tokenizers library, each distinct pre-split piece encoded once while held.
 
-    Pieces of byte-level files never depend on their neighbours, and a piece is its own only piece. Where no
-    two white-space characters meet, a line or a space starts a new piece, so lines and words are looked
-    up whole; other texts are split by the pattern. Special strings are cut out first, as the library does.
+    Pieces of byte-level files never depend on their neighbours. Special strings are cut out first, as the
+    library does, and the rest is split by the pattern. Only pieces are held: of words there are many fewer
+    than of words with what follows them.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -155,33 +153,27 @@ class ByteLevelEncoder:
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_file(path)
-        self._library, self._bytes = library, byte_alphabet()
+        # The model is asked for once: the library wraps it anew each time.
+        self._tokenize, self._bytes = library.model.tokenize, byte_alphabet()
         self._special = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
         self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self._special, key=len, reverse=True))) + ")")
         self._pieces = regex.compile(pattern)
         self.width = 2 if max([*library.get_vocab().values(), *self._special.values()]) < 1 << 16 else 4
         self._piece = Memo(self._by_library)
-        self._first = Memo(lambda chunk: self._joined(chunk))
-        self._later = Memo(lambda chunk: self._joined(" " + chunk))
-        self._newline = self._by_library("\n")
 
     def _by_library(self, piece: str) -> bytes:
         """The library's merges on a piece that is already split; its bytes as the library spells them."""
-        spelled = piece.encode().decode("latin-1").translate(self._bytes)
-        return self.packed([t.id for t in self._library.model.tokenize(spelled)])
+        if piece.isascii() and piece.isprintable():  # only the space is spelled by another character
+            spelled = piece.replace(" ", self._bytes[32])
+        else:
+            spelled = piece.encode().decode("latin-1").translate(self._bytes)
+        return self.packed([t.id for t in self._tokenize(spelled)])
 
     def packed(self, ids: list[int]) -> bytes:
         return array(_CODE[self.width], ids).tobytes()
 
-    def _joined(self, text: str) -> bytes:
-        return b"".join(map(self._piece.__getitem__, self._pieces.findall(text)))
-
-    def _line(self, line: str) -> bytes:
-        first, *later = line.split(" ")
-        return self._first[first] + b"".join(map(self._later.__getitem__, later))
-
     def _plain(self, text: str) -> bytes:
-        return self._joined(text) if _TWO_SPACES.search(text) else self._newline.join(map(self._line, text.split("\n")))
+        return b"".join(map(self._piece.__getitem__, self._pieces.findall(text)))
 
     def __call__(self, text: str) -> bytes:
         """Ids as little-endian unsigned integers of ``width`` bytes."""

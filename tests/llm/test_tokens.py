@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 from claimwright.llm.automaton import Automaton, codec, encoded
 from claimwright.llm.common import folder
-from claimwright.llm.records import crc32c, crc32c_many, read_record, read_records, byte_level, unframed, write_and_read, write_records
+from claimwright.llm.records import ByteLevelEncoder, crc32c, crc32c_many, read_record, read_records, byte_level, unframed, write_and_read, write_records
 from claimwright.llm.token_counts import counter, merged_length, token_counts
 from claimwright.llm.vocabulary import vocabulary
 
@@ -232,3 +232,11 @@ def test_a_round_trip_is_the_encoding_and_its_decoding():
     # A word is looked up only where its last symbols allow a label, which never leaves one out.
     ends = code.automaton.longest
     assert all(len(label) < 4 or ends[label[-4:]] >= len(label) for label in code.v.ids)
+
+
+def test_pieces_are_held_once(byte_library):
+    encode = ByteLevelEncoder(BYTES, public_tokenizers.PATTERN)
+    for text in ("word word, word. (word) word! word?\nword", "word\tword  word"):
+        assert list(array("H", encode(text))) == byte_library.encode(text, add_special_tokens=False).ids
+    held = [key for memo in vars(encode).values() if isinstance(memo, dict) for key in memo if "word" in str(key)]
+    assert sorted(held) == [" word", "word"]
