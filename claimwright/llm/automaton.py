@@ -7,9 +7,10 @@ a u-arc gets a w-arc to where v led. All arcs of one label always end in the sam
 named by the label that enters it; a copy is stored as the one arc that it lacks and the step that took it
 (``cut``), not as a row of 49,000 arcs.
 
-Encoding reads a pre-split word from left to right. A prefix has one accepted token sequence, so each place
-has one state and one arc that enters it; the arc is found among the labels that end there, by looking the
-transition up. Decoding emits the labels of the arcs, as the library does for a file without a decoder:
+Encoding follows the accepted path of a pre-split word back from its end. A place within the word lies on at most
+one path to the end, as what follows it has one accepted token sequence. So the longest label that ends there and
+has the arc to the label after it is taken first, and where no label has, the one after it is given up for a shorter
+one: no place is passed twice. Decoding emits the labels of the arcs, as the library does for a file without a decoder:
 joined by spaces.
 
 Rows are independent: no shuffle; a task holds one Arrow batch, the tables and bounded memos. Null and empty
@@ -53,6 +54,7 @@ class Automaton:
                 continue
             self.cut[a << PAIR | b] = step
             parts[c] = (a, b, step)
+        self._found = {s: i for s, i in v.ids.items() if i in self.live}
         #: By its last symbols, the length of the longest label; of those that end a word, without the word end.
         self.longest: dict[str, int] = {}
         self.longest_last: dict[str, int] = {}
@@ -99,33 +101,40 @@ class Automaton:
             found = self._known[key] = self._arc(state, label)
         return found
 
-    def path(self, spelled: str, word_end: str, ids: dict[str, int]) -> list[int]:
-        """Labels of the accepted path over a word's symbols."""
-        n, live, known, find = len(spelled), self.live, self._known, ids.get
-        entered, came = [-1] * (n + 1), [0] * (n + 1)
-        for j in range(1, n + 1):
-            # A label of at least ``_TAIL`` symbols has the last ones here as its own.
-            begin = 0
-            if j >= _TAIL:
-                begin = j - (self.longest if j < n else self.longest_last).get(spelled[j - _TAIL : j], _TAIL - 1)
-                if begin < 0:
-                    begin = 0
-            for i in range(begin, j):
-                label = find(spelled[i:j]) if j < n else find(spelled[i:] + word_end)
-                if label is None or label not in live:
-                    continue
-                if i:
-                    there = known.get(entered[i] << PAIR | label)
-                    if there is None:
-                        there = self.arc(entered[i], label)
-                    if not there:
-                        continue
-                entered[j], came[j] = label, i
-                break
-        out, j = [], n
+    def path(self, spelled: str, word_end: str) -> list[int]:
+        """Labels of the accepted path over a word's symbols, found from its end."""
+        known, find, longest = self._known, self._found.get, self.longest
+        out, ends = [], []
+        j = len(spelled)
+        # A label of at least ``_TAIL`` symbols has the last ones here as its own.
+        i = max(0, j - self.longest_last.get(spelled[-_TAIL:], _TAIL - 1)) if j >= _TAIL else 0
+        after = None
         while j:
-            out.append(entered[j])
-            j = came[j]
+            while i < j:
+                label = find(spelled[i:j]) if out else find(spelled[i:] + word_end)
+                if label is not None:
+                    if after is None:
+                        break
+                    there = known.get(label << PAIR | after)
+                    if there is None:
+                        there = self.arc(label, after)
+                    if there:
+                        break
+                i += 1
+            else:
+                # No label that ends here has the arc: the one after it is a shorter one.
+                out.pop()
+                i, j = j + 1, ends.pop()
+                after = out[-1] if out else None
+                continue
+            out.append(label)
+            ends.append(j)
+            after, j = label, i
+            i = 0
+            if j >= _TAIL:
+                i = j - longest.get(spelled[j - _TAIL : j], _TAIL - 1)
+                if i < 0:
+                    i = 0
         return out[::-1]
 
 
@@ -139,11 +148,15 @@ class Codec:
 
     def _both(self, chunk: str) -> tuple[bytes, str | None]:
         """Ids of a chunk and what they decode to; None where there are no ids, which add no space either."""
-        ids = b"".join(map(self._word.__getitem__, self.v.words(chunk)))
-        return ids, self.decode(ids) if ids else None
+        words = self.v.words(chunk)
+        if len(words) == 1:
+            return self._word[words[0]]
+        found = list(map(self._word.__getitem__, words))
+        return b"".join([ids for ids, _ in found]), " ".join([decoded for _, decoded in found]) if found else None
 
-    def _encode_word(self, word: str) -> bytes:
-        return array("I", self.automaton.path(self.v.spelled(word), self.v.word_end, self.v.ids)).tobytes()
+    def _encode_word(self, word: str) -> tuple[bytes, str]:
+        labels = self.automaton.path(self.v.spelled(word), self.v.word_end)
+        return array("I", labels).tobytes(), " ".join(map(self.labels.__getitem__, labels))
 
     def _pairs(self, text: str) -> list[tuple[bytes, str | None]]:
         out = []
@@ -151,6 +164,8 @@ class Codec:
             if k % 2:
                 ids = array("I", [self.v.specials[part]]).tobytes()
                 out.append((ids, self.decode(ids)))
+            elif self.v.latin(part):
+                out.extend(map(self._word.__getitem__, self.v.words(part)))
             else:
                 out.extend(map(self._chunk.__getitem__, self.v.chunks(part)))
         return out

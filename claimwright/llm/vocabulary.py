@@ -4,7 +4,8 @@ Reads a tokenizer file of the kind the tokenizers library writes: NFC, white spa
 case; a pattern picks the words; bytes are the symbols, the last of a word with the word end appended.
 
 What is a letter and how marks are ordered depends on a version of Unicode. So the library's own normalizer and pattern
-cut any chunk that is not ASCII; Python's only cut ASCII, on which all versions agree.
+cut any chunk with other characters than ASCII and the letters of Latin-1; Python's only cut those, on which all
+versions agree: these letters are whole, no mark among them, and each has one lower case.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from tokenizers import Regex, Tokenizer, pre_tokenizers
 #: White space as the pattern languages of Unicode define it (str.split() also splits at U+001C to U+001F).
 _SPACES = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
 _ODD_SPACES = re.compile("[\x1c-\x1f]")
+_LATIN = re.compile("[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
 
 
 @cache
@@ -42,7 +44,7 @@ class Vocabulary:
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.labels = {i: s for s, i in self.ids.items()} | {i: s for s, i in self.specials.items()}
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self._ascii_words = regex.compile(split["pattern"]["Regex"])
+        self._latin_words = regex.compile(split["pattern"]["Regex"])
         # The file's settings without its vocabulary, which the library would hold a second time.
         settings = spec | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": [], "post_processor": None, "decoder": None}
         self._normalizer = Tokenizer.from_str(json.dumps(settings)).normalizer
@@ -59,9 +61,14 @@ class Vocabulary:
         """Runs of anything but white space. No word spans two of them."""
         return [c for c in _SPACES.split(text) if c] if _ODD_SPACES.search(text) else text.split()
 
+    @staticmethod
+    def latin(text: str) -> bool:
+        """Only ASCII and the letters of Latin-1: its words are those of its chunks, as no word holds white space."""
+        return text.isascii() or _LATIN.fullmatch(text) is not None
+
     def words(self, chunk: str) -> list[str]:
-        if chunk.isascii():
-            return self._ascii_words.findall(chunk.lower())
+        if self.latin(chunk):
+            return self._latin_words.findall(chunk.lower())
         return [word for word, _ in self._split.pre_tokenize_str(self._normalizer.normalize_str(chunk))]
 
     def spelled(self, word: str) -> str:

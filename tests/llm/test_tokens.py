@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from claimwright.llm.automaton import Automaton, codec, encoded
+from claimwright.llm.automaton import Automaton, Codec, codec, encoded
 from claimwright.llm.common import folder
 from claimwright.llm.records import ByteLevelEncoder, crc32c, crc32c_many, read_record, read_records, byte_level, unframed, write_and_read, write_records
 from claimwright.llm.token_counts import counter, merged_length, token_counts
@@ -234,6 +234,39 @@ def test_a_round_trip_is_the_encoding_and_its_decoding():
     assert all(len(label) < 4 or ends[label[-4:]] >= len(label) for label in code.v.ids)
 
 
+def test_a_path_asks_for_few_arcs(word_library):
+    """A label is tried only next to the path that leads to the word's end, not at every place of the word."""
+    v = vocabulary(WORDS)
+    machine, rng, asked = Automaton(v), random.Random(12), []
+    arc = machine.arc
+    machine.arc = lambda state, label: asked.append(1) or arc(state, label)
+
+    class Forgetful(dict):
+        def __setitem__(self, key, value):
+            pass
+
+    machine._known = Forgetful()
+    words = ["".join(rng.choice(["tion", "er", "an", "th", "ouq", "ble", "zx", "é"]) for _ in range(6)) for _ in range(500)]
+    n_symbols = n_labels = 0
+    code = Codec(WORDS)
+    code.automaton = machine
+    for word in words:
+        ids = array("I", code.encode(word))
+        assert ids.tolist() == word_library.encode(word, add_special_tokens=False).ids
+        n_symbols, n_labels = n_symbols + len(v.spelled(word)), n_labels + len(ids)
+    assert len(asked) < 1.5 * n_labels < n_symbols
+
+
+def test_words_of_latin_texts_are_held_once(word_library):
+    code = Codec(WORDS)
+    texts = ["Über naïve, naïve; (naïve) NAÏVE!\nÀ l'été: ÿ ß ÐØ×÷", "naïvé Σας 你好 \x1c a\x85b\xa0c"]
+    for text in texts:
+        assert array("I", code.encode(text)).tolist() == word_library.encode(text, add_special_tokens=False).ids
+    code = Codec(WORDS)
+    code.encode("The naïve, naïve; (naïve) NAÏVE!")
+    assert not code._chunk and set(code._word) == {"the", "naïve", ",", ";", "(", ")", "!"}
+
+
 def test_pieces_are_held_once(byte_library):
     encode = ByteLevelEncoder(BYTES, public_tokenizers.PATTERN)
     for text in ("word word, word. (word) word! word?\nword", "word\tword  word"):
