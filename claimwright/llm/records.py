@@ -26,6 +26,7 @@ import zlib
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from claimwright.llm.common import Memo, whole_texts
+from claimwright.llm.common import Memo, pieces, whole_texts
 from claimwright.llm.vocabulary import byte_alphabet
 
 ENTRY = np.dtype([("null", "<u4"), ("doc_id", "<i8"), ("offset", "<u8"), ("length", "<u8"), ("n_ids", "<u8")])
@@ -140,12 +141,52 @@ def masked(crc: np.ndarray) -> np.ndarray:
 # Encoding ----------------------------------------------------------------------------------------
 
 
+#: The pattern of byte-level files; texts are cut by it a block at a time. Others are cut text by text.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_WHITE = 1
+_AFTER = [(ord(a), ord(b)) for a, b in ("re", "ve", "ll")]
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """By code point: 0, white space (1), letter or number, as the pattern's own library has them."""
+    import regex
+
+    every, kinds = "".join(map(chr, range(0x110000))), np.zeros(0x110000, np.uint8)
+    for kind, of_kind in ((_WHITE, r"\s+"), (2, r"\p{L}+"), (3, r"\p{N}+")):
+        for run in regex.finditer(of_kind, every):
+            kinds[run.start() : run.end()] = kind
+    return kinds
+
+
+def piece_starts(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Which code points begin a piece of ``_PATTERN``, which splits the texts that begin at ``starts`` one by one."""
+    kinds, apart = _kinds()[points], np.zeros(len(points) + 3, bool)
+    apart[starts] = apart[len(points) :] = True
+    white, out = kinds == _WHITE, np.ones(len(points), bool)
+    # A piece goes on in its kind, or after a space before it; of white space the last goes with what follows, or by itself.
+    out[1:] = np.where(white[1:], ~white[:-1], (kinds[1:] != kinds[:-1]) & (points[:-1] != 32))
+    out[:-1] |= white[:-1] & ~white[1:] & ~apart[1 : len(points)]
+    out |= apart[: len(points)]
+    # An apostrophe that begins a piece takes some letters after it.
+    at = np.flatnonzero(out & (points == ord("'")))
+    at = at[~apart[at + 1]]
+    one = points[at + 1]
+    two = np.where(apart[at + 2], 0, points[np.minimum(at + 2, len(points) - 1)])
+    size = np.isin(one, [ord(c) for c in "stmd"]) + 2 * np.logical_or.reduce([(one == a) & (two == b) for a, b in _AFTER])
+    at, size = at[size > 0], size[size > 0]
+    out[at + 1] = False
+    after = at + 1 + size
+    out[after[after < len(points)]] = True
+    return out
+
+
 class ByteLevelEncoder:
     """Ids of whole texts by the tokenizers library, each distinct pre-split piece encoded once while held.
 
     Pieces of byte-level files never depend on their neighbours. Special strings are cut out first, as the
-    library does, and the rest is split by the pattern. Only pieces are held: of words there are many fewer
-    than of words with what follows them.
+    library does, and the rest is split by the pattern. A piece is looked up once in each block of texts. Only pieces
+    are held: of words there are many fewer than of words with what follows them.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -157,12 +198,14 @@ class ByteLevelEncoder:
         self._tokenize, self._bytes = library.model.tokenize, byte_alphabet()
         self._special = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
         self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self._special, key=len, reverse=True))) + ")")
-        self._pieces = regex.compile(pattern)
+        self._pieces, self._by_block = regex.compile(pattern), pattern == _PATTERN
         self.width = 2 if max([*library.get_vocab().values(), *self._special.values()]) < 1 << 16 else 4
-        self._piece = Memo(self._by_library)
+        self._piece = Memo(self._by_library, 600_000)  # some 100 MB: the library takes longest, about 4 us for each one missing
 
     def _by_library(self, piece: str) -> bytes:
         """The library's merges on a piece that is already split; its bytes as the library spells them."""
+        if piece in self._special:  # cut out whole, and in no other piece
+            return self.packed([self._special[piece]])
         if piece.isascii() and piece.isprintable():  # only the space is spelled by another character
             spelled = piece.replace(" ", self._bytes[32])
         else:
@@ -172,14 +215,41 @@ class ByteLevelEncoder:
     def packed(self, ids: list[int]) -> bytes:
         return array(_CODE[self.width], ids).tobytes()
 
-    def _plain(self, text: str) -> bytes:
-        return b"".join(map(self._piece.__getitem__, self._pieces.findall(text)))
+    def _split(self, parts: list[list[str]]) -> tuple[pa.Array, np.ndarray]:
+        """Pieces of all texts, and how many come before each text and in all. Every second part is a special string."""
+        if not self._by_block:
+            lists = [[q for k, p in enumerate(of_text) for q in ([p] if k % 2 else self._pieces.findall(p))] for of_text in parts]
+            return pa.array(list(chain.from_iterable(lists)), pa.large_string()), np.cumsum([0, *map(len, lists)])
+        text = "".join(map("".join, parts))
+        data = text.encode()
+        points = np.frombuffer(data, np.uint8) if text.isascii() else np.frombuffer(text.encode("utf-32-le"), "<u4")
+        ends = np.cumsum([0, *(len(p) for of_text in parts for p in of_text)])
+        begins = np.append(piece_starts(points, ends[:-1]), True)
+        special = np.array([k % 2 for of_text in parts for k in range(len(of_text))], bool)
+        for a, b in zip(ends[:-1][special].tolist(), ends[1:][special].tolist()):
+            begins[a + 1 : b] = False
+        at = np.flatnonzero(begins)
+        before = np.searchsorted(at, ends[np.cumsum([0, *map(len, parts)])])
+        if len(data) > len(text):
+            sizes = (points >= 0x80).view(np.uint8) + (points >= 0x800) + (points >= 0x10000) + np.uint8(1)
+            at = np.concatenate([[0], np.cumsum(np.add.reduceat(sizes, at[:-1], dtype=np.int64))])
+        return pa.Array.from_buffers(pa.large_string(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)]), before
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned integers of ``width`` bytes."""
+        every, before = self._split([self._cut.split(t) if "<|" in t else [t] for t in texts])
+        every = every.dictionary_encode()
+        found = list(map(self._piece.__getitem__, every.dictionary.to_pylist()))
+        sizes, which = np.fromiter(map(len, found), np.int64, len(found)) // self.width, every.indices.to_numpy()
+        first, counts = np.cumsum(sizes) - sizes, sizes[which]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        places = np.repeat(first[which] - ends[:-1], counts) + np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(found), f"<u{self.width}")[places].tobytes()
+        bounds = (ends[before] * self.width).tolist()
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def __call__(self, text: str) -> bytes:
-        """Ids as little-endian unsigned integers of ``width`` bytes."""
-        if "<|" not in text:
-            return self._plain(text)
-        return b"".join(self.packed([self._special[p]]) if k % 2 else self._plain(p) for k, p in enumerate(self._cut.split(text)))
+        return self.many([text])[0]
 
 
 @cache
@@ -223,21 +293,19 @@ def write_records(docs: DataFrame, root: str, make_encoder: Callable[[], ByteLev
         name, offset, n_ids, n = f"{base}/part-{number:05d}", 0, 0, 0
         own = f"{base}/_{attempt}-{number:05d}"
         with fs.open_output_stream(own + ".records") as data, fs.open_output_stream(own + ".index") as index:
-            batch = first
-            while batch is not None:
-                doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-                for k in range(0, len(texts), 256):
-                    ids = [encode(t) + end for t in texts[k : k + 256]]
-                    records, lengths = framed(ids, doc_ids[k : k + 256], width)
+            for block in chain.from_iterable(map(pieces, chain([first], batches))):
+                all_ids, all_docs = encode.many(block.column("text").to_pylist()), block.column("doc_id").to_pylist()
+                for k in range(0, len(all_ids), 256):
+                    ids, doc_ids = [i + end for i in all_ids[k : k + 256]], all_docs[k : k + 256]
+                    records, lengths = framed(ids, doc_ids, width)
                     entries = np.zeros(len(ids), ENTRY)
-                    entries["null"], entries["doc_id"] = [d is None for d in doc_ids[k : k + 256]], [d or 0 for d in doc_ids[k : k + 256]]
+                    entries["null"], entries["doc_id"] = [d is None for d in doc_ids], [d or 0 for d in doc_ids]
                     sizes = np.array([len(r) for r in records], np.int64)
                     entries["offset"], entries["length"] = offset + np.cumsum(sizes) - sizes, lengths
                     entries["n_ids"] = [len(i) // width for i in ids]
                     data.write(b"".join(records))
                     index.write(entries.tobytes())
                     offset, n_ids, n = offset + int(sizes.sum()), n_ids + int(entries["n_ids"].sum()), n + len(ids)
-                batch = next(batches, None)
         for kind in (".records", ".index"):
             fs.move(own + kind, name + kind)
         yield pa.RecordBatch.from_pydict(

@@ -273,3 +273,27 @@ def test_pieces_are_held_once(byte_library):
         assert list(array("H", encode(text))) == byte_library.encode(text, add_special_tokens=False).ids
     held = [key for memo in vars(encode).values() if isinstance(memo, dict) for key in memo if "word" in str(key)]
     assert sorted(held) == [" word", "word"]
+
+
+def test_a_block_of_texts_is_split_at_once(byte_library):
+    class Counting(dict):
+        asked = []
+
+        def __getitem__(self, piece):
+            self.asked.append(piece)
+            return encode._by_library(piece)
+
+    encode = ByteLevelEncoder(BYTES, public_tokenizers.PATTERN)
+    encode._pieces, encode._piece = None, Counting()  # neither is a text split by itself nor a piece looked up for each place
+    rng = random.Random(7)
+    parts = ["a", "é", "你", "😀", "́", "1", "²", "!", " ", " ", "  ", "\n", "\t", "\x1c", "\x85", "　", "​", "'", "'s", "'t", "'re", "'ll", "'S", "'r", "s", "l", "<|", "<|endoftext|>"]
+    plain = [p for p in parts if p.isascii()]
+    for of in (parts, plain, plain[:9]):
+        texts = ["".join(rng.choices(of, k=rng.randrange(12))) for _ in range(3000)] + ["", "x'", "'", " ", "\n ", "s's't", "'s's'll", "a  'd"]
+        encode._piece.asked.clear()
+        got = encode.many(texts)
+        assert [list(array("H", g)) for g in got] == [e.ids for e in byte_library.encode_batch(texts, add_special_tokens=False)]
+        assert len(encode._piece.asked) == len(set(encode._piece.asked))
+    assert encode.many([]) == [] and encode.many(["", ""]) == [b"", b""]
+    # Another spelling of the pattern is left to the library of patterns, text by text.
+    assert ByteLevelEncoder(BYTES, f"(?:{public_tokenizers.PATTERN})").many(texts) == got
