@@ -154,6 +154,36 @@ def test_one_id_on_a_third_of_all_rows_stays_one_row(spark, documents, monkeypat
     assert np.allclose(models[0].weights, models[1].weights) and models[0].threshold == pytest.approx(models[1].threshold)
 
 
+@pytest.mark.parametrize("zeros, ones", [(2_600, 4_400), (9, 4_400), (4_400, 300)])
+def test_every_labelled_row_is_learned_from(spark, documents, monkeypatch, zeros, ones):
+    """More rows of a label than one block holds, and in one case another label that is too rare for every block."""
+    rng = random.Random(zeros)
+    words = {0: ["##", "BUY", "now!!", "word", "a", "|", "house", "777"], 1: ["house", "a", "the", "word", "walks", "now!!", "river.", "BUY"]}
+    rows = [(i, " ".join(rng.choice(words[int(i >= zeros)]) for _ in range(rng.randrange(3, 30)))) for i in range(zeros + ones)]
+    rows += [(5, "The same id, another text."), (5, "The same id, another text.")]
+    docs, labels = documents(rows), spark.createDataFrame([(i, int(i >= zeros)) for i in range(zeros + ones)], "doc_id bigint, quality int")
+    monkeypatch.setattr(quality, "FOLDS", 3)
+    model = quality.learn(docs, labels, F.lit(True))
+    x = np.array([quality.features(t) for _, t in dict.fromkeys(rows)])
+    label = np.array([int(i >= zeros) for i, _ in dict.fromkeys(rows)])
+    assert np.allclose(model.mean, x.mean(axis=0), rtol=1e-9) and np.allclose(model.spread, quality.level(x.std(axis=0)), rtol=1e-9)
+    whole = quality.fit(x, label)
+    assert np.corrcoef(model.ranked(x), whole.ranked(x))[0, 1] > 0.98
+    assert abs(auc(model.ranked(x), label) - auc(whole.ranked(x), label)) < 0.01
+    # The threshold is one of the scores, that at label 0's share of the labels.
+    z = np.sort(model.ranked(x))
+    each = np.where(label == 0, zeros / (label == 0).sum(), 1)[np.argsort(model.ranked(x), kind="stable")]
+    assert model.threshold == pytest.approx(z[np.searchsorted(np.cumsum(each) / each.sum(), zeros / (zeros + ones))], abs=1e-9)
+    again = quality.learn(documents(rows[::-1], 2), labels, F.lit(True))
+    assert (again.weights == model.weights).all() and again.threshold == model.threshold
+
+
+def test_bits_are_in_the_order_of_the_numbers():
+    z = np.array([-np.inf, -3.5, -1e-300, 0.0, 2e-308, 0.7, 0.7000000000000001, 1e300])
+    bits = quality.ordered_bits(z)
+    assert (bits[1:] > bits[:-1]).all() and [quality.from_ordered_bits(int(b)) for b in bits] == z.tolist()
+
+
 def plain_margin(x, machine):
     return sum(float(a) * float(b) for a, b in zip(x, machine.weights) if a) + machine.offset
 
