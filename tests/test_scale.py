@@ -1,6 +1,7 @@
 """Plans and skew: what has to hold when the data is a million times larger."""
 
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -167,6 +168,24 @@ def test_a_part_of_the_lake_is_made_without_the_others(spark, monkeypatch):
     assert rows["gold/dim_member"] == 1 and rows["quarantine/claims"] == 0 and sorted(opened) == sorted(s.ALL)
 
 
+def test_shuffles_go_when_their_query_ends(spark, tmp_path):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held():
+        return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", disk.getAllFiles().mkString(" ")))
+
+    small_tasks(spark)
+    before = held()
+    for i in range(3):
+        spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count().write.parquet(str(tmp_path / str(i)))
+    until = time.time() + 20
+    while held() - before and time.time() < until:
+        time.sleep(0.2)
+    assert held() <= before
+    again = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    assert again.collect() == again.collect()  # made again where they are gone
+
+
 def test_scratch_lies_in_the_folder_the_cluster_names(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
