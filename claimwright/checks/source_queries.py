@@ -264,7 +264,7 @@ def _(spark, sf):
   select claim_id, cast(null as varchar) as rejection_reason, service_year_month from silver_claims
   union all select claim_id, rejection_reason, null from quarantine_claims)""")
 def _(spark, sf):
-    layout = scratch.lake(spark, sf)
+    layout = scratch.part(spark, sf, "claims")
     rows = sinks.united(sinks.read_silver(spark, layout, "claims"), sinks.read_united(spark, layout.quarantine("claims")))
     return rows.select("claim_id", "rejection_reason", "service_year_month")
 

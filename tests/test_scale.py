@@ -168,6 +168,16 @@ def test_a_part_of_the_lake_is_made_without_the_others(spark, monkeypatch):
     assert rows["gold/dim_member"] == 1 and rows["quarantine/claims"] == 0 and sorted(opened) == sorted(s.ALL)
 
 
+def test_the_united_claims_need_no_gold(spark, monkeypatch):
+    from claimwright.checks import registry, scratch, source_queries  # noqa: F401
+
+    made = []
+    monkeypatch.setattr(scratch, "_fingerprint", lambda *_: ("united",))
+    monkeypatch.setattr(scratch, "raw", lambda spark, sf: scratch.Lazy(s.ALL, lambda n: frame(spark, n, {})))
+    monkeypatch.setattr(scratch, "run_gold", lambda *a, **kw: made.append(kw))
+    assert [r.claim_id for r in registry.QUERIES["s21_union_by_name"](spark, "own").collect()] == ["C1"] and not made
+
+
 def test_shuffles_go_when_their_query_ends(spark, tmp_path):
     disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
