@@ -12,7 +12,7 @@ from claimwright.operators.cleaning import conform
 from claimwright.operators.lookup import row_identity
 from claimwright.plans.backfill import backfill_claims
 from claimwright.plans.silver import DIMENSIONS, build_claims
-from claimwright.session import staging
+from claimwright.session import staging, streams_sized_for
 from claimwright.sources.sinks import Layout
 
 EVENT_TIME = "submitted_at"
@@ -73,12 +73,16 @@ def sessions(claims: DataFrame, key: str, gap: str) -> DataFrame:
              "claim_count", "billed_amount")
 
 
-def write_windows(windows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append each window or session once it can no longer change; processes what is there and stops."""
-    return (
-        windows.writeStream.outputMode("append").format("parquet").option("path", path)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+def write_windows(windows: DataFrame, path: str, checkpoint: str, size: int = 0) -> StreamingQuery:
+    """Append each window or session once it can no longer change; processes what is there and stops.
+
+    ``size``: bytes of what a first run reads, where known.
+    """
+    with streams_sized_for(windows.sparkSession, size):
+        return (
+            windows.writeStream.outputMode("append").format("parquet").option("path", path)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
 
 
 def merge_into_silver(

@@ -174,3 +174,25 @@ def test_late_rows_join_sessions_and_rows_behind_the_watermark_do_not(spark, tmp
     assert arrive(1, 20, 0, 25) == []
     assert arrive(2, 10, 100) == [("2024-01-01", "2024-02-05", 4)]
     assert arrive(3, 2, 200) == [("2024-01-01", "2024-02-05", 4), ("2024-04-10", "2024-04-20", 1)]
+
+
+def test_a_stream_keeps_its_state_beyond_the_heap_in_any_session(spark, tmp_path):
+    from claimwright.session import STATE_BYTES, STREAMS
+
+    before = {key: spark.conf.get(key, None) for key in STREAMS}
+    frame(spark, "claims", {}, {"claim_id": "C2", "submission_date": "2024-03-01"}).write.parquet(str(tmp_path / "in"))
+    rows = streaming.timed(streaming.read_claims(spark, str(tmp_path / "in")), "10 days")
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions")) + 2
+    try:
+        for key in STREAMS:  # as in a session that get_spark did not make
+            spark.conf.unset(key)
+        bare = {key: spark.conf.get(key, None) for key in STREAMS}
+        out = streaming.sessions(rows, "member_id", "10 days")
+        streaming.write_windows(out, str(tmp_path / "out"), str(tmp_path / "checkpoint"), wanted * STATE_BYTES).awaitTermination()
+        assert {key: spark.conf.get(key, None) for key in STREAMS} == bare
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    state = tmp_path / "checkpoint" / "state" / "0"
+    assert list(state.rglob("*.zip")) and {p.name for p in state.iterdir() if p.name.isdigit()} == {str(i) for i in range(wanted)}
+    assert [r.claim_count for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [1]
